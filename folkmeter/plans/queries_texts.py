@@ -531,7 +531,8 @@ def _joined(lines: Column, make) -> Column:
     return F.array_join(F.transform(lines, make), "")
 
 
-NOW = F.lit("2024-06-30 12:00:00")
+def _now() -> Column:
+    return F.lit("2024-06-30 12:00:00").cast("timestamp")
 
 
 @query("html_comments", f"""
@@ -555,7 +556,7 @@ def html_comments(t: Tables):
         F.concat_ws("", F.lit("https://x.org/post/"), "conv_id", F.lit("-"), "turn").alias("url"),
         _c('<html><body><div class="mt-6">', box, "</div></body></html>").alias("html"),
     )
-    return P.comments_on_pages(pages, NOW.cast("timestamp"), max_comments=None)
+    return P.comments_on_pages(pages, _now(), max_comments=None)
 
 
 @query("html_posts", f"""
@@ -580,7 +581,7 @@ def html_posts(t: Tables):
         _c("https://x.org/m/c", F.col("doc_id").cast("string")).alias("url"),
         _c("<html><body><main>", card, "</main></body></html>").alias("html"),
     )
-    return P.posts_on_pages(pages, NOW.cast("timestamp"), max_posts=10, site="https://x.org")
+    return P.posts_on_pages(pages, _now(), max_posts=10, site="https://x.org")
 
 
 @query("html_listing", """
