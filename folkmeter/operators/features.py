@@ -131,7 +131,7 @@ def community_block(communities: DataFrame) -> DataFrame:
 def posts_denorm(posts: DataFrame, features: DataFrame, communities: DataFrame) -> DataFrame:
     """Posts with author and community columns, unmatched ones null."""
     with_author = left_join(posts, post_authors(features), "id_user")
-    return left_join(with_author, community_block(communities), "id_community")
+    return left_join(with_author, community_block(communities), "id_community", posts)
 
 
 POST_FILLS = {
@@ -187,33 +187,31 @@ def post_features(
 def posts_with_comment_stats(
     posts: DataFrame, comments: DataFrame, communities: DataFrame
 ) -> DataFrame:
-    """Posts with the statistics of their comments and the community name."""
+    """Posts with the statistics of their comments and the community name.
+
+    Texts become lengths before the joins, so that no text is shuffled.
+    """
     named = communities.select("id_community", F.col("name").alias("community_name"))
-    counted = posts.join(post_comment_stats(comments), "id_post", "left")
-    joined = left_join(counted, named, "id_community").na.fill(
-        {
-            "post_total_comments": 0,
-            "post_avg_comment_rating": 0.0,
-            "post_max_comment_rating": 0,
-            "post_avg_comment_length": 0.0,
-            "community_name": "unknown",
-        }
-    )
-    return joined.select(
+    narrow = posts.select(
         "id_post",
         F.col("id_user").alias("post_author_id"),
         F.col("title").alias("post_title"),
         F.col("rating").alias("post_rating"),
         F.col("date").alias("post_date"),
         "id_community",
-        "community_name",
-        "post_total_comments",
-        "post_avg_comment_rating",
-        "post_max_comment_rating",
-        "post_avg_comment_length",
         F.coalesce(_length("title"), F.lit(0)).alias("post_title_length"),
         F.coalesce(_length("description"), F.lit(0)).alias("post_description_length"),
     )
+    counted = narrow.join(post_comment_stats(comments), "id_post", "left")
+    return left_join(counted, named, "id_community", posts).na.fill(
+        {
+            "post_total_comments": 0,
+            "post_avg_comment_rating": 0.0,
+            "post_max_comment_rating": 0,
+            "post_avg_comment_length": 0.0,
+            "community_name": "unknown",
+        }
+    )
 
 
 def comment_authors(users: DataFrame) -> DataFrame:
@@ -232,23 +230,30 @@ def comment_authors(users: DataFrame) -> DataFrame:
 
 
 def comments_denorm(
-    comments: DataFrame, posts: DataFrame, users: DataFrame, communities: DataFrame
+    rows: DataFrame,
+    posts: DataFrame,
+    users: DataFrame,
+    communities: DataFrame,
+    comments: DataFrame | None = None,
 ) -> DataFrame:
-    """Comments with post, comment author and post author, unmatched ones null.
+    """Comment rows with post, comment author and post author, unmatched ones null.
 
     The post author is joined to the posts, which are far fewer than the comments,
-    so the comments are shuffled twice instead of three times.
+    so the comments are shuffled twice instead of three times. ``comments`` is the
+    full table when ``rows`` carries only some columns.
     """
+    comments = rows if comments is None else comments
     writers = users.select(
         F.col("id_user").alias("post_author_id"),
         F.col("name").alias("post_author_name"),
         F.col("karma").alias("post_author_karma"),
     )
+    authors = posts.select(F.col("id_user").alias("post_author_id"))
     context = left_join(
-        posts_with_comment_stats(posts, comments, communities), writers, "post_author_id"
+        posts_with_comment_stats(posts, comments, communities), writers, "post_author_id", authors
     ).drop("post_avg_comment_length", "post_author_id")
-    with_post = left_join(comments, context, "id_post")
-    return left_join(with_post, comment_authors(users), "id_user")
+    with_post = left_join(rows, context, "id_post", comments)
+    return left_join(with_post, comment_authors(users), "id_user", comments)
 
 
 COMMENT_FILLS = {
@@ -274,16 +279,18 @@ def comment_features(
 
     Facts of a missing post (date, lengths, comment counts) stay null on purpose.
     """
-    joined = comments_denorm(comments, posts, users, communities).na.fill(COMMENT_FILLS)
-    return joined.select(
-        "id_comment",
-        "id_user",
-        "id_post",
-        "rating",
-        "date",
+    base = ["id_comment", "id_user", "id_post", "rating", "date"]
+    measured = ["comment_length", "comment_word_count", "has_comment_text"]
+    narrow = comments.select(
+        *base,
         F.coalesce(_length("description"), F.lit(0)).alias("comment_length"),
         S.word_count(F.col("description")).alias("comment_word_count"),
         (_length("description") > 0).cast("int").alias("has_comment_text"),
+    )
+    joined = comments_denorm(narrow, posts, users, communities, comments).na.fill(COMMENT_FILLS)
+    return joined.select(
+        *base,
+        *measured,
         *[c for c in COMMENT_FILLS if c.startswith("comment_author_")],
         "post_title",
         "post_rating",

@@ -73,16 +73,23 @@ def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def left_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    keys_from: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Left equi-join on a key that is unique in ``right`` and may be hot in ``left``.
 
     A right side within the broadcast limit needs no care. Otherwise rows of heavy
     keys, and rows without a key, are spread over salts; the few matching right rows
-    are repeated once per salt.
+    are repeated once per salt. ``keys_from`` is the stored table the keys of ``left``
+    come from, so that counting them does not run the steps before this join again.
     """
     if fits_broadcast(right):
         return left.join(right, key, "left")
-    hot = F.broadcast(heavy_keys(left, key, hot_rows))
+    hot = F.broadcast(heavy_keys(left if keys_from is None else keys_from, key, hot_rows))
     spread = F.xxhash64(*left.columns)
     salt = (
         F.when(F.col(key).isNull(), F.pmod(spread, F.lit(MAX_SALTS)))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folkmeter import schemas
 from folkmeter.operators.relational import keep_last
@@ -42,7 +43,7 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
     )
     if not later:
         return base
-    reader = spark.read.schema(schema.add("batch", "bigint")).option("basePath", folder)
+    reader = spark.read.schema(schema.add("batch", T.LongType())).option("basePath", folder)
     batches = reader.parquet(*[f"{folder}/batch={n}" for n in later])
     latest = keep_last(batches, keys, ["batch"]).drop("batch")
     kept = base.join(latest.select(*keys), keys, "left_anti")
