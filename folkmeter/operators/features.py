@@ -128,9 +128,14 @@ def community_block(communities: DataFrame) -> DataFrame:
     )
 
 
-def posts_denorm(posts: DataFrame, features: DataFrame, communities: DataFrame) -> DataFrame:
+def posts_denorm(
+    posts: DataFrame,
+    features: DataFrame,
+    communities: DataFrame,
+    users: DataFrame | None = None,
+) -> DataFrame:
     """Posts with author and community columns, unmatched ones null."""
-    with_author = left_join(posts, post_authors(features), "id_user")
+    with_author = left_join(posts, post_authors(features), "id_user", bound=users)
     return left_join(with_author, community_block(communities), "id_community", posts)
 
 
@@ -164,7 +169,7 @@ def post_features(
     """
     if features is None:
         features = user_features(users, posts, comments)
-    joined = posts_denorm(posts, features, communities).na.fill(POST_FILLS)
+    joined = posts_denorm(posts, features, communities, users).na.fill(POST_FILLS)
     return joined.select(
         "id_post",
         "title",
@@ -252,7 +257,7 @@ def comments_denorm(
     context = left_join(
         posts_with_comment_stats(posts, comments, communities), writers, "post_author_id", authors
     ).drop("post_avg_comment_length", "post_author_id")
-    with_post = left_join(rows, context, "id_post", comments)
+    with_post = left_join(rows, context, "id_post", comments, bound=posts)
     return left_join(with_post, comment_authors(users), "id_user", comments)
 
 

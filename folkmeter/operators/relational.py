@@ -78,6 +78,7 @@ def left_join(
     right: DataFrame,
     key: str,
     keys_from: DataFrame | None = None,
+    bound: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left equi-join on a key that is unique in ``right`` and may be hot in ``left``.
@@ -86,8 +87,10 @@ def left_join(
     keys, and rows without a key, are spread over salts; the few matching right rows
     are repeated once per salt. ``keys_from`` is the stored table the keys of ``left``
     come from, so that counting them does not run the steps before this join again.
+    ``bound`` is a table with no fewer rows than ``right``, whose size estimate stands
+    in for a right side that is itself joined (estimates of joins are products).
     """
-    if fits_broadcast(right):
+    if fits_broadcast(right if bound is None else bound):
         return left.join(right, key, "left")
     hot = F.broadcast(heavy_keys(left if keys_from is None else keys_from, key, hot_rows))
     spread = F.xxhash64(*left.columns)

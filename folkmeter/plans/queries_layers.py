@@ -246,7 +246,7 @@ AUTHOR_SQL = """
     FROM posts p LEFT JOIN user_features u ON p.id_user = u.id_user
                  LEFT JOIN communities c ON p.id_community = c.id_community""")
 def posts_denorm(t: Tables):
-    return features.posts_denorm(t.posts, t.user_features, t.communities)
+    return features.posts_denorm(t.posts, t.user_features, t.communities, t.users)
 
 
 WITH_STATS_SQL = f"""
