@@ -188,16 +188,14 @@ def correlation_matrix(
         ]
     )
     pairs = list(combinations_with_replacement(columns, 2))
-    moments = ready.agg(*[F.covar_pop(x, y).alias(f"{x}*{y}") for x, y in pairs])
-    lines = []
-    for x, y in pairs:
-        spread = F.sqrt(F.col(f"{x}*{x}")) * F.sqrt(F.col(f"{y}*{y}"))
-        value = F.try_divide(F.col(f"{x}*{y}"), spread)
-        for a, b in {(x, y), (y, x)}:
-            lines.append(
-                F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), value.alias("corr"))
-            )
-    return moments.select(F.inline(F.array(*lines)))
+    moments = ready.agg(*[F.expr(f"covar_pop(`{x}`, `{y}`) AS `{x}*{y}`") for x, y in pairs])
+    lines = [
+        f"named_struct('x', '{a}', 'y', '{b}', 'corr', "
+        f"try_divide(`{x}*{y}`, sqrt(`{x}*{x}`) * sqrt(`{y}*{y}`)))"
+        for x, y in pairs
+        for a, b in sorted({(x, y), (y, x)})
+    ]
+    return moments.selectExpr(f"inline(array({', '.join(lines)}))")
 
 
 def melt(df: DataFrame, columns: list[str]) -> DataFrame:

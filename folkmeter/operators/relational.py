@@ -20,9 +20,12 @@ def keep_last(df: DataFrame, keys: list[str], order_by: list[str] | None = None)
     filter is also applied before the shuffle, so a key with many copies leaves
     each map task as one row.
     """
-    order_by = order_by if order_by is not None else ["scraped_at"]
+    if order_by is None:
+        order_by = [c for c in ("scraped_at",) if c in df.columns]
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     order = [F.col(c).desc_nulls_last() for c in [*order_by, *rest]]
+    if not order:  # a table of keys only
+        return df.dropDuplicates(keys)
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 

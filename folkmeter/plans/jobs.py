@@ -190,7 +190,7 @@ def load_batch(rows: dict[str, DataFrame], root: str, number: int) -> dict[str,
     """Write one load, parents before children; repeating a load changes nothing."""
     return {
         name: store.append_batch(
-            relational.keep_last(rows[name], schemas.PRIMARY_KEYS[name], []), root, name, number
+            relational.keep_last(rows[name], schemas.PRIMARY_KEYS[name]), root, name, number
         )
         for name in schemas.WRITE_ORDER
         if name in rows

@@ -18,6 +18,18 @@ from folkmeter.sources import proxies
 DIGITS = 6  # doubles are rounded on both sides: sums depend on the order of rows
 
 
+class Layer(dict):
+    """Entity tables by name, each planned when it is first asked for."""
+
+    def __init__(self, make: Callable[[str], DataFrame]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.make(name)
+        return self[name]
+
+
 class Tables:
     """The given tables and the entity tables read out of them."""
 
@@ -32,13 +44,12 @@ class Tables:
         return f"{shared_dir(self.spark)}/folkmeter-{uuid.uuid4().hex}"
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        names = ("users", "posts", "comments", "communities")
-        return {n: getattr(proxies, n)(self.spark, self.sf_dir) for n in names}
+    def raw(self) -> Layer:
+        return Layer(lambda n: getattr(proxies, n)(self.spark, self.sf_dir))
 
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return {n: cleaning.clean(df, n) for n, df in self.raw.items()}
+    def silver(self) -> Layer:
+        return Layer(lambda n: cleaning.clean(self.raw[n], n))
 
     users = property(lambda self: self.silver["users"])
     posts = property(lambda self: self.silver["posts"])

@@ -57,5 +57,5 @@ def profile_stream(
 
     source = landed_files(spark, folder, "name string, body string")
     return upsert_stream(
-        source, root, "users", checkpoint, lambda df: profile_rows(df, scraped_at), []
+        source, root, "users", checkpoint, lambda df: profile_rows(df, scraped_at)
     )
