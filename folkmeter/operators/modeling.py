@@ -60,8 +60,10 @@ def available_features(df: DataFrame, features: list[str] = FEATURES) -> list[st
 
 
 def hash_bucket(key: str, seed: int, buckets: int = 100) -> Column:
-    """Stable bucket of a row: independent of partitioning and of retries."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets)).cast("int")
+    """Stable bucket of a row: independent of partitioning, of retries and of the engine."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    head = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return F.pmod(head, F.lit(buckets)).cast("int")
 
 
 def split(

@@ -71,9 +71,12 @@ def quantiles(
         F.sum("_c").alias("_n"),
     )
     # One row per group of at most `cuts` numbers: bounded whatever the input size.
-    bucketed = counted.join(F.broadcast(edges), "_g").withColumn(
-        "_b", F.size(F.filter("_edges", lambda e: e < F.col("_v")))
-    )
+    if by is None:
+        whole = edges.select(F.struct("_edges", "_n")).scalar()
+        edged = counted.withColumns({"_edges": whole["_edges"], "_n": whole["_n"]})
+    else:
+        edged = counted.join(F.broadcast(edges), "_g")
+    bucketed = edged.withColumn("_b", F.size(F.filter("_edges", lambda e: e < F.col("_v"))))
     sizes = bucketed.groupBy("_g", "_b").agg(F.sum("_c").alias("_size"))
     upto = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     below = sizes.select(

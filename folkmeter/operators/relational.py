@@ -216,7 +216,7 @@ def memberships(
     # Authors repeat under a post: collapse pairs before they meet the post table.
     talk = comments.select("id_post", "id_user").distinct()
     placed = (posts if lookup is None else lookup).select("id_post", "id_community")
-    via = left_join(talk, placed, "id_post")
+    via = left_join(talk, placed, "id_post", keys_from=comments)
     pairs = own.unionByName(via.select("id_user", "id_community"))
     return pairs.filter("id_user is not null and id_community is not null").distinct()
 

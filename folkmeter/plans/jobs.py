@@ -10,6 +10,7 @@ from folkmeter.functions import keys as K
 from folkmeter.operators import features, modeling, relational
 from folkmeter.operators.cleaning import clean, usable_pages
 from folkmeter.operators.evaluation import clean_training
+from folkmeter.session import cut_lineage
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
 from folkmeter.sources import store, tables
@@ -108,7 +109,8 @@ def entities(
     get a minimal one unless they are stored.
     """
     known = stored["users"]
-    listed = J.posts_in_payloads(communities, max_posts)
+    # Read by the tables of posts, authors and memberships: parsed once.
+    listed = cut_lineage(J.posts_in_payloads(communities, max_posts))
     post_rows = J.post_rows(listed, known, scraped_at)
     comment_rows = J.comment_rows(posts, known, scraped_at, max_comments)
     profile_rows = J.profile_rows(profiles, scraped_at)
@@ -146,8 +148,10 @@ def page_entities(
     post_pages = good.filter(K.url_entity(url, "post").isNotNull())
     known = stored["users"]
 
-    profile_rows = P.user_entities(P.profiles(profile_pages), scraped_at)
+    # Rows of parsed pages are read by several tables: each page is parsed once.
+    profile_rows = cut_lineage(P.user_entities(P.profiles(profile_pages), scraped_at))
     cards = P.posts_on_pages(community_pages, now, max_posts, site).filter("author != ''")
+    cards = cut_lineage(cards)
     post_rows = relational.resolve_authors(cards, known).select(
         K.url_last_segment(F.col("post_url")).alias("id_post"),
         "id_user",
@@ -158,7 +162,7 @@ def page_entities(
         scraped_at.alias("scraped_at"),
         "rating",
     )
-    boxes = P.comments_on_pages(post_pages, now, max_comments)
+    boxes = cut_lineage(P.comments_on_pages(post_pages, now, max_comments))
     talk = relational.resolve_authors(boxes, known).withColumn("id_post", K.url_last_segment(url))
     comment_rows = talk.select(
         K.comment_id(F.col("id_user"), F.col("id_post"), F.col("description")).alias("id_comment"),

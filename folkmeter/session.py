@@ -15,6 +15,8 @@ def get_session(app_name: str = "folkmeter", **conf) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Rows here are whole web pages: keep the batches handed to Python small.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
         # Call sites of every column expression cost more than planning itself.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -260,3 +260,19 @@ def test_empty_inputs(spark):
         silver["comments"], silver["posts"], silver["users"], silver["communities"]
     )
     assert empty.count() == 0 and len(empty.columns) == 27
+
+
+NATIVE = [
+    "clean_comments", "user_features", "post_features", "comment_features", "corr_matrix", "box_stats",
+    "karma_stats", "quartile_report", "json_posts", "page_links", "page_text_length", "page_description",
+    "resolve_authors", "memberships", "upsert_users", "parse_human_number", "relative_date",
+]
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_no_python_in_the_plan(spark, sf_dir, name):
+    from folkmeter.plans.catalog import QUERIES
+
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert "EvalPython" not in text and "InPandas" not in text
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
