@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from folkmeter.operators import evaluation, profiling
 from folkmeter.operators.relational import top_rows
 from folkmeter.plans.registry import Tables, query, r
+from folkmeter.session import cut_lineage
 
 NUMBERS = ("karma", "followers", "following")
 TEXTS = ("id_user", "name", "description", "human_owner", "joined", "scraped_at")
@@ -192,7 +193,7 @@ def clean_training(t: Tables):
     SELECT {r('avg(log_karma)', 'mean')}, {r('quantile_cont(log_karma, 0.5)', 'median')},
            {r('stddev_samp(log_karma)', 'std')}, {r('max(log_karma)', 'max')} FROM training""")
 def log_target_stats(t: Tables):
-    return evaluation.log_target_stats(evaluation.clean_training(t.user_features))
+    return evaluation.log_target_stats(cut_lineage(evaluation.clean_training(t.user_features)))
 
 
 @query("top15_predictions", f"""
