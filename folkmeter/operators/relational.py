@@ -30,12 +30,6 @@ def keep_last(df: DataFrame, keys: list[str], order_by: list[str] | None = None)
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """First occurrence per key (links on a page, names in a listing)."""
-    window = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
-
-
 def cap_per_group(
     df: DataFrame, keys: list[str], order_by: list[str | Column], limit: int, salts: int = CAP_SALTS
 ) -> DataFrame:

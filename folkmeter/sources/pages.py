@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,7 +12,6 @@ from pyspark.sql import functions as F
 
 from folkmeter.functions import keys as K
 from folkmeter.functions import scalars as S
-from folkmeter.operators.relational import cap_per_group, first_per_key
 from folkmeter.sources import dom
 
 # The page layout these rules read.
@@ -73,10 +74,15 @@ def page_description(html: Column) -> Column:
 
 
 def page_links(pages: DataFrame, key: str = "page_id", prefix: str = "/") -> DataFrame:
-    """First occurrence of each link name per page: (key, name, pos)."""
+    """First occurrence of each link name per page: (key, name, pos).
+
+    The names of a page stay in its row until they are distinct: no shuffle.
+    """
     pattern = rf'<a\s[^>]*href="{prefix}([^"/?#]+)'
-    found = pages.select(key, F.posexplode(S.all_matches(F.col("html"), pattern)).alias("pos", "name"))
-    return found.groupBy(key, "name").agg(F.min("pos").alias("pos"))
+    found = pages.select(key, S.all_matches(F.col("html"), pattern).alias("_all"))
+    names = found.select(key, "_all", F.explode(F.array_distinct("_all")).alias("name"))
+    first = F.array_position("_all", F.col("name")) - 1
+    return names.select(key, "name", first.cast("int").alias("pos"))
 
 
 def page_refs(pages: DataFrame) -> DataFrame:
@@ -97,22 +103,30 @@ def _named_links(root: dom.Element, prefix: str):
     return root.links(lambda href: href.startswith(prefix))
 
 
+def _first_links(root: dom.Element, kind: str) -> Iterator[tuple[str, dom.Element]]:
+    """First link of each name behind ``/<kind>/``."""
+    seen = set()
+    for link in _named_links(root, f"/{kind}/"):
+        name = re.split("[/?#]", link.attrs["href"][len(kind) + 2 :], maxsplit=1)[0]
+        if name and name not in seen:
+            seen.add(name)
+            yield name, link
+
+
 def _user_links(root: dom.Element) -> Iterator[dict]:
-    for link in _named_links(root, "/u/"):
+    for name, link in _first_links(root, "u"):
         box = link.up("div")
         strings = box.strings() if box is not None else ()
         holder = next((h for h, s in strings if "karma" in s.lower()), None)
-        yield {
-            "href": link.attrs["href"],
-            "karma_text": None if holder is None else holder.text(strip=False),
-        }
+        karma = None if holder is None else holder.text(strip=False)
+        yield {"name": name, "href": link.attrs["href"], "karma_text": karma}
 
 
 def _community_links(root: dom.Element) -> Iterator[dict]:
-    for link in _named_links(root, "/m/"):
+    for name, link in _first_links(root, "m"):
         box = link.up("div")
-        paragraph = box.find("p") if box is not None else None
-        yield {"href": link.attrs["href"], "description": dom.text_of(paragraph)}
+        text = dom.text_of(box.find("p")) if box is not None else None
+        yield {"name": name, "href": link.attrs["href"], "description": text}
 
 
 def _profile(root: dom.Element) -> Iterator[dict]:
@@ -153,13 +167,17 @@ def _profile_blocks(root: dom.Element) -> Iterator[dict]:
     }
 
 
+def _author(text: str | None) -> str | None:
+    return None if text is None else text.replace("u/", "")
+
+
 def _post_cards(root: dom.Element) -> Iterator[dict]:
     for card in _named_links(root, "/post/"):
         yield {
             "href": card.attrs["href"],
             "title": dom.text_of(card.find("h3")),
             "description": dom.text_of(card.find("p.line-clamp-3")),
-            "author": dom.text_of(card.find("span.hover:underline")),
+            "author": _author(dom.text_of(card.find("span.hover:underline"))),
             "rating_text": dom.text_of(card.find("span.text-white.font-bold")),
             "age_text": dom.text_of(card.find("div.text-xs"), " "),
         }
@@ -168,7 +186,7 @@ def _post_cards(root: dom.Element) -> Iterator[dict]:
 def _comment_boxes(root: dom.Element) -> Iterator[dict]:
     for box in root.find_all(COMMENT_BOX):
         yield {
-            "author": dom.text_of(next(_named_links(box, "/u/"), None)),
+            "author": _author(dom.text_of(next(_named_links(box, "/u/"), None))),
             "description": dom.text_of(box.find("div.prose-invert p")),
             "rating_text": dom.text_of(box.find("span.flex.items-center.gap-1 span")),
             "age_text": dom.text_of(box.find(COMMENT_HEAD), " "),
@@ -176,8 +194,8 @@ def _comment_boxes(root: dom.Element) -> Iterator[dict]:
 
 
 RULES: dict[str, tuple[Callable, str]] = {
-    "user_links": (_user_links, "href string, karma_text string"),
-    "community_links": (_community_links, "href string, description string"),
+    "user_links": (_user_links, "name string, href string, karma_text string"),
+    "community_links": (_community_links, "name string, href string, description string"),
     "profile": (_profile, "bio string, other_bio string, owner_href string, body string"),
     "profile_blocks": (
         _profile_blocks,
@@ -196,16 +214,28 @@ RULES: dict[str, tuple[Callable, str]] = {
 }
 
 
-def extract(pages: DataFrame, rule: str) -> DataFrame:
-    """Rows (url, pos, raw texts) of one rule; Arrow batches in, no shuffle."""
+def extract(
+    pages: DataFrame, rule: str, required: tuple[str, ...] = (), limit: int | None = None
+) -> DataFrame:
+    """Rows (url, pos, raw texts) of one rule; Arrow batches in, no shuffle.
+
+    ``required`` texts must not be empty; of the rows that are left, the first
+    ``limit`` of a page are kept. A page is one row, so the cut is exact without
+    bringing the rows of a page together again.
+    """
     find, columns = RULES[rule]
 
+    def rows_of(html: str | None) -> Iterator[tuple[int, dict]]:
+        numbered = enumerate(find(dom.parse(html)))
+        full = (row for row in numbered if all(row[1][c] for c in required))
+        return islice(full, limit)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [
                 {"url": url, "pos": pos, **found}
                 for url, html in zip(batch["url"], batch["html"])
-                for pos, found in enumerate(find(dom.parse(html)))
+                for pos, found in rows_of(html)
             ]
             yield pd.DataFrame(rows, columns=names)
 
@@ -215,10 +245,8 @@ def extract(pages: DataFrame, rule: str) -> DataFrame:
 
 
 def user_listing(pages: DataFrame) -> DataFrame:
-    """Users of listing pages: (url, name, karma, profile_url), first link per name."""
-    rows = extract(pages, "user_links").withColumn("name", K.username_from_url(F.col("href")))
-    first = first_per_key(rows.filter(F.col("name").isNotNull()), ["url", "name"], ["pos"])
-    return first.select(
+    """Users of listing pages: (url, pos, name, karma, profile_url), first link per name."""
+    return extract(pages, "user_links").select(
         "url",
         "pos",
         "name",
@@ -228,10 +256,8 @@ def user_listing(pages: DataFrame) -> DataFrame:
 
 
 def community_listing(pages: DataFrame) -> DataFrame:
-    """Communities of listing pages: (url, name, description, page_url)."""
-    rows = extract(pages, "community_links").withColumn("name", K.community_from_url(F.col("href")))
-    first = first_per_key(rows.filter(F.col("name").isNotNull()), ["url", "name"], ["pos"])
-    return first.select(
+    """Communities of listing pages: (url, pos, name, description, page_url)."""
+    return extract(pages, "community_links").select(
         "url",
         "pos",
         "name",
@@ -366,16 +392,14 @@ def posts_on_pages(
     The community is the one of the page address; the date of a card without an
     age is the day of ``now``.
     """
-    cards = extract(pages, "post_cards").filter(F.col("title").isNotNull() & (F.col("title") != ""))
-    if max_posts is not None:
-        cards = cap_per_group(cards, ["url"], ["pos"], max_posts)
+    cards = extract(pages, "post_cards", ("title",), max_posts)
     age = F.col("age_text")
     return cards.select(
         "url",
         "pos",
         "title",
         "description",
-        S.author_name(F.col("author")).alias("author"),
+        "author",
         K.community_from_url(F.col("url")).alias("community"),
         S.safe_int(F.coalesce("rating_text", F.lit(""))).alias("rating"),
         F.when(age.contains("ago"), _age_date(age, now))
@@ -387,10 +411,7 @@ def posts_on_pages(
 
 def comments_on_pages(pages: DataFrame, now: Column, max_comments: int | None = 500) -> DataFrame:
     """Comment boxes with author and text, the first ``max_comments`` of each page."""
-    rows = extract(pages, "comment_boxes").withColumn("author", S.author_name(F.col("author")))
-    kept = rows.filter((F.col("author") != "") & (F.col("description") != ""))
-    if max_comments is not None:
-        kept = cap_per_group(kept, ["url"], ["pos"], max_comments)
+    kept = extract(pages, "comment_boxes", ("author", "description"), max_comments)
     age = F.col("age_text")
     return kept.select(
         "url",
