@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from folkmeter import schemas
 from folkmeter.functions import keys as K
-from folkmeter.operators import features, modeling, relational
+from folkmeter.operators import evaluation, features, modeling, profiling, relational
 from folkmeter.operators.cleaning import clean, usable_pages
 from folkmeter.operators.evaluation import clean_training
-from folkmeter.session import cut_lineage
+from folkmeter.session import cut_lineage, persisted
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
 from folkmeter.sources import store, tables
@@ -77,11 +77,12 @@ def train(
 ) -> dict:
     """Fit, save, score and write; ``scope`` says whether all or only cleaned rows are scored."""
     data = tables.read_required(spark, f"{gold}/user_features")
+    cleaned = cut_lineage(clean_training(data))  # read by every fit and by the test score
     result = modeling.train_models(
-        clean_training(data), max_models=max_models, max_runtime_secs=max_runtime_secs, **options
+        cleaned, max_models=max_models, max_runtime_secs=max_runtime_secs, **options
     )
     modeling.save_model(result.model, f"{out}/model")
-    rows = clean_training(data) if scope == "cleaned" else data
+    rows = cleaned if scope == "cleaned" else data
     written = tables.write_counted(modeling.predict(result.model, rows), f"{out}/predictions")
     return {
         "model_id": result.model_id,
@@ -93,6 +94,31 @@ def train(
     }
 
 
+def _write_report(report: dict[str, DataFrame], out: str) -> dict[str, int]:
+    return {
+        name: tables.write_counted(frame.coalesce(1), f"{out}/{name}")["rows"]
+        for name, frame in report.items()
+    }
+
+
+def eda(spark: SparkSession, silver: str, out: str) -> dict[str, int]:
+    """The exploratory report over the silver layer, each part as a small table."""
+    names = ("users", "posts", "comments")
+    data = {n: tables.read_required(spark, f"{silver}/{n}") for n in names}
+    with persisted(data["users"]):
+        return _write_report(profiling.eda_report(data), out)
+
+
+def evaluate(
+    spark: SparkSession, predictions: str, out: str, method: str = "approx"
+) -> dict[str, int]:
+    """The evaluation report over scored rows, each part as a small table."""
+    columns = [evaluation.ACTUAL, evaluation.PREDICTED]
+    scored = tables.read_required(spark, predictions).select(*columns)
+    with persisted(scored):
+        return _write_report(evaluation.evaluation_report(scored, method), out)
+
+
 def entities(
     stored: dict[str, DataFrame],
     scraped_at: Column,

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,3 +51,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in reliable storage, so that iterations do not grow the plan."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def persisted(*frames: DataFrame):
+    """Keep frames that several actions read, and let go of them in any case."""
+    for frame in frames:
+        frame.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield frames
+    finally:
+        for frame in frames:
+            frame.unpersist()

@@ -1,7 +1,7 @@
 """Small page helper used inside tasks: a tree from the standard HTML parser.
 
-It only finds elements and gives their text; numbers, dates, names, caps and
-filters are Spark expressions over the rows that come out.
+It only finds elements and gives their text; numbers and dates are Spark expressions
+over the rows that come out.
 """
 
 from __future__ import annotations

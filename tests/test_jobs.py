@@ -27,6 +27,18 @@ def test_build_and_status(spark, sf_dir, tmp_path):
     assert jobs.status(spark, f"{tmp_path}/none", f"{tmp_path}/no", gold)["silver"].count() == 0
 
 
+def test_reports(spark, sf_dir, tmp_path):
+    raw = {n: Tables(spark, sf_dir).raw[n] for n in tables.SILVER}
+    jobs.build_silver(raw, f"{tmp_path}/s")
+    written = jobs.eda(spark, f"{tmp_path}/s", f"{tmp_path}/eda")
+    assert written["record_counts"] == 3 and written["users_describe"] == 9
+    Tables(spark, sf_dir).predictions.write.parquet(f"{tmp_path}/p")
+    written = jobs.evaluate(spark, f"{tmp_path}/p", f"{tmp_path}/report")
+    assert written["log_scale"] == 1 and written["quartile_analysis"] >= 4
+    with pytest.raises(FileNotFoundError):
+        jobs.eda(spark, f"{tmp_path}/nothing", f"{tmp_path}/x")
+
+
 def test_a_broken_table_does_not_stop_the_others(spark, sf_dir, tmp_path):
     raw = {n: Tables(spark, sf_dir).raw[n] for n in tables.SILVER}
     raw["posts"] = raw["posts"].withColumn("rating", F.lit("bad"))
