@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folkmeter.llm import bpe, decontaminate
-from folkmeter.llm.common import table
+from folkmeter.llm import bpe, decontaminate, packed, sharding, token_counts
+from folkmeter.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,37 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op3_digest_cache")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each run starts with an empty cache, so that it counts the whole table."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count(documents(spark, sf_dir), model, new_folder(spark, "counts"))
+
+
+END_OF_DOCUMENT = 2
+
+
+@query("op7_arrow_sequences")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "ids")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    manifest = packed.write(documents(spark, sf_dir), path, END_OF_DOCUMENT, folder)
+    return packed.read_documents(manifest, folder)
+
+
+@query("op8_hilbert_shards")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards in the space of language, source and size."""
+    rows = documents(spark, sf_dir, "lang", "source").select(
+        "doc_id",
+        sharding.text_size().alias("size"),
+        sharding.text_crc32().alias("text_crc32"),
+        sharding.string_rank("lang").alias("lang_rank"),
+        sharding.string_rank("source").alias("source_rank"),
+    )
+    dimensions = {c: F.col(c) for c in ("lang_rank", "source_rank", "size")}
+    placed = sharding.assign(rows, dimensions, ["doc_id", "text_crc32", "size"])
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", grown, "curve")
