@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folkmeter.llm import bpe, decontaminate, packed, sharding, token_counts
-from folkmeter.llm.common import new_folder, table
+from folkmeter.llm import bpe, decontaminate, packed, quality, sharding, token_counts, toxicity
+from folkmeter.llm.common import new_folder, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +105,19 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(rows, dimensions, ["doc_id", "text_crc32", "size"])
     grown = F.lit(None).cast("int").alias("grown_shard")
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", grown, "curve")
+
+
+@query("op4_cumulative_link")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model)
+
+
+@query("op6_fourier_ridge")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(quality.features(documents(spark, sf_dir)), "statistics")
+    model = quality.fit(found, table(spark, sf_dir, "labels"))
+    return quality.score(found, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", "predicted"
+    )
