@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folkmeter.llm import bpe, decontaminate, packed, quality, sharding, token_counts, toxicity
+from folkmeter.llm import (
+    bpe,
+    decontaminate,
+    fingerprints,
+    packed,
+    quality,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from folkmeter.llm.common import new_folder, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +130,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(found, model).select(
         "doc_id", quality.held_out().alias("held_out"), "score", "predicted"
     )
+
+
+@query("op10_lookup_sketch")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(documents(spark, sf_dir))
