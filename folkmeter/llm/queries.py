@@ -12,6 +12,7 @@ from folkmeter.llm import (
     bpe,
     decontaminate,
     fingerprints,
+    near_duplicates,
     packed,
     quality,
     sharding,
@@ -135,3 +136,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lookup_sketch")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(documents(spark, sf_dir))
+
+
+@query("op9_bag_minhash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its class, named by the least id in it, and whether it stays."""
+    rows, _ = near_duplicates.classes(documents(spark, sf_dir))
+    return rows.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("stays"))
