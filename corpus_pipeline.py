@@ -8,7 +8,7 @@ from folkmeter.llm import common, stages
 
 STAGES = [
     ("quality", stages.quality),
-    ("near_duplicates", stages.near_duplicates),
+    ("near_duplicates", stages.near_duplicates_stage),
     ("repeated_passages", stages.repeated_passages),
     ("benchmark_passages", stages.benchmark_passages),
     ("tokens", stages.tokens),

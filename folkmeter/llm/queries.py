@@ -16,6 +16,7 @@ from folkmeter.llm import (
     packed,
     quality,
     sharding,
+    suffix_dedup,
     token_counts,
     toxicity,
 )
@@ -138,8 +139,64 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(documents(spark, sf_dir))
 
 
-@query("op9_bag_minhash")
+OP9_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_slice(w, i, i + 4) AS x, count(*) AS n
+  FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i) WHERE len(w) > 0 GROUP BY ALL),
+size AS (SELECT doc_id, sum(n) AS total FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS p, b.doc_id AS q, sum(least(a.n, b.n)) AS m
+  FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT p, q FROM shared JOIN size x ON x.doc_id = p JOIN size y ON y.doc_id = q
+  WHERE m >= 0.8 * (x.total + y.total - m) - 1e-9
+  UNION ALL
+  SELECT a.doc_id, b.doc_id FROM d a JOIN d b ON a.t = b.t AND a.doc_id < b.doc_id AND len(a.w) = 0),
+near AS (SELECT p, q FROM link UNION ALL SELECT q, p FROM link),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, near.q FROM reach JOIN near ON near.p = other)
+SELECT doc_id, min(other) AS class_id, doc_id = min(other) AS stays FROM reach GROUP BY doc_id
+"""
+
+
+@query("op9_bag_minhash", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its class, named by the least id in it, and whether it stays."""
     rows, _ = near_duplicates.classes(documents(spark, sf_dir))
     return rows.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("stays"))
+
+
+# Every byte place of every text, with the digest of the 100 bytes that start there.
+OP1_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+h AS (SELECT doc_id, hex(encode(t)) AS x, octet_length(encode(t)) AS n FROM d),
+p AS (
+  SELECT doc_id, i, substr(x, 2 * i + 1, 2) AS b,
+    CASE WHEN i + 100 <= n THEN md5(substr(x, 2 * i + 1, 200)) END AS k
+  FROM h, unnest(range(0, n)) AS r(i)),
+f AS (
+  SELECT doc_id, i, b, k IS NOT NULL AND row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS dup
+  FROM p),
+c AS (
+  SELECT doc_id, i, b, coalesce(bool_or(dup) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), false) AS gone FROM f),
+s AS (
+  SELECT doc_id, i, b, gone,
+    gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS starts FROM c),
+g AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans,
+    coalesce(string_agg(b, '' ORDER BY i) FILTER (NOT gone), '') AS kept
+  FROM s GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM h LEFT JOIN g USING (doc_id)
+"""
+
+
+@query("op1_suffix_array", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(documents(spark, sf_dir))

@@ -4,20 +4,40 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folkmeter.llm import bpe, decontaminate
-from folkmeter.llm.common import table
+from folkmeter.llm import bpe, common, decontaminate, near_duplicates, suffix_dedup
+from folkmeter.llm import quality as scores
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` follows the text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    length = F.length(F.coalesce(F.col("text"), F.lit(""))).cast(docs.schema["n_chars"].dataType)
+    return docs.withColumn("n_chars", length)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents whose quality score is 0.5 or more."""
+    found = common.stored(scores.features(docs.select("doc_id", "text")), "statistics")
+    model = scores.fit(found, common.table(spark, sf_dir, "labels"))
+    return scores.keep_good(docs, model)
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document of the least id."""
+    return near_duplicates.keep_one(docs)
 
 
-near_duplicates = repeated_passages = quality
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; of strings of 100 bytes that came before, the later ones are cut out."""
+    return _counted(suffix_dedup.clean(docs))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    """Benchmark passages are cut out; documents that hold little else go."""
+    return _counted(decontaminate.clean(docs, common.table(spark, sf_dir, "benchmark")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
