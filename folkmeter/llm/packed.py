@@ -21,8 +21,10 @@ gives no rows; texts are encoded whole; other columns are not stored.
 from __future__ import annotations
 
 import os
+import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,8 @@ from folkmeter.llm import common
 
 LENGTH = 2048  # ids in a sequence
 SEQUENCES = 128  # sequences in a batch
-CACHE_WORDS = 400_000  # remembered words, per generation
+CACHE_WORDS = 700_000  # remembered words, per generation
+MARKS = ".,;:!?"  # marks after a word
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST = "part int, name string, n_tokens bigint, n_docs bigint"
 DOCUMENTS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -56,15 +59,33 @@ class WordEncoder:
         self.old: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
+        """A word of letters before closing marks is two matches of the tokenizer's pattern, which
+        are encoded apart: so the forms of a word with and without marks are one to the library,
+        as are those in capitals if they are ASCII."""
         young, old = self.young, self.old
-        missing = []
+        pairs = []
         for word in words:
             if word in old:
                 young[word] = old[word]
-            else:
-                missing.append(word)
-        for word, found in zip(missing, self.tool.encode_batch_fast(missing, add_special_tokens=False)):
-            young[word] = np.array(found.ids, self.kind).tobytes()
+                continue
+            stem = word.rstrip(MARKS)
+            mark = word[len(stem) :]
+            if stem.isascii() and stem.isalpha():
+                stem = stem.lower()
+            elif not unicodedata.normalize("NFC", stem).lower().isalpha():
+                stem, mark = word, ""  # its normal form has more than letters
+            pairs.append((word, stem, mark))
+        new = {x for _, *xs in pairs for x in xs} - young.keys()
+        # ASCII letters are left as they are by all steps before the merges.
+        plain = {x for x in new if x.isascii() and x.isalpha() and x.islower()}
+        for word in plain:
+            ids = [token.id for token in self.tool.model.tokenize(word)]
+            young[word] = array(self.kind.char, ids).tobytes()
+        rest = list(new - plain)
+        for word, found in zip(rest, self.tool.encode_batch_fast(rest, add_special_tokens=False)):
+            young[word] = array(self.kind.char, found.ids).tobytes()
+        for word, stem, mark in pairs:
+            young[word] = young[stem] + young[mark] if mark else young[stem]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""

@@ -174,10 +174,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 h AS (SELECT doc_id, hex(encode(t)) AS x, octet_length(encode(t)) AS n FROM d),
+e AS (
+  SELECT doc_id, n, o, substr(x, 2 * o + 1, 1222) AS y FROM h, unnest(range(0, n, 512)) AS r(o)),
 p AS (
-  SELECT doc_id, i, substr(x, 2 * i + 1, 2) AS b,
-    CASE WHEN i + 100 <= n THEN md5(substr(x, 2 * i + 1, 200)) END AS k
-  FROM h, unnest(range(0, n)) AS r(i)),
+  SELECT doc_id, i, substr(y, 2 * (i - o) + 1, 2) AS b,
+    CASE WHEN i + 100 <= n THEN md5(substr(y, 2 * (i - o) + 1, 200)) END AS k
+  FROM e, unnest(range(o, least(o + 512, n))) AS r(i)),
 f AS (
   SELECT doc_id, i, b, k IS NOT NULL AND row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS dup
   FROM p),
