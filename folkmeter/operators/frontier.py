@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,26 +12,33 @@ from folkmeter.session import cut_lineage
 
 
 def frontier_bfs(
-    edges: DataFrame, seeds: DataFrame, max_rounds: int = 20, max_names: int | None = None
+    edges: DataFrame, seeds: DataFrame, max_rounds: int | None = None, max_names: int | None = None
 ) -> DataFrame:
     """Names (name, depth) reached from ``seeds`` over ``edges`` (src, dst).
 
     Each round follows the references of the last names found, minus all names seen.
     Every round is written to reliable storage, so the plan of a round does not hold
-    the rounds before it. ``max_names`` is the reference limit of a run.
+    the rounds before it. It ends when a round finds no new name; a limit of rounds or
+    names that cuts something off is reported by a warning.
     """
     edges = cut_lineage(edges.filter("src is not null and dst is not null").distinct())
     latest = cut_lineage(seeds.select("name").distinct().withColumn("depth", F.lit(0)))
     rounds = [latest]
     total = latest.count() if max_names is not None else 0
-    for depth in range(1, max_rounds + 1):
+    for depth in itertools.count(1):
         seen = rounds[0]
         for part in rounds[1:]:
             seen = seen.unionByName(part)
         step = edges.join(latest.select(F.col("name").alias("src")), "src", "left_semi")
         fresh = step.select(F.col("dst").alias("name")).distinct()
         fresh = fresh.join(seen.select("name"), "name", "left_anti")
+        if max_rounds is not None and depth > max_rounds:
+            if not fresh.isEmpty():
+                warnings.warn(f"discovery stopped after {max_rounds} rounds", stacklevel=2)
+            break
         if max_names is not None:
+            if fresh.limit(max_names - total + 1).count() > max_names - total:
+                warnings.warn(f"discovery stopped at {max_names} names", stacklevel=2)
             fresh = fresh.orderBy("name").limit(max(max_names - total, 0))
         latest = cut_lineage(fresh.withColumn("depth", F.lit(depth)))
         if latest.isEmpty():

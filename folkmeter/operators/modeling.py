@@ -116,13 +116,17 @@ def _score(model, df: DataFrame, name: str) -> DataFrame:
     return model.setPredictionCol(name).transform(df)
 
 
+def _over(started: float, limit: float | None) -> bool:
+    return limit is not None and time.monotonic() - started > limit
+
+
 def train_models(
     cleaned: DataFrame,
     features: list[str] = FEATURES,
     target: str = TARGET,
     key: str = "id_user",
     max_models: int = 10,
-    max_runtime_secs: float = 300,
+    max_runtime_secs: float | None = None,
     folds: int = 3,
     seed: int = SEED,
     parallelism: int = 4,
@@ -130,7 +134,8 @@ def train_models(
     """Fit the candidates and a linear stack of them; the lowest fold RMSE leads.
 
     Every ranking error comes from rows the model was not fitted on; the test rows
-    are kept apart from the ranking and only measure the leader. The fits of one
+    are kept apart from the ranking and only measure the leader. Candidates that a given
+    time limit leaves out stand in the leaderboard as ``skipped``. The fits of one
     candidate run at the same time, ``parallelism`` of them.
     """
     started = time.monotonic()
@@ -143,10 +148,11 @@ def train_models(
     train = train.withColumn("fold", hash_bucket(key, seed + 1, folds))
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        final, by_fold = {}, {}
+        final, by_fold, skipped = {}, {}, []
         for name, estimator in candidates(max_models, seed).items():
-            if final and time.monotonic() - started > max_runtime_secs:
-                break
+            if final and _over(started, max_runtime_secs):
+                skipped.append(name)
+                continue
             parts = [train.filter(F.col("fold") != k) for k in range(folds)] + [train]
             with ThreadPoolExecutor(parallelism) as pool:
                 fitted = list(pool.map(lambda part: estimator.copy().fit(part), parts))
@@ -187,8 +193,9 @@ def train_models(
         model_id = board[0]["model"]
         spark = cleaned.sparkSession
         leaderboard = spark.createDataFrame(
-            [(i + 1, r["model"], r["rmse"], r["mae"], r["r2"]) for i, r in enumerate(board)],
-            "place int, model string, rmse double, mae double, r2 double",
+            [(i + 1, r["model"], r["rmse"], r["mae"], r["r2"], "fitted") for i, r in enumerate(board)]
+            + [(None, name, None, None, None, "skipped") for name in skipped],
+            "place int, model string, rmse double, mae double, r2 double, status string",
         )
         if model_id == STACK:
             level_one = [m.setPredictionCol(n) for n, m in final.items()]
@@ -243,7 +250,7 @@ def optimize_gbt(
     target: str = TARGET,
     grid: dict[str, list] = GRID,
     max_models: int = 15,
-    max_runtime_secs: float = 300,
+    max_runtime_secs: float | None = None,
     seed: int = SEED,
     parallelism: int = 1,
     tolerance: float = 0.001,
@@ -265,8 +272,8 @@ def optimize_gbt(
     chosen = random.Random(seed).sample(combos, min(max_models, len(combos)))
 
     def fit(params: dict):
-        if done and time.monotonic() - started > max_runtime_secs:
-            return None
+        if done and _over(started, max_runtime_secs):
+            return params, None, None
         model = GBTRegressor(
             seed=seed, validationIndicatorCol="held", validationTol=tolerance, **params
         ).fit(both)
@@ -277,18 +284,23 @@ def optimize_gbt(
     done: list[dict] = []
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            fitted = [r for r in pool.map(fit, chosen) if r is not None]
+            tried = list(pool.map(fit, chosen))
     finally:
         both.unpersist()
-    fitted.sort(key=lambda r: r[1]["mae"])
+    fitted = sorted((r for r in tried if r[1] is not None), key=lambda r: r[1]["mae"])
+    names = ("maxDepth", "stepSize", "maxIter", "subsamplingRate")
     lines = [
-        (i + 1, p["maxDepth"], p["stepSize"], p["maxIter"], p["subsamplingRate"], m["mae"], m["rmse"], m["r2"])
+        (i + 1, *[p[n] for n in names], m["mae"], m["rmse"], m["r2"], "fitted")
         for i, (p, m, _) in enumerate(fitted)
+    ] + [
+        (None, *[p[n] for n in names], None, None, None, "skipped")
+        for p, m, _ in tried
+        if m is None
     ]
     results = train.sparkSession.createDataFrame(
         lines,
         "place int, max_depth int, learn_rate double, trees int, sample_rate double,"
-        " mae double, rmse double, r2 double",
+        " mae double, rmse double, r2 double, status string",
     )
     return results, PipelineModel(stages=[assembler, fitted[0][2]])
 

@@ -158,7 +158,7 @@ def new_minimal_users(
 
 def resolve_communities(names: DataFrame, communities: DataFrame, name: str = "name") -> DataFrame:
     """Add ``id_community`` and ``is_new`` for each community name."""
-    known = communities.groupBy(F.col("name").alias(name)).agg(
+    known = communities.filter("name is not null").groupBy(F.col("name").alias(name)).agg(
         F.min("id_community").alias("_known_id")
     )
     return (

@@ -51,10 +51,13 @@ def upsert_checked(
 
 
 def enrich_incomplete(users: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Users with the profiles of incomplete ones replaced by freshly read profiles."""
-    wanted = incomplete_profiles(users).select(F.lower("name").alias("_name"))
+    """Users with the profiles of incomplete ones replaced by freshly read profiles.
+
+    They are matched by name and keep their stored id, whatever id the profile came with.
+    """
+    wanted = incomplete_profiles(users).select(F.lower("name").alias("_name"), F.col("id_user").alias("_id"))
     keyed = profiles.withColumn("_name", F.lower("name"))
-    fresh = keyed.join(wanted, "_name", "left_semi").drop("_name")
+    fresh = keyed.join(wanted, "_name").withColumn("id_user", F.col("_id")).drop("_name", "_id")
     return upsert(users, fresh, ["id_user"])
 
 

@@ -10,6 +10,7 @@ from folkmeter.functions import keys as K
 from folkmeter.operators import evaluation, features, modeling, profiling, relational
 from folkmeter.operators.cleaning import clean, usable_pages
 from folkmeter.operators.evaluation import clean_training
+from folkmeter.operators.upsert import split_valid
 from folkmeter.session import cut_lineage, persisted
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
@@ -72,7 +73,7 @@ def train(
     out: str,
     scope: str = "all",
     max_models: int = 10,
-    max_runtime_secs: float = 300,
+    max_runtime_secs: float | None = None,
     **options,
 ) -> dict:
     """Fit, save, score and write; ``scope`` says whether all or only cleaned rows are scored."""
@@ -119,6 +120,11 @@ def evaluate(
         return _write_report(evaluation.evaluation_report(scored, method), out)
 
 
+def with_stored_ids(rows: DataFrame, users: DataFrame) -> DataFrame:
+    """User rows under the id by which their name is stored, if it is."""
+    return relational.resolve_authors(rows.drop("id_user"), users, "name")
+
+
 def entities(
     stored: dict[str, DataFrame],
     scraped_at: Column,
@@ -134,12 +140,15 @@ def entities(
     Stored communities and posts are not inserted again; authors without a profile
     get a minimal one unless they are stored.
     """
-    known = stored["users"]
+    known, places = stored["users"], stored["communities"]
     # Read by the tables of posts, authors and memberships: parsed once.
     listed = cut_lineage(J.posts_in_payloads(communities, max_posts))
-    post_rows = J.post_rows(listed, known, scraped_at)
-    comment_rows = J.comment_rows(posts, known, scraped_at, max_comments)
-    profile_rows = J.profile_rows(profiles, scraped_at)
+    post_rows = J.post_rows(listed, known, scraped_at, places)
+    comment_rows = cut_lineage(J.comment_rows(posts, known, scraped_at, max_comments))
+    profile_rows = with_stored_ids(J.profile_rows(profiles, scraped_at), known)
+    community_rows = relational.resolve_communities(
+        J.community_rows(communities, scraped_at).drop("id_community"), places
+    )
     authors = J.discovered_authors(listed, comment_rows)
     named = known.select("id_user", "name").unionByName(profile_rows.select("id_user", "name"))
     minimal = relational.new_minimal_users(authors, named, scraped_at)
@@ -148,9 +157,7 @@ def entities(
     pairs = relational.memberships(post_rows, comment_rows, lookup.dropDuplicates(["id_post"]))
     return {
         "users": profile_rows.unionByName(minimal),
-        "communities": J.new_rows_only(
-            J.community_rows(communities, scraped_at), stored["communities"], "id_community"
-        ),
+        "communities": community_rows.filter("is_new").drop("is_new"),
         "memberships": pairs,
         "posts": J.new_rows_only(post_rows, stored["posts"], "id_post"),
         "comments": comment_rows.drop("author", "path"),
@@ -163,8 +170,8 @@ def page_entities(
     now: Column,
     scraped_at: Column,
     site: str = "",
-    max_posts: int | None = 500,
-    max_comments: int | None = 100,
+    max_posts: int | None = None,
+    max_comments: int | None = None,
 ) -> dict[str, DataFrame]:
     """Entity rows of landed pages (url, html); the address tells the kind of page."""
     good = usable_pages(pages)
@@ -175,13 +182,16 @@ def page_entities(
     known = stored["users"]
 
     # Rows of parsed pages are read by several tables: each page is parsed once.
-    profile_rows = cut_lineage(P.user_entities(P.profiles(profile_pages), scraped_at))
+    profile_rows = P.user_entities(P.profiles(profile_pages), scraped_at)
+    profile_rows = cut_lineage(with_stored_ids(profile_rows, known))
+    places = stored["communities"]
     cards = P.posts_on_pages(community_pages, now, max_posts, site).filter("author != ''")
     cards = cut_lineage(cards)
-    post_rows = relational.resolve_authors(cards, known).select(
-        K.url_last_segment(F.col("post_url")).alias("id_post"),
+    placed_cards = relational.resolve_communities(cards, places, "community")
+    post_rows = relational.resolve_authors(placed_cards, known).select(
+        K.url_entity(F.col("post_url"), "post").alias("id_post"),
         "id_user",
-        K.community_id(F.col("community")).alias("id_community"),
+        "id_community",
         "title",
         "description",
         "date",
@@ -189,7 +199,7 @@ def page_entities(
         "rating",
     )
     boxes = cut_lineage(P.comments_on_pages(post_pages, now, max_comments))
-    talk = relational.resolve_authors(boxes, known).withColumn("id_post", K.url_last_segment(url))
+    talk = relational.resolve_authors(boxes, known).withColumn("id_post", K.url_entity(url, "post"))
     comment_rows = talk.select(
         K.comment_id(F.col("id_user"), F.col("id_post"), F.col("description")).alias("id_comment"),
         "id_user",
@@ -207,7 +217,9 @@ def page_entities(
         "users": profile_rows.unionByName(
             relational.new_minimal_users(authors, named, scraped_at)
         ),
-        "communities": P.community_pages(community_pages, scraped_at),
+        "communities": relational.resolve_communities(
+            P.community_pages(community_pages, scraped_at).drop("id_community"), places
+        ).drop("is_new"),
         "memberships": relational.memberships(
             post_rows, comment_rows, lookup.dropDuplicates(["id_post"])
         ),
@@ -216,30 +228,70 @@ def page_entities(
     }
 
 
-def load_batch(rows: dict[str, DataFrame], root: str, number: int) -> dict[str, int]:
-    """Write one load, parents before children; repeating a load changes nothing."""
-    return {
-        name: store.append_batch(
-            relational.keep_last(rows[name], schemas.PRIMARY_KEYS[name]), root, name, number
-        )
-        for name in schemas.WRITE_ORDER
-        if name in rows
-    }
+def load_batch(
+    rows: dict[str, DataFrame], root: str, number: int, writer: str = store.WRITER
+) -> dict:
+    """Write one load, parents before children; repeating a load changes nothing.
+
+    Rows without a required column go to ``_quarantine`` next to the tables, with the names of
+    the columns they lack; their number is reported when there are any.
+    """
+    counts, bad_counts = {}, {}
+    for name in schemas.WRITE_ORDER:
+        if name not in rows:
+            continue
+        with persisted(rows[name]) as (frame,):
+            good, bad = split_valid(frame, name)
+            latest = relational.keep_last(good, schemas.PRIMARY_KEYS[name])
+            counts[name] = store.append_batch(latest, root, name, number, writer)
+            if not bad.isEmpty():
+                folder = f"{root}/_quarantine/{name}/load={writer}-{number}"
+                bad_counts[name] = tables.write_counted(bad, folder)["rows"]
+    return counts | ({"quarantined": bad_counts} if bad_counts else {})
 
 
 def ingest(
-    spark: SparkSession, root: str, number: int, scraped_at: Column, **payloads: DataFrame
-) -> dict[str, int]:
+    spark: SparkSession,
+    root: str,
+    number: int,
+    scraped_at: Column,
+    writer: str = store.WRITER,
+    **payloads,
+) -> dict:
     """Landed payloads -> entities -> stored tables under ``root``."""
     rows = entities(store.read_all(spark, root), scraped_at, **payloads)
-    return load_batch(rows, root, number)
+    return load_batch(rows, root, number, writer)
 
 
 def ingest_pages(
-    spark: SparkSession, root: str, number: int, pages: DataFrame, now: Column, scraped_at: Column
-) -> dict[str, int]:
-    rows = page_entities(store.read_all(spark, root), pages, now, scraped_at)
-    return load_batch(rows, root, number)
+    spark: SparkSession,
+    root: str,
+    number: int,
+    pages: DataFrame,
+    now: Column,
+    scraped_at: Column,
+    writer: str = store.WRITER,
+    max_posts: int | None = None,
+    max_comments: int | None = None,
+) -> dict:
+    """Landed pages -> entities -> stored tables; limits that cut something off are reported."""
+    rows = page_entities(
+        store.read_all(spark, root), pages, now, scraped_at, "", max_posts, max_comments
+    )
+    counts = load_batch(rows, root, number, writer)
+    good, cut = usable_pages(pages), {}
+    for name, limit, rule, needed in (
+        ("posts", max_posts, "post_cards", ("title",)),
+        ("comments", max_comments, "comment_boxes", ("author", "description")),
+    ):
+        if limit is not None:
+            kind = K.community_from_url if name == "posts" else K.page_post
+            here = good.filter(kind(F.col("url")).isNotNull())
+            found = P.extract(here, rule, needed).groupBy("url").agg(F.count("*").alias("n"))
+            over = found.filter(F.col("n") > limit).agg(F.sum(F.col("n") - limit)).first()[0]
+            if over:
+                cut[name] = over
+    return counts | ({"cut_by_limits": cut} if cut else {})
 
 
 def status(spark: SparkSession, root: str, silver: str, gold: str) -> dict[str, DataFrame]:

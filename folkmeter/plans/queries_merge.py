@@ -70,12 +70,12 @@ def upsert_memberships(t: Tables):
 
 
 FRESH_SQL = """fresh AS (
-    SELECT CAST(p_partkey AS VARCHAR) AS id_user, 'CUSTOMER#' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS name,
+    SELECT 'fresh-' || p_partkey AS id_user, 'CUSTOMER#' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS name,
            CAST(p_size AS BIGINT) AS karma, p_name AS description, p_brand AS human_owner,
            CAST(NULL AS VARCHAR) AS joined, CAST(p_size AS BIGINT) AS followers,
            CAST(p_size AS BIGINT) AS following, '2024-06-01' AS scraped_at FROM part),
-  wanted AS (SELECT * FROM fresh WHERE lower(name) IN (SELECT lower(name) FROM raw_users
-      WHERE name IS NOT NULL AND (description IS NULL OR karma = 0 OR karma IS NULL)))"""
+  wanted AS (SELECT fresh.* REPLACE (u.id_user AS id_user) FROM fresh JOIN raw_users u ON lower(u.name) = lower(fresh.name)
+      WHERE u.name IS NOT NULL AND (u.description IS NULL OR u.karma = 0 OR u.karma IS NULL))"""
 
 
 @query("enrich_incomplete", """
@@ -84,7 +84,7 @@ FRESH_SQL = """fresh AS (
 def enrich_incomplete(t: Tables):
     key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("bigint")
     fresh = t.read("part").select(
-        key.alias("id_user"),
+        F.concat(F.lit("fresh-"), key).alias("id_user"),
         F.concat(F.lit("CUSTOMER#"), F.lpad(key, 9, "0")).alias("name"),
         size.alias("karma"),
         F.col("p_name").alias("description"),
@@ -116,7 +116,7 @@ EDGES_SQL = """found AS (SELECT regexp_extract_all(html, '<a\\s[^>]*href="/([^"/
   edges AS (SELECT DISTINCT refs[1] AS src, unnest(refs) AS dst FROM found),
   walk(name, depth) AS (
     SELECT min(src), 0 FROM edges
-    UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.name WHERE w.depth < 20)"""
+    UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.name WHERE w.depth < 50)"""  # beyond any shortest path here
 
 
 @query("frontier_bfs", "SELECT name, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY name", EDGES_SQL)
@@ -126,7 +126,7 @@ def frontier_bfs(t: Tables):
         F.get("refs", F.lit(0)).alias("src"), F.explode("refs").alias("dst")
     )
     seeds = edges.agg(F.min("src").alias("name"))
-    return frontier.frontier_bfs(edges, seeds, max_rounds=20)
+    return frontier.frontier_bfs(edges, seeds)
 
 
 @query("stream_upsert_users", """

@@ -20,6 +20,10 @@ BASE_URL = "https://community.example.org"
 
 
 def _id_sql(prefix: str, expression: str) -> str:
+    return f"'{prefix}_' || sha256({expression})"
+
+
+def _old_id_sql(prefix: str, expression: str) -> str:
     return f"'{prefix}_' || substr(sha256({expression}), 1, 12)"
 
 
@@ -62,13 +66,26 @@ def post_id(t: Tables):
 
 
 @query("comment_id", f"""
-    SELECT conv_id, turn, {_id_sql('comment', "concat_ws('|', role, CAST(conv_id AS VARCHAR), nullif(substr(coalesce(text, ''), 1, 50), ''))")} AS id_comment
+    SELECT conv_id, turn, {_id_sql('comment', "concat_ws('|', role, CAST(conv_id AS VARCHAR), nullif(text, ''))")} AS id_comment
     FROM conversations""")
 def comment_id(t: Tables):
     made = K.comment_id(F.col("role"), F.col("conv_id"), F.col("text"))
     return t.read("conversations").select("conv_id", "turn", made.alias("id_comment"))
 
 
+@query("old_ids", f"""
+    SELECT conv_id, turn, {_old_id_sql('user', "lower(role)")} AS id_user,
+           {_old_id_sql('comment', "concat_ws('|', role, CAST(conv_id AS VARCHAR), nullif(substr(coalesce(text, ''), 1, 50), ''))")} AS id_comment
+    FROM conversations""")
+def old_ids(t: Tables):
+    """The form that stores with old ids need."""
+    known = {"length": K.OLD_ID_LENGTH}
+    made = K.comment_id(F.col("role"), F.col("conv_id"), F.col("text"), K.OLD_COMMENT_SAMPLE, **known)
+    return t.read("conversations").select(
+        "conv_id", "turn", K.user_id(F.col("role"), **known).alias("id_user"), made.alias("id_comment")
+    )
+
+
 @query("url_last_segment", "SELECT page_id, split_part(url, '/', -1) AS segment FROM pages")
 def url_last_segment(t: Tables):
     return t.read("pages").select("page_id", K.url_last_segment(F.col("url")).alias("segment"))
@@ -440,12 +457,12 @@ def flatten_replies(t: Tables):
 
 
 @query("json_comments", f"""
-    SELECT {_id_sql('comment', "concat_ws('|', id_user, id_post, nullif(substr(description, 1, 50), ''))")} AS id_comment,
+    SELECT {_id_sql('comment', "concat_ws('|', id_user, id_post, nullif(description, ''))")} AS id_comment,
            id_user, id_post, description, '2024-03-05' AS date, '2024-06-01' AS scraped_at, rating
     FROM (SELECT {_id_sql('user', 'role || depth')} AS id_user, id_post, content AS description,
-                 CAST(length(content) - depth AS BIGINT) AS rating FROM ordered WHERE place <= 25) q""", TREE_SQL)
+                 CAST(length(content) - depth AS BIGINT) AS rating FROM ordered) q""", TREE_SQL)
 def json_comments(t: Tables):
-    rows = J.comment_rows(_post_payloads(t), t.users, F.lit("2024-06-01"), max_comments=25)
+    rows = J.comment_rows(_post_payloads(t), t.users, F.lit("2024-06-01"))
     return rows.drop("author", "path")
 
 
@@ -564,9 +581,8 @@ def html_comments(t: Tables):
     FROM (SELECT doc_id, CAST(pos AS INTEGER) AS pos, trim(line, {WS_SQL}) AS title, trim(line, {WS_SQL}) AS description,
                  lang AS author, 'c' || doc_id AS community, pos AS rating,
                  strftime(TIMESTAMP '2024-06-30 12:00:00' - to_hours(pos), '%Y-%m-%d') AS date,
-                 'https://x.org/post/' || doc_id || '-' || pos AS post_url,
-                 row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS rn
-          FROM lines WHERE trim(line, {WS_SQL}) <> '') q WHERE rn <= 10""", LINES_SQL)
+                 'https://x.org/post/' || doc_id || '-' || pos AS post_url
+          FROM lines WHERE trim(line, {WS_SQL}) <> '') q""", LINES_SQL)
 def html_posts(t: Tables):
     card = _joined(
         _lines(),
@@ -581,7 +597,7 @@ def html_posts(t: Tables):
         _c("https://x.org/m/c", F.col("doc_id").cast("string")).alias("url"),
         _c("<html><body><main>", card, "</main></body></html>").alias("html"),
     )
-    return P.posts_on_pages(pages, _now(), max_posts=10, site="https://x.org")
+    return P.posts_on_pages(pages, _now(), site="https://x.org")
 
 
 @query("html_listing", """
@@ -613,7 +629,7 @@ def _profile_pages(t: Tables) -> DataFrame:
     n = F.col("n_chars").cast("string")
     html = _c(
         '<html><body><div class="flex items-start gap-4"><div class="flex-1"><h1>name</h1><p class="mt-1">',
-        _escape(F.col("text")), '</p><div class="mt-3 flex flex-wrap items-center"><div class="text-sm"><span class="font-bold">',
+        _escape(F.col("text")), '</p><span>|</span><div class="mt-3 flex flex-wrap items-center"><div class="text-sm"><span class="font-bold">',
         n, '</span> karma</div><div class="text-sm"><span class="font-bold">1.5K</span> followers</div>',
         '<div class="text-sm"><span class="font-bold">', F.col("doc_id").cast("string"), "</span> following</div>",
         '<div class="text-sm">Joined 2/3/2024</div></div><div class="mt-4 pt-4 border-t"><a href="https://x.com/own_',
@@ -633,6 +649,7 @@ def html_profiles_by_block(t: Tables):
 
 @query("html_profiles", f"""
     SELECT 'https://x.org/u/d' || doc_id AS url, 'd' || doc_id AS name, trim(text, {WS_SQL}) AS description,
-           'own_' || lang AS human_owner FROM documents""")
+           'own_' || lang AS human_owner, '2/3/2024' AS joined, n_chars AS karma, CAST(1500 AS BIGINT) AS followers,
+           doc_id AS following FROM documents""")
 def html_profiles(t: Tables):
-    return P.profiles(_profile_pages(t)).select("url", "name", "description", "human_owner")
+    return P.profiles(_profile_pages(t))

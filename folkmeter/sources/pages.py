@@ -25,6 +25,17 @@ COMMENT_HEAD = "div.flex.items-center.gap-2.text-xs"
 REF_PATTERN = r"/m/([A-Za-z0-9_-]+)"
 NOT_A_NAME = ["undefined", "null", "create"]
 SITE_PHRASE = "social network"
+JOINED_DAY = r"(?i)joined\s+(\d{1,2}/\d{1,2}/\d{4})"
+JOINED_DAY_EXACT = r"Joined\s+(\d{1,2}/\d{1,2}/\d{4})"
+JOINED_LATE = r"Joined\s+(.+?)(?:\s+Online|\s*$)"
+KARMA = rf"(?i){NUMBER}\s*karma"
+KARMA_AFTER = rf"(?i)karma[:\s]*{NUMBER}"
+FOLLOWERS = rf"(?i){NUMBER}\s*followers?"
+FOLLOWING = rf"(?i){NUMBER}\s*following"
+
+# Rows and characters that a task holds before it hands them on.
+BLOCK_ROWS = 1_000
+BLOCK_CHARS = 4 << 20
 
 
 # --- flat rules: native expressions -------------------------------------------------
@@ -231,12 +242,16 @@ def extract(
         return islice(full, limit)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, size = [], 0
         for batch in batches:
-            rows = [
-                {"url": url, "pos": pos, **found}
-                for url, html in zip(batch["url"], batch["html"])
-                for pos, found in rows_of(html)
-            ]
+            for url, html in zip(batch["url"], batch["html"]):
+                for pos, found in rows_of(html):
+                    rows.append({"url": url, "pos": pos, **found})
+                    size += sum(len(v) for v in found.values() if isinstance(v, str))
+                    if len(rows) >= BLOCK_ROWS or size >= BLOCK_CHARS:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+        if rows:
             yield pd.DataFrame(rows, columns=names)
 
     schema = f"url string, pos int, {columns}"
@@ -281,13 +296,13 @@ def profiles(pages: DataFrame) -> DataFrame:
     body = F.col("body")
     return rows.select(
         "url",
-        K.url_suffix(F.col("url"), "/u/").alias("name"),
+        K.username_from_url(F.col("url")).alias("name"),
         F.coalesce(_own_bio(F.col("bio")), F.col("other_bio")).alias("description"),
         S.first_match(F.col("owner_href"), [OWNER_PATTERN]).alias("human_owner"),
-        S.first_match(body, [r"(?i)joined\s+(\d{1,2}/\d{1,2}/\d{4})"]).alias("joined"),
-        _count(body, rf"(?i){NUMBER}\s*karma", rf"(?i)karma[:\s]*{NUMBER}").alias("karma"),
-        _count(body, rf"(?i){NUMBER}\s*followers?").alias("followers"),
-        _count(body, rf"(?i){NUMBER}\s*following").alias("following"),
+        S.first_match(body, [JOINED_DAY]).alias("joined"),
+        _count(body, KARMA, KARMA_AFTER).alias("karma"),
+        _count(body, FOLLOWERS).alias("followers"),
+        _count(body, FOLLOWING).alias("following"),
     )
 
 
@@ -321,7 +336,7 @@ def profiles_by_block(pages: DataFrame, site_handles: tuple[str, ...] = ()) -> D
         stat("joined"), lambda s: F.nullif(F.regexp_extract(s["line"], r"joined\s+(\S+)", 1), F.lit(""))
     )
     joined = F.get(F.reverse(F.filter(joined_lines, lambda j: j.isNotNull())), 0)
-    late = S.trim_ws(S.first_match(body, [r"Joined\s+(.+?)(?:\s+Online|\s*$)"]))
+    late = S.trim_ws(S.first_match(body, [JOINED_LATE]))
     others = F.filter(
         "other_hrefs",
         lambda h: h.rlike(OWNER_PATTERN)
@@ -334,22 +349,22 @@ def profiles_by_block(pages: DataFrame, site_handles: tuple[str, ...] = ()) -> D
     bios = F.col("bios")
     return rows.select(
         "url",
-        K.url_suffix(F.col("url"), "/u/").alias("name"),
+        K.username_from_url(F.col("url")).alias("name"),
         F.coalesce(F.nullif(bios[0], F.lit("")), _own_bio(bios[1]), _own_bio(bios[2])).alias(
             "description"
         ),
         F.when(F.col("has_section"), inside).otherwise(outside).alias("human_owner"),
         F.coalesce(
             joined,
-            S.first_match(body, [r"Joined\s+(\d{1,2}/\d{1,2}/\d{4})"]),
-            F.substring(late, 1, 30),
+            S.first_match(body, [JOINED_DAY_EXACT]),
+            late,
         ).alias("joined"),
-        F.when(karma != 0, karma).otherwise(_count(body, rf"(?i){NUMBER}\s*karma")).alias("karma"),
+        F.when(karma != 0, karma).otherwise(_count(body, KARMA)).alias("karma"),
         F.when(followers != 0, followers)
-        .otherwise(_count(block, rf"(?i){NUMBER}\s*followers?"))
+        .otherwise(_count(block, FOLLOWERS))
         .alias("followers"),
         F.when(following != 0, following)
-        .otherwise(_count(block, rf"(?i){NUMBER}\s*following"))
+        .otherwise(_count(block, FOLLOWING))
         .alias("following"),
     )
 
@@ -375,7 +390,7 @@ def _age_date(age: Column, now: Column) -> Column:
 
 def community_pages(pages: DataFrame, scraped_at: Column) -> DataFrame:
     """Community entities of community pages."""
-    name = K.url_suffix(F.col("url"), "/m/")
+    name = K.community_from_url(F.col("url"))
     return pages.select(
         K.community_id(name).alias("id_community"),
         name.alias("name"),
@@ -385,9 +400,9 @@ def community_pages(pages: DataFrame, scraped_at: Column) -> DataFrame:
 
 
 def posts_on_pages(
-    pages: DataFrame, now: Column, max_posts: int | None = 10, site: str = ""
+    pages: DataFrame, now: Column, max_posts: int | None = None, site: str = ""
 ) -> DataFrame:
-    """Post cards with a title, the first ``max_posts`` of each page.
+    """Post cards with a title, all or the first ``max_posts`` of each page.
 
     The community is the one of the page address; the date of a card without an
     age is the day of ``now``.
@@ -409,8 +424,8 @@ def posts_on_pages(
     )
 
 
-def comments_on_pages(pages: DataFrame, now: Column, max_comments: int | None = 500) -> DataFrame:
-    """Comment boxes with author and text, the first ``max_comments`` of each page."""
+def comments_on_pages(pages: DataFrame, now: Column, max_comments: int | None = None) -> DataFrame:
+    """Comment boxes with author and text, all or the first ``max_comments`` of each page."""
     kept = extract(pages, "comment_boxes", ("author", "description"), max_comments)
     age = F.col("age_text")
     return kept.select(

@@ -1,4 +1,7 @@
-"""Stored raw pages: which wanted URLs are at hand and which are still to fetch."""
+"""Stored raw pages: which wanted URLs are at hand and which are still to fetch.
+
+Pages are matched by their whole URL; the file-name key is carried along for the store.
+"""
 
 from __future__ import annotations
 
@@ -17,7 +20,7 @@ def cached(urls: DataFrame, store: DataFrame, force_refresh: bool = False) -> Da
     keyed = with_key(urls)
     if force_refresh:
         return keyed.limit(0)
-    return keyed.join(with_key(store).select("cache_key"), "cache_key", "left_semi")
+    return keyed.join(store.select("url"), "url", "left_semi")
 
 
 def to_fetch(urls: DataFrame, store: DataFrame, force_refresh: bool = False) -> DataFrame:
@@ -25,4 +28,4 @@ def to_fetch(urls: DataFrame, store: DataFrame, force_refresh: bool = False) ->
     keyed = with_key(urls)
     if force_refresh:
         return keyed
-    return keyed.join(with_key(store).select("cache_key"), "cache_key", "left_anti")
+    return keyed.join(store.select("url"), "url", "left_anti")

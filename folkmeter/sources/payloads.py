@@ -8,7 +8,12 @@ from pyspark.sql import types as T
 
 from folkmeter.functions import keys as K
 from folkmeter.functions import scalars as S
-from folkmeter.operators.relational import cap_per_group, refs_union, resolve_authors
+from folkmeter.operators.relational import (
+    cap_per_group,
+    refs_union,
+    resolve_authors,
+    resolve_communities,
+)
 from folkmeter.session import cut_lineage
 
 POST = (
@@ -77,14 +82,24 @@ def posts_in_payloads(
     ).filter(_present(F.col("author")))
 
 
-def post_rows(listed: DataFrame, users: DataFrame, scraped_at: Column) -> DataFrame:
-    """Post entities of ``posts_in_payloads`` rows, authors resolved against ``users``."""
+def post_rows(
+    listed: DataFrame,
+    users: DataFrame,
+    scraped_at: Column,
+    communities: DataFrame | None = None,
+) -> DataFrame:
+    """Post entities of ``posts_in_payloads`` rows; authors and communities that are stored keep
+    their stored ids."""
     resolved = resolve_authors(listed, users)
+    if communities is None:
+        resolved = resolved.withColumn("id_community", K.community_id(F.col("community")))
+    else:
+        resolved = resolve_communities(resolved, communities, "community")
     key = K.post_id(F.col("id"), F.col("url"), F.col("title"), F.col("id_user"))
     return resolved.select(
         key.alias("id_post"),
         "id_user",
-        K.community_id(F.col("community")).alias("id_community"),
+        "id_community",
         "title",
         F.col("content").alias("description"),
         S.iso_prefix_date(F.col("created_at")).alias("date"),

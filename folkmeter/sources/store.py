@@ -1,11 +1,16 @@
-"""Parquet folders of one keyed table: a full snapshot and the batches after it.
+"""Parquet folders of one keyed table: a full snapshot and the loads after it.
 
-A load writes only its own batch folder and can be repeated without effect. Readers
-see the snapshot with the later batches merged in; ``compact`` folds them together.
+A load is known by its writer and a number, and has a folder of its own, so repeating it
+replaces it and writers do not touch each other's loads. When a load is written it gets the next
+place in the order of commits, by creating a file that must not exist yet. Readers see the
+newest snapshot with the later commits merged in; ``compact`` folds them together.
 """
 
 from __future__ import annotations
 
+import re
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,28 +19,91 @@ from folkmeter import schemas
 from folkmeter.operators.relational import keep_last
 from folkmeter.sources.tables import write_counted
 
-
-def _finished(spark: SparkSession, folder: str, kind: str) -> list[int]:
-    """Numbers of the completely written ``kind=<n>`` folders."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, f"{kind}=*/_SUCCESS")) or []
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
-
-
-def append_batch(df: DataFrame, root: str, table: str, number: int) -> int:
-    """Write batch ``number`` (1, 2, ...); writing it again replaces it."""
+WRITER = "load"
+
+
+def _files(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _listed(spark: SparkSession, pattern: str) -> list:
+    found = _files(spark, pattern).globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern))
+    return [s.getPath() for s in found or []]
+
+
+def _snapshots(spark: SparkSession, folder: str) -> list[int]:
+    """Places in the order of commits up to which a finished snapshot goes."""
+    found = _listed(spark, f"{folder}/snapshot=*/_SUCCESS")
+    return sorted(int(p.getParent().getName().split("=")[1]) for p in found)
+
+
+def _commits(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Place in the order of commits of each load."""
+    out = {}
+    for path in _listed(spark, f"{folder}/_commits/*"):
+        stream = _files(spark, folder).open(path)
+        try:
+            out[stream.readUTF()] = int(path.getName())
+        finally:
+            stream.close()
+    return out
+
+
+def _commit(spark: SparkSession, folder: str, load: str) -> int:
+    """Give ``load`` the next free place; another writer may be doing the same."""
+    files, path = _files(spark, folder), spark._jvm.org.apache.hadoop.fs.Path
+    place = max([0, *_snapshots(spark, folder), *_commits(spark, folder).values()])
+    while True:
+        place += 1
+        target = path(f"{folder}/_commits/{place:012d}")
+        try:
+            stream = files.create(target, False)
+        except Py4JJavaError:
+            if not files.exists(target):
+                raise
+            continue
+        stream.writeUTF(load)
+        stream.close()
+        return place
+
+
+def append_batch(
+    df: DataFrame, root: str, table: str, number: int, writer: str = WRITER, covered: str = "raise"
+) -> int:
+    """Write load ``number`` of ``writer``; writing it again replaces it.
+
+    A load that a snapshot already holds can no longer be replaced: that is an error, unless
+    ``covered`` is ``skip`` because the caller knows that the rows are the same.
+    """
+    if not re.fullmatch(r"[\w.\-]+", writer):
+        raise ValueError(f"not a name of a writer: {writer!r}")
+    spark, folder, load = df.sparkSession, f"{root}/{table}", f"{writer}-{number}"
+    place = _commits(spark, folder).get(load)
+    if place is not None and place <= max([0, *_snapshots(spark, folder)]):
+        if covered == "skip":
+            return 0
+        raise ValueError(f"load {number} of {writer} is already part of a snapshot of {table}")
     rows = df.select(*schemas.TABLES[table].fieldNames())
-    return write_counted(rows, f"{root}/{table}/batch={number}")["rows"]
+    written = write_counted(rows, f"{folder}/load={load}")["rows"]
+    if place is None:
+        _commit(spark, folder, load)
+    return written
 
 
-def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
+def read_current(
+    spark: SparkSession, root: str, table: str, until: int | None = None
+) -> DataFrame:
+    """The table as of the last commit, or as of commit ``until``."""
     folder, schema = f"{root}/{table}", schemas.nullable(schemas.TABLES[table])
     keys = schemas.PRIMARY_KEYS[table]
-    snapshots = _finished(spark, folder, "snapshot")
+    snapshots = _snapshots(spark, folder)
     covered = snapshots[-1] if snapshots else 0
-    later = [n for n in _finished(spark, folder, "batch") if n > covered]
+    later = {
+        load: place
+        for load, place in _commits(spark, folder).items()
+        if place > covered and (until is None or place <= until)
+    }
     base = (
         spark.read.schema(schema).parquet(f"{folder}/snapshot={covered}")
         if snapshots
@@ -43,21 +111,23 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
     )
     if not later:
         return base
-    reader = spark.read.schema(schema.add("batch", T.LongType())).option("basePath", folder)
-    batches = reader.parquet(*[f"{folder}/batch={n}" for n in later])
-    latest = keep_last(batches, keys, ["batch"]).drop("batch")
+    reader = spark.read.schema(schema.add("load", T.StringType())).option("basePath", folder)
+    rows = reader.parquet(*[f"{folder}/load={load}" for load in later])
+    # One row per load after the snapshot.
+    order = F.broadcast(spark.createDataFrame(list(later.items()), "load string, _place bigint"))
+    latest = keep_last(rows.join(order, "load").drop("load"), keys, ["_place"]).drop("_place")
     kept = base.join(latest.select(*keys), keys, "left_anti")
     return kept.unionByName(latest.select(*base.columns))
 
 
 def compact(spark: SparkSession, root: str, table: str) -> int:
-    """Fold finished batches into a new snapshot; old folders are left to retention."""
+    """Fold finished loads into a new snapshot; old folders are left to retention."""
     folder = f"{root}/{table}"
-    batches, snapshots = _finished(spark, folder, "batch"), _finished(spark, folder, "snapshot")
-    newest = max([0, *batches, *snapshots])
+    snapshots = _snapshots(spark, folder)
+    newest = max([0, *_commits(spark, folder).values(), *snapshots])
     if newest in snapshots or newest == 0:
         return newest
-    write_counted(read_current(spark, root, table), f"{folder}/snapshot={newest}")
+    write_counted(read_current(spark, root, table, newest), f"{folder}/snapshot={newest}")
     return newest
 
 

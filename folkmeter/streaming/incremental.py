@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,23 +21,30 @@ def upsert_stream(
     to_rows: Callable[[DataFrame], DataFrame] = lambda df: df,
     order_by: list[str] | None = None,
 ) -> StreamingQuery:
-    """Upsert the rows of a stream into ``table``, each micro-batch as one stored batch.
+    """Upsert the rows of a stream into ``table``, each micro-batch as one stored load.
 
-    The batch number comes from the stream's own checkpoint, so a replayed
-    micro-batch replaces its folder and later batches win by key.
+    The writer is the stream as its checkpoint knows it, the number that of the micro-batch: a
+    replayed micro-batch replaces its load, and a stream with a new checkpoint is a new writer.
+    A replay that a snapshot already holds brings the same rows and is passed over.
     """
     keys = schemas.PRIMARY_KEYS[table]
+    known = threading.Event()
+    stream: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        known.wait()
         latest = keep_last(to_rows(batch), keys, order_by)
-        store.append_batch(latest, root, table, batch_id + 1)
+        store.append_batch(latest, root, table, batch_id, f"stream-{stream[0]}", covered="skip")
 
-    return (
+    query = (
         source.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    stream.append(str(query.id))
+    known.set()
+    return query
 
 
 def landed_files(

@@ -101,6 +101,46 @@ def test_store(spark, tmp_path):
     assert current() == {"a": 1, "b": 2, "c": 4}
 
 
+def test_store_keeps_the_loads_of_all_writers(spark, tmp_path):
+    root = str(tmp_path)
+
+    def current():
+        return {r.id_user: r.karma for r in store.read_current(spark, root, "users").collect()}
+
+    store.append_batch(person(spark, ("a", "A", 1)), root, "users", 3, "one")
+    store.append_batch(person(spark, ("b", "B", 1)), root, "users", 1, "two")
+    store.append_batch(person(spark, ("a", "A", 2)), root, "users", 1, "one")
+    assert current() == {"a": 2, "b": 1}  # the order of commits counts, not that of numbers
+    store.compact(spark, root, "users")
+    store.append_batch(person(spark, ("c", "C", 1)), root, "users", 2, "two")
+    assert current() == {"a": 2, "b": 1, "c": 1}
+    with pytest.raises(ValueError, match="already part"):
+        store.append_batch(person(spark, ("b", "B", 9)), root, "users", 1, "two")
+    assert store.append_batch(person(spark, ("b", "B", 1)), root, "users", 1, "two", "skip") == 0
+    with pytest.raises(ValueError, match="name of a writer"):
+        store.append_batch(person(spark, ("b", "B", 1)), root, "users", 1, "../x")
+
+
+def test_stream_with_a_new_checkpoint_after_compaction(spark, tmp_path):
+    landed, root = f"{tmp_path}/landed", f"{tmp_path}/root"
+
+    def land(*rows):
+        frame = body(spark, "name", *[(n, {"success": True, "agent": {"karma": k}}) for n, k in rows])
+        frame.coalesce(1).write.mode("append").json(landed)
+
+    def run(progress):
+        incremental.profile_stream(spark, landed, root, f"{tmp_path}/{progress}", F.lit("s")).awaitTermination()
+
+    land(("Ann", 1))
+    run("first")
+    store.append_batch(person(spark, ("x", "X", 7)), root, "users", 1)
+    store.compact(spark, root, "users")
+    land(("Ann", 2), ("Bob", 3))
+    run("second")
+    got = {r.name: r.karma for r in store.read_current(spark, root, "users").collect()}
+    assert got == {"Ann": 2, "Bob": 3, "X": 7}
+
+
 def body(spark, key, *rows):
     return spark.createDataFrame([(k, json.dumps(b)) for k, b in rows], f"{key} string, body string")
 
@@ -146,6 +186,56 @@ def test_ingest_pages(spark, tmp_path):
     assert people == {"ann": 5, "bob": 0}
 
 
+def test_pages_of_one_entity_meet(spark, tmp_path):
+    """Addresses with a query, stored ids of old loads, more comments than any old limit."""
+    root = str(tmp_path)
+    store.append_batch(person(spark, ("u-old", "Ann", 3)), root, "users", 1, "old")
+    town = spark.createDataFrame([("m-old", "town", "d", "s")], schemas.nullable(schemas.COMMUNITIES))
+    store.append_batch(town, root, "communities", 1, "old")
+    card = '<a href="/post/p9?ref=1"><h3>Title</h3><div class="text-xs"><span class="hover:underline">u/ann</span></div></a>'
+    box = '<div class="py-2"><a href="/u/bob?x=1">u/bob</a><div class="prose-invert"><p>say {}</p></div></div>'
+    talk = '<div class="mt-6">' + "".join(box.format(i) for i in range(300)) + "</div>"
+    rows = [
+        ("https://x.org/m/town?sort=new", f"<body>{card}</body>"),
+        ("https://x.org/post/p9?ref=1", f"<body>{talk}</body>"),
+        ("https://x.org/u/ann?tab=posts", "<body><h1>ann</h1><p>bio</p>5 karma</body>"),
+    ]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    now = F.lit("2024-03-10 00:00:00").cast("timestamp")
+    counts = jobs.ingest_pages(spark, root, 1, pages, now, F.lit("s"))
+    assert counts["comments"] == 300
+    people = {r.id_user: r.name for r in store.read_current(spark, root, "users").collect()}
+    assert people["u-old"] == "ann" and len(people) == 2
+    posts = store.read_current(spark, root, "posts").collect()
+    assert [(p.id_post, p.id_user, p.id_community) for p in posts] == [("p9", "u-old", "m-old")]
+    assert store.read_current(spark, root, "communities").count() == 1
+    members = {r.id_user for r in store.read_current(spark, root, "memberships").collect()}
+    assert members == set(people)
+    assert {r.id_post for r in store.read_current(spark, root, "comments").collect()} == {"p9"}
+    few = jobs.ingest_pages(spark, f"{root}/few", 1, pages, now, F.lit("s"), max_comments=100)
+    assert few["comments"] == 100 and few["cut_by_limits"] == {"comments": 200}
+
+
+def test_bad_rows_are_put_aside(spark, tmp_path):
+    root = str(tmp_path)
+    counts = jobs.load_batch({"users": person(spark, ("a", "A", 1), ("b", None, 2), (None, "C", 3))}, root, 1)
+    assert counts == {"users": 1, "quarantined": {"users": 2}}
+    bad = spark.read.parquet(f"{root}/_quarantine/users/load=load-1")
+    assert {(r.id_user, r.missing) for r in bad.collect()} == {("b", "name"), (None, "id_user")}
+
+
+def test_payloads_keep_stored_ids(spark, tmp_path):
+    root = str(tmp_path)
+    store.append_batch(person(spark, ("u-old", "ANN", 3)), root, "users", 1, "old")
+    town = spark.createDataFrame([("m-old", "town", "d", "s")], schemas.nullable(schemas.COMMUNITIES))
+    store.append_batch(town, root, "communities", 1, "old")
+    counts = jobs.ingest(spark, root, 1, F.lit("s1"), **load(spark))
+    assert counts["communities"] == 0 and counts["users"] == 3
+    people = {r.name: r.id_user for r in store.read_current(spark, root, "users").collect()}
+    assert people["Ann"] == "u-old" and len(people) == 3
+    assert {r.id_community for r in store.read_current(spark, root, "posts").collect()} == {"m-old"}
+
+
 def test_stream_equals_batch(spark, tmp_path):
     landed, root, progress = (f"{tmp_path}/{n}" for n in ("landed", "root", "progress"))
     first = [("Ann", 1), ("Bob", 2)]
@@ -209,6 +299,8 @@ def test_grid(spark, signal):
     train, valid = modeling.split(clean_training(signal))
     grid = {"maxDepth": [2, 3], "stepSize": [0.1], "maxIter": [5], "subsamplingRate": [1.0]}
     results, best = modeling.optimize_gbt(train, valid, grid=grid, max_models=9)
+    hurried, _ = modeling.optimize_gbt(train, valid, grid=grid, max_runtime_secs=0)
+    assert sorted(r.status for r in hurried.collect()) == ["fitted", "skipped"]
     rows = results.orderBy("place").collect()
     assert len(rows) == 2 and rows[0].mae <= rows[1].mae
     own = modeling.tree_importance(best)

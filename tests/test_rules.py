@@ -61,7 +61,7 @@ def test_ids(spark):
     import hashlib
 
     def want(prefix, text):
-        return f"{prefix}_" + hashlib.sha256(text.encode()).hexdigest()[:12]
+        return f"{prefix}_" + hashlib.sha256(text.encode()).hexdigest()
 
     ids = column(spark, ["Ada", "ADA", "ada"], K.user_id)
     assert ids == [want("user", "ada")] * 3
@@ -69,8 +69,11 @@ def test_ids(spark):
     made = rows.select(K.generate_id("x", *[F.col(c) for c in "abcd"])).first()[0]
     assert made == want("x", "a|d")
     text = "word " * 40
-    one = column(spark, [text, text[:50] + "other"], lambda c: K.comment_id(F.lit("u"), F.lit("p"), c))
-    assert one == [want("comment", "u|p|" + text[:50])] * 2
+    texts = [text, text[:50] + "other"]
+    made = column(spark, texts, lambda c: K.comment_id(F.lit("u"), F.lit("p"), c))
+    assert made == [want("comment", "u|p|" + t) for t in texts]
+    old = column(spark, texts, lambda c: K.comment_id(F.lit("u"), F.lit("p"), c, sample=50, length=12))
+    assert old == [want("comment", "u|p|" + text[:50])[:20]] * 2
 
 
 def test_post_id(spark):

@@ -244,9 +244,11 @@ def test_frontier(spark):
     seeds = spark.createDataFrame([("a",)], "name string")
     walk = frontier.frontier_bfs(frame, seeds)
     assert {r.name: r.depth for r in walk.collect()} == {"a": 0, "b": 1, "c": 1, "d": 2, "e": 3}
-    short = frontier.frontier_bfs(frame, seeds, max_rounds=1)
+    with pytest.warns(UserWarning, match="1 rounds"):
+        short = frontier.frontier_bfs(frame, seeds, max_rounds=1)
     assert {r.name for r in short.collect()} == {"a", "b", "c"}
-    few = frontier.frontier_bfs(frame, seeds, max_names=2)
+    with pytest.warns(UserWarning, match="2 names"):
+        few = frontier.frontier_bfs(frame, seeds, max_names=2)
     assert {r.name for r in few.collect()} == {"a", "b"}
 
 
