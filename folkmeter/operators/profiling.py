@@ -123,17 +123,17 @@ def target_stats(df: DataFrame, column: str = "karma") -> DataFrame:
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    middle = quantile_row(df, column, {"median": 0.5}, "linear").scalar()
-    outer = quantile_row(df, column, {"q25": 0.25, "q75": 0.75}, "nearest")
-    both = outer.select(F.struct("q25", "q75").alias("q")).scalar()
+    quarters = quantile_row(
+        df, column, {"q25": 0.25, "q75": 0.75}, more={"median": (0.5, "linear")}
+    ).first()
     return plain.select(
         "mean",
-        middle.alias("median"),
+        F.lit(quarters["median"]).cast("double").alias("median"),
         "std",
         "min",
         "max",
-        both["q25"].alias("q25"),
-        both["q75"].alias("q75"),
+        F.lit(quarters["q25"]).cast("double").alias("q25"),
+        F.lit(quarters["q75"]).cast("double").alias("q75"),
     )
 
 

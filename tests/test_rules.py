@@ -118,9 +118,10 @@ def brute(values, prob, method):
     return values[low] + (values[high] - values[low]) * (place - low)
 
 
+@pytest.mark.parametrize("range_rows", [50, 100_000])
 @pytest.mark.parametrize("method", ["nearest", "linear"])
 @pytest.mark.parametrize("shape", ["plain", "hot", "single", "negative"])
-def test_quantiles(spark, method, shape):
+def test_quantiles(spark, method, shape, range_rows):
     import random
 
     rng = random.Random(7)
@@ -132,7 +133,8 @@ def test_quantiles(spark, method, shape):
     }[shape]
     frame = spark.createDataFrame([("g", v) for v in values] + [("h", 1.0), ("h", None)], "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {(r.g, r.prob): r.value for r in quantiles(frame, "v", probs, by="g", method=method, cuts=32).collect()}
+    rows = quantiles(frame, "v", probs, by="g", method=method, cuts=8, range_rows=range_rows).collect()
+    got = {(r.g, r.prob): r.value for r in rows}
     for p in probs:
         assert got["g", p] == pytest.approx(brute(values, p, method))
         assert got["h", p] == 1.0
