@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from folkmeter.functions import keys as K
 
-HOT_KEYS = 10_000  # upper bound on the heavy-key table that is broadcast
+HOT_KEYS = 10_000  # a key with more than this part of all rows is heavy: so many keys at most
 HOT_ROWS = 1_000_000  # rows of one key that fit one task with ease
-MAX_SALTS = 1_000
+CAP_ROWS = 1_000  # limits per group up to which Spark cuts ranks before the shuffle by itself
 CAP_SALTS = 32
 
 
@@ -35,14 +35,19 @@ def cap_per_group(
 ) -> DataFrame:
     """Exactly the first ``limit`` rows of each group.
 
-    Salted groups are cut first, so that one hot group never meets in one task
-    with more than ``salts * limit`` rows.
+    Up to CAP_ROWS the ranks are cut inside each map task before the single shuffle. For a larger
+    limit salted groups are cut first, so that one hot group never meets in one task with more
+    than ``salts * limit`` rows.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    for group in ([*keys, "_salt"], keys):
+
+    def first(rows: DataFrame, group: list[str]) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by))
-        salted = salted.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
-    return salted.drop("_salt")
+        return rows.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
+
+    if limit <= CAP_ROWS:
+        return first(df, keys)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    return first(first(salted, [*keys, "_salt"]), keys).drop("_salt")
 
 
 def _setting_bytes(text: str) -> int:
@@ -58,16 +63,16 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(str(estimate)) <= limit
 
 
-def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys above ``hot_rows`` rows with their number of salts, at most ``HOT_KEYS`` rows."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    salts = F.least(F.ceil(F.col("_n") / hot_rows).cast("int"), F.lit(MAX_SALTS))
-    return (
-        counts.filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), key)
-        .limit(HOT_KEYS)
-        .select(F.col(key), salts.alias("_salts"))
-    )
+def heavy_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """Keys above ``hot_rows`` rows and above a HOT_KEYS-th of all, with their number of salts.
+
+    The second condition bounds the table by HOT_KEYS rows without leaving a larger key out.
+    """
+    present = df.filter(F.col(key).isNotNull())
+    share = present.agg(F.count("*") / HOT_KEYS).scalar()
+    counts = present.groupBy(key).agg(F.count("*").alias("_n"))
+    heavy = counts.filter((F.col("_n") > hot_rows) & (F.col("_n") > share))
+    return heavy.select(F.col(key), F.ceil(F.col("_n") / hot_rows).alias("_salts"))
 
 
 def left_join(
@@ -76,7 +81,7 @@ def left_join(
     key: str,
     keys_from: DataFrame | None = None,
     bound: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Left equi-join on a key that is unique in ``right`` and may be hot in ``left``.
 
@@ -89,16 +94,17 @@ def left_join(
     """
     if fits_broadcast(right if bound is None else bound):
         return left.join(right, key, "left")
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     hot = F.broadcast(heavy_keys(left if keys_from is None else keys_from, key, hot_rows))
     spread = F.xxhash64(*left.columns)
     salt = (
-        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(MAX_SALTS)))
+        F.when(F.col(key).isNull(), spread)  # meets no row of the right side
         .when(F.col("_salts").isNotNull(), F.pmod(spread, F.col("_salts")))
-        .otherwise(F.lit(0))
-        .cast("int")
+        .otherwise(F.lit(0).cast("bigint"))
     )
     salted_left = left.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0)))
+    none = F.lit(0).cast("bigint")
+    copies = F.sequence(none, F.coalesce(F.col("_salts") - 1, none))
     salted_right = (
         right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     )

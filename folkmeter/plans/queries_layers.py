@@ -388,7 +388,7 @@ def _talk(t: Tables):
 
 @query("resolve_authors", """
     SELECT id_comment, author,
-           coalesce(k.id, 'user_' || substr(sha256(lower(author)), 1, 12)) AS id_user
+           coalesce(k.id, 'user_' || sha256(lower(author))) AS id_user
     FROM talk LEFT JOIN (SELECT lower(name) AS n, min(id_user) AS id FROM users GROUP BY 1) k
          ON lower(author) = k.n""", TALK_SQL)
 def resolve_authors(t: Tables):
@@ -396,7 +396,7 @@ def resolve_authors(t: Tables):
 
 
 @query("new_minimal_users", """
-    SELECT DISTINCT 'user_' || substr(sha256(lower(author)), 1, 12) AS id_user, author AS name,
+    SELECT DISTINCT 'user_' || sha256(lower(author)) AS id_user, author AS name,
            CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS human_owner,
            CAST(NULL AS VARCHAR) AS joined, '2024-06-01' AS scraped_at, CAST(0 AS BIGINT) AS karma,
            CAST(0 AS BIGINT) AS followers, CAST(0 AS BIGINT) AS following
@@ -407,7 +407,7 @@ def new_minimal_users(t: Tables):
 
 @query("resolve_communities", """
     SELECT n.name, c.id_community IS NULL AS is_new,
-           coalesce(c.id_community, 'community_' || substr(sha256(lower(n.name)), 1, 12)) AS id_community
+           coalesce(c.id_community, 'community_' || sha256(lower(n.name))) AS id_community
     FROM names n LEFT JOIN communities c ON n.name = c.name""", NAMES_SQL)
 def resolve_communities(t: Tables):
     return relational.resolve_communities(_named_communities(t), t.communities)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folkmeter.functions import scalars as S
-from folkmeter.operators import frontier, upsert
+from folkmeter.operators import frontier, relational, upsert
 from folkmeter.plans.registry import Tables, query
 from folkmeter.sources import store
 from folkmeter.streaming.incremental import upsert_stream
@@ -63,10 +63,8 @@ def upsert_valid_invalid(t: Tables):
     UNION SELECT c.id_user, p.id_community FROM comments c JOIN posts p ON c.id_post = p.id_post""")
 def upsert_memberships(t: Tables):
     target = t.posts.select("id_user", "id_community").distinct()
-    talk = t.comments.select("id_user", "id_post").join(
-        t.posts.select("id_post", "id_community"), "id_post"
-    )
-    return upsert.insert_ignore(target, talk, ["id_user", "id_community"])
+    pairs = relational.memberships(t.posts, t.comments)
+    return upsert.insert_ignore(target, pairs, ["id_user", "id_community"])
 
 
 FRESH_SQL = """fresh AS (
