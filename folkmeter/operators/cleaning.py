@@ -32,22 +32,6 @@ def clean(df: DataFrame, table: str, lenient: bool = False) -> DataFrame:
     return last.filter(F.length("name") > 0) if table in NAMED else last
 
 
-def clean_users(df: DataFrame, lenient: bool = False) -> DataFrame:
-    return clean(df, "users", lenient)
-
-
-def clean_posts(df: DataFrame, lenient: bool = False) -> DataFrame:
-    return clean(df, "posts", lenient)
-
-
-def clean_comments(df: DataFrame, lenient: bool = False) -> DataFrame:
-    return clean(df, "comments", lenient)
-
-
-def clean_communities(df: DataFrame, lenient: bool = False) -> DataFrame:
-    return clean(df, "communities", lenient)
-
-
 def fill_zero(df: DataFrame) -> DataFrame:
     """Zero for null in every numeric column."""
     return df.na.fill(0)

@@ -6,7 +6,6 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folkmeter.functions import scalars as S
 from folkmeter.operators.quantiles import quantile_row, quantiles
@@ -180,7 +179,9 @@ def correlation_matrix(
     columns: list[str] = CORRELATION_COLUMNS,
     log_columns: list[str] = LOG_COLUMNS,
 ) -> DataFrame:
-    """Rows (x, y, corr) of the full matrix, from one aggregation over the table."""
+    """Rows (x, y, corr) of the full matrix, from one aggregation over the table.
+
+    Each pair is taken over the rows in which both columns are there."""
     ready = enriched.select(
         *[
             (F.log1p(S.clip_low(F.col(c))) if c in log_columns else F.col(c).cast("double")).alias(c)
@@ -188,10 +189,18 @@ def correlation_matrix(
         ]
     )
     pairs = list(combinations_with_replacement(columns, 2))
-    moments = ready.agg(*[F.expr(f"covar_pop(`{x}`, `{y}`) AS `{x}*{y}`") for x, y in pairs])
+    both = {(x, y): f"`{x}` IS NOT NULL AND `{y}` IS NOT NULL" for x, y in pairs}
+    moments = ready.agg(
+        *[F.expr(f"covar_pop(`{x}`, `{y}`) AS `{x}*{y}`") for x, y in pairs],
+        *[
+            F.expr(f"var_pop(CASE WHEN {there} THEN `{z}` END) AS `{x}*{y}:{z}`")
+            for (x, y), there in both.items()
+            for z in sorted({x, y})
+        ],
+    )
     lines = [
         f"named_struct('x', '{a}', 'y', '{b}', 'corr', "
-        f"try_divide(`{x}*{y}`, sqrt(`{x}*{x}`) * sqrt(`{y}*{y}`)))"
+        f"try_divide(`{x}*{y}`, sqrt(`{x}*{y}:{x}`) * sqrt(`{x}*{y}:{y}`)))"
         for x, y in pairs
         for a, b in sorted({(x, y), (y, x)})
     ]
@@ -276,7 +285,3 @@ def eda_report(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "correlations": target_correlations(users),
         "posts_per_user_describe": describe(posts_per_user(posts)),
     }
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]

@@ -87,10 +87,12 @@ def write_counted(df: DataFrame, path: str, **options) -> dict[str, int]:
 
 
 def layer_status(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
-    """Rows (table, rows, files) for stored tables."""
+    """Rows (table, rows, files); a table that is not stored has 0 rows in 0 files."""
     parts = []
     for name, path in folders.items():
         if not path_exists(spark, path):
+            nothing = [(name, 0, 0)]
+            parts.append(spark.createDataFrame(nothing, "table_name string, rows bigint, files bigint"))
             continue
         parts.append(
             spark.read.parquet(path)

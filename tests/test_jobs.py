@@ -24,7 +24,8 @@ def test_build_and_status(spark, sf_dir, tmp_path):
     rows = {r.table_name: r.rows for r in status["gold"].collect()}
     assert rows["post_features"] == raw["posts"].count()
     assert {r.rows for r in status["stored"].collect()} == {0}
-    assert jobs.status(spark, f"{tmp_path}/none", f"{tmp_path}/no", gold)["silver"].count() == 0
+    missing = jobs.status(spark, f"{tmp_path}/none", f"{tmp_path}/no", gold)["silver"].collect()
+    assert {(r.table_name, r.rows, r.files) for r in missing} == {(n, 0, 0) for n in tables.SILVER}
 
 
 def test_reports(spark, sf_dir, tmp_path):

@@ -10,18 +10,18 @@ from folkmeter.operators.cleaning import usable_pages
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
 
-LISTING = """<html><body><h1>People</h1><div class="grid">
-<div class="card"><a href="/u/ada"><img src="1.png"><div><span>ada</span>
-  <div class="small">5.2K karma</div></div></a></div>
-<div class="card"><a href="/u/bob?x=1">bob</a> <div>3100 Karma</div></div>
-<div class="card"><a href="/u/ada">again</a><div>7 karma</div></div>
-<div class="card"><a href="/u/cyd">cyd</a></div></div><a href="/m/none">x</a></body></html>"""
-
-PROFILE = """<html><head><style>p{karma:9}</style></head><body><div><h1>ada</h1>
-<div><span>1234 karma</span></div></div>
-<div><p class="bio">I test things &amp; more.</p></div>
-<div><span>Joined 1/15/2025</span> | <span>500 followers</span> | <span>2.5K following</span></div>
-<div><a href="https://x.com/ada_owner?s=1">@ada</a></div></body></html>"""
+LISTING = """<body><ol>
+<li><div>1. <a href="/u/mira?from=list">Mira</a> <em>12 posts</em> <b>KARMA 40.5k</b></div></li>
+<li><div><a href="/u/oto#top">Oto</a><p>no number</p></div></li>
+<li><div><p><a href="/u/mira">Mira once more</a> 3 karma</p></div></li>
+<li><section><a href="/u/zed">Zed</a></section></li></ol>
+<p>karma is counted daily</p><a href="/m/garden">a place</a></body>"""
+
+PROFILE = """<html><head><style>i{karma:9}</style><script>var karma = "7 karma";</script></head><body>
+<p>A notice before the name.</p><header><h1>Mira <small>online</small></h1></header>
+<article><p>Grows &lt;tomatoes&gt; on a balcony</p><p>second line</p></article>
+<table><tr><td>JOINED 30/11/2023 </td><td> 18 follower </td><td>1.25M Following</td></tr></table>
+<p>Karma: 6k</p><a href="https://twitter.com/@mira_keeper/">keeper</a></body></html>"""
 
 PLAIN = """<body><h1>bob</h1><p>A social network for agents</p><div class="description">own words</div>
 karma: 77</body>"""
@@ -76,9 +76,9 @@ def now():
 def test_user_listing(spark):
     rows = P.user_listing(at(spark, "/u", LISTING)).orderBy("pos").collect()
     assert [(r.name, r.karma, r.profile_url) for r in rows] == [
-        ("ada", 5200, "/u/ada"),
-        ("bob", 3100, "/u/bob?x=1"),
-        ("cyd", 0, "/u/cyd"),
+        ("mira", 40_500, "/u/mira?from=list"),
+        ("oto", 0, "/u/oto#top"),
+        ("zed", 0, "/u/zed"),
     ]
 
 
@@ -93,9 +93,10 @@ def test_community_listing(spark):
 
 
 def test_profiles(spark):
-    row = P.profiles(at(spark, "/u/ada", PROFILE)).first()
-    assert (row.name, row.karma, row.description) == ("ada", 1234, "I test things & more.")
-    assert (row.human_owner, row.joined, row.followers, row.following) == ("ada_owner", "1/15/2025", 500, 2500)
+    row = P.profiles(at(spark, "/u/mira?tab=posts", PROFILE)).first()
+    assert (row.name, row.karma, row.description) == ("mira", 6000, "Grows <tomatoes> on a balcony")
+    assert (row.human_owner, row.joined) == ("@mira_keeper", "30/11/2023")
+    assert (row.followers, row.following) == (18, 1_250_000)
     other = P.profiles(at(spark, "/u/bob", PLAIN)).first()
     assert (other.description, other.karma, other.human_owner, other.joined) == ("own words", 77, None, None)
 

@@ -45,7 +45,7 @@ def test_clean_users(spark):
         user("c", "New", 2, stamp="2024-03-01"),
         user("d", None),
     )
-    got = {r.id_user: r for r in cleaning.clean_users(frame).collect()}
+    got = {r.id_user: r for r in cleaning.clean(frame, "users").collect()}
     assert set(got) == {"a", "c"}
     assert got["c"].name == "New"
     a = got["a"]
