@@ -26,6 +26,10 @@ HEADLINES = [
     "karma_stats",
     "html_comments",
     "json_posts",
+    "box_stats",
+    "clean_training",
+    "flatten_replies",
+    "cap_per_group",
 ]
 
 

@@ -11,7 +11,7 @@ from folkmeter.operators import evaluation, features, modeling, profiling, relat
 from folkmeter.operators.cleaning import clean, usable_pages
 from folkmeter.operators.evaluation import clean_training
 from folkmeter.operators.upsert import split_valid
-from folkmeter.session import cut_lineage, persisted
+from folkmeter.session import cut_lineage, persisted, scratch
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
 from folkmeter.sources import store, tables
@@ -78,13 +78,14 @@ def train(
 ) -> dict:
     """Fit, save, score and write; ``scope`` says whether all or only cleaned rows are scored."""
     data = tables.read_required(spark, f"{gold}/user_features")
-    cleaned = cut_lineage(clean_training(data))  # read by every fit and by the test score
-    result = modeling.train_models(
-        cleaned, max_models=max_models, max_runtime_secs=max_runtime_secs, **options
-    )
-    modeling.save_model(result.model, f"{out}/model")
-    rows = cleaned if scope == "cleaned" else data
-    written = tables.write_counted(modeling.predict(result.model, rows), f"{out}/predictions")
+    with scratch(spark):
+        cleaned = cut_lineage(clean_training(data))  # read by every fit and by the test score
+        result = modeling.train_models(
+            cleaned, max_models=max_models, max_runtime_secs=max_runtime_secs, **options
+        )
+        modeling.save_model(result.model, f"{out}/model")
+        rows = cleaned if scope == "cleaned" else data
+        written = tables.write_counted(modeling.predict(result.model, rows), f"{out}/predictions")
     return {
         "model_id": result.model_id,
         "metrics": result.metrics,
@@ -259,8 +260,9 @@ def ingest(
     **payloads,
 ) -> dict:
     """Landed payloads -> entities -> stored tables under ``root``."""
-    rows = entities(store.read_all(spark, root), scraped_at, **payloads)
-    return load_batch(rows, root, number, writer)
+    with scratch(spark):
+        rows = entities(store.read_all(spark, root), scraped_at, **payloads)
+        return load_batch(rows, root, number, writer)
 
 
 def ingest_pages(
@@ -275,10 +277,11 @@ def ingest_pages(
     max_comments: int | None = None,
 ) -> dict:
     """Landed pages -> entities -> stored tables; limits that cut something off are reported."""
-    rows = page_entities(
-        store.read_all(spark, root), pages, now, scraped_at, "", max_posts, max_comments
-    )
-    counts = load_batch(rows, root, number, writer)
+    with scratch(spark):
+        rows = page_entities(
+            store.read_all(spark, root), pages, now, scraped_at, "", max_posts, max_comments
+        )
+        counts = load_batch(rows, root, number, writer)
     good, cut = usable_pages(pages), {}
     for name, limit, rule, needed in (
         ("posts", max_posts, "post_cards", ("title",)),

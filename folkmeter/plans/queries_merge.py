@@ -127,15 +127,16 @@ def frontier_bfs(t: Tables):
     return frontier.frontier_bfs(edges, seeds)
 
 
-@query("stream_upsert_users", """
+EVENT_USERS_SQL = """event_users AS (
     SELECT id_user, name, karma, scraped_at FROM (
       SELECT CAST(user_id AS VARCHAR) AS id_user, event_type AS name, CAST(floor(value) AS BIGINT) AS karma,
              strftime(ts, '%Y-%m-%dT%H:%M:%S') AS scraped_at,
              row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%dT%H:%M:%S') DESC,
                                 event_type DESC, CAST(floor(value) AS BIGINT) DESC) AS rn FROM events) q
-    WHERE rn = 1""")
-def stream_upsert_users(t: Tables):
-    root = t.folder()
+    WHERE rn = 1)"""
+
+
+def _stream_events(t: Tables, root: str, progress: str) -> None:
     source = (
         t.spark.readStream.schema(t.read("events").schema)
         .option("pathGlobFilter", "events.parquet")
@@ -156,6 +157,46 @@ def stream_upsert_users(t: Tables):
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("scraped_at"),
         )
 
-    upsert_stream(source, root, "users", f"{root}/progress", to_rows).awaitTermination()
+    upsert_stream(source, root, "users", f"{root}/{progress}", to_rows).awaitTermination()
+
+
+@query("stream_upsert_users", "SELECT * FROM event_users", EVENT_USERS_SQL)
+def stream_upsert_users(t: Tables):
+    root = t.folder()
+    _stream_events(t, root, "progress")
+    store.compact(t.spark, root, "users")
+    return store.read_current(t.spark, root, "users").select("id_user", "name", "karma", "scraped_at")
+
+
+@query("stream_and_batch_upsert", """
+    SELECT * FROM event_users
+    UNION ALL SELECT * FROM parts WHERE id_user NOT IN (SELECT id_user FROM event_users)
+    UNION ALL SELECT id_user, name, karma, scraped_at FROM raw_users
+    WHERE id_user NOT IN (SELECT id_user FROM event_users) AND id_user NOT IN (SELECT id_user FROM parts)""",
+    EVENT_USERS_SQL + """,
+  parts AS (SELECT CAST(p_partkey AS VARCHAR) AS id_user, p_name AS name, CAST(p_size AS BIGINT) AS karma,
+                   '2024-06-01' AS scraped_at FROM part)""")
+def stream_and_batch_upsert(t: Tables):
+    """Two batch writers that number their loads alike, a snapshot in between, and a stream that
+    starts again from a new checkpoint: the order of the commits decides."""
+    root = t.folder()
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("bigint")
+    nothing, zero = F.lit(None).cast("string"), F.lit(0).cast("bigint")
+    parts = t.read("part").select(
+        key.alias("id_user"),
+        F.col("p_name").alias("name"),
+        size.alias("karma"),
+        nothing.alias("description"),
+        nothing.alias("human_owner"),
+        nothing.alias("joined"),
+        zero.alias("followers"),
+        zero.alias("following"),
+        F.lit("2024-06-01").alias("scraped_at"),
+    )
+    store.append_batch(t.raw["users"], root, "users", 1, "customers")
+    _stream_events(t, root, "first")
+    store.compact(t.spark, root, "users")
+    store.append_batch(parts, root, "users", 1, "parts")
+    _stream_events(t, root, "second")
     store.compact(t.spark, root, "users")
     return store.read_current(t.spark, root, "users").select("id_user", "name", "karma", "scraped_at")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 
 from folkmeter.functions.scalars import WHITE_SPACE
 from folkmeter.operators import cleaning, evaluation, features
-from folkmeter.session import shared_dir
+from folkmeter.session import step_folder
 from folkmeter.sources import proxies
 
 DIGITS = 6  # doubles are rounded on both sides: sums depend on the order of rows
@@ -41,7 +40,7 @@ class Tables:
 
     def folder(self) -> str:
         """A new folder for tables written by one query."""
-        return f"{shared_dir(self.spark)}/folkmeter-{uuid.uuid4().hex}"
+        return step_folder(self.spark)
 
     @cached_property
     def raw(self) -> Layer:

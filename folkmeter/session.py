@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -47,10 +49,35 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+def step_folder(spark: SparkSession) -> str:
+    """A new folder for a stored step: of the run that is going on, or of the session."""
+    return f"{_run_folder.get() or shared_dir(spark)}/folkmeter-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Stored steps of this block go when it ends: only for work that leaves its results elsewhere."""
+    folder = f"{shared_dir(spark)}/folkmeter-run-{uuid.uuid4().hex}"
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in reliable storage, so that iterations do not grow the plan."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store ``df`` where all executors see it, so that iterations do not grow the plan.
+
+    Parquet, so that later steps read only their columns and the optimizer knows the size.
+    """
+    folder = step_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 @contextmanager
