@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 
 from folkmeter.llm import common
 
-CACHE_CHUNKS = 400_000  # remembered stretches, per generation
-CACHE_PAIRS = 1_000_000  # remembered pairs of tokens
+CACHE_CHUNKS = 150_000  # remembered stretches, per generation
+CACHE_PAIRS = 300_000  # remembered pairs of tokens
 
 #: White space as the tokenizer's pattern sees it (Unicode property White_Space).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

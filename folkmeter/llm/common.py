@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folkmeter.session import shared_dir
 
-BLOCK_BYTES = 2 << 20  # text handled at once inside a task
+BLOCK_BYTES = 1 << 20  # text handled at once inside a task
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

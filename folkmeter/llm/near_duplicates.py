@@ -182,18 +182,27 @@ def _with_node(batches: Iterator[pa.RecordBatch], text: str, names: list[str]):
         yield pa.RecordBatch.from_arrays([*batch.columns, nodes], names=names)
 
 
-def _packed(batches: Iterator[pa.RecordBatch]):
-    """Node and compressed text, each node once per block."""
+def _compress(batches: Iterator[pa.RecordBatch]):
     tool = zstandard.ZstdCompressor(3)
-    for batch, data, offsets in common.blocks(batches):
-        nodes = Bags(data, offsets).nodes(data, offsets)
-        first = {node: row for row, node in reversed(list(enumerate(nodes)))}
-        texts = [tool.compress(data[offsets[r] : offsets[r + 1]].tobytes()) for r in first.values()]
+    for batch in batches:
+        texts = [tool.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(first.keys(), pa.binary()), pa.array(texts, pa.binary())], names=["node", "packed"]
+            [batch.column("doc_id"), pa.array(texts, pa.binary())], names=["doc_id", "packed"]
         )
 
 
+def _matching(batches: Iterator[pa.RecordBatch]):
+    """Only the rows whose text is the one of their node: ids may come more than once."""
+    tool = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            texts = [tool.decompress(p) for p in part.column("packed").to_pylist()]
+            block = common.utf8(pa.array(texts, pa.large_binary()))
+            same = [a == b for a, b in zip(Bags(*block).nodes(*block), part.column("node").to_pylist())]
+            yield part.select(["id", "packed"]).filter(pa.array(same, pa.bool_()))
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]):
     """Rows in the order of (value, place): pairs with the rows before and the first of the
     bucket. The last rows and the first one of a task come as ends, to be paired with those of
@@ -315,51 +324,50 @@ def _both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     return pairs.join(x, "a").join(y, "b")
 
 
-def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Verified pairs (a, b) of nodes (id, node, bands, bytes) that connect all that is alike."""
+def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+    """(id, packed) of the nodes of ``pairs`` that ``known`` does not have yet, and of ``known``."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    if known is not None:
+        wanted = common.stored(wanted.join(known.select("id"), "id", "left_anti"), "wanted")
+        if wanted.isEmpty():
+            return known
+    wanted = wanted.join(nodes.select("id", "node", "least"), "id").hint("shuffle_hash")
+    packed = docs.mapInArrow(_compress, "doc_id bigint, packed binary")
+    joined = packed.join(wanted, packed["doc_id"].eqNullSafe(wanted["least"])).select("id", "node", "packed")
+    new = common.stored(joined.mapInArrow(_matching, "id bigint, packed binary"), "texts")
+    return new if known is None else known.unionAll(new)
+
+
+def linked(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(node, component) of the nodes (id, node, least, bands, bytes) that have a link."""
     placed = nodes.filter(F.size("bands") > 0).select(
         F.col("id").alias("node"), F.col("id").alias("component"), F.explode("bands").alias("value")
     )
-    texts = None
-    found = None
+    texts = found = label = None
     turn = 0
     while True:
-        pairs = candidates(placed, turn)
-        pairs = _both(pairs, nodes, "bytes").mapInArrow(_agreement, "a bigint, b bigint, share double")
-        pairs = common.stored(pairs, "candidates")
-        ends = pairs.select(F.col("a").alias("id"), "a", "b", "share").unionAll(
-            pairs.select(F.col("b").alias("id"), "a", "b", "share")
-        )
-        if texts is None:
-            needed = ends.select("id").distinct().join(nodes.select("id", "node"), "id")
-            packed = docs.mapInArrow(_packed, "node binary, packed binary").dropDuplicates(["node"])
-            texts = common.stored(packed.join(needed.hint("shuffle_hash"), "node").select("id", "packed"), "texts")
-            known = texts
-        else:
-            known = texts  # buckets are the same in all turns, so are the nodes that can pair
-            missing = ends.select("id").distinct().join(texts.select("id"), "id", "left_anti")
-            if not missing.isEmpty():
-                packed = docs.mapInArrow(_packed, "node binary, packed binary").dropDuplicates(["node"])
-                more = packed.join(missing.join(nodes.select("id", "node"), "id").hint("shuffle_hash"), "node")
-                texts = known = texts.unionAll(common.stored(more.select("id", "packed"), "texts"))
+        pairs = _both(candidates(placed, turn), nodes, "bytes")
+        pairs = common.stored(pairs.mapInArrow(_agreement, "a bigint, b bigint, share double"), "candidates")
+        texts = _texts(docs, nodes, pairs, texts)
 
         def verified(some: DataFrame) -> DataFrame:
-            compared = _both(some.select("a", "b"), known, "packed")
+            compared = _both(some.select("a", "b"), texts, "packed").select("a", "b", "x", "y")
             return common.stored(compared.mapInArrow(lambda it: _verify(it, similarity), "a bigint, b bigint"), "links")
 
-        best = ends.groupBy("id").agg(F.max(F.struct("share", "a", "b")).alias("p"))
-        new = verified(best.select("p.a", "p.b").distinct())
-        so_far = new if found is None else found.unionAll(new)
-        label = common.stored(components(so_far), "components")
-        rest = _cross(pairs, label).join(best.select("p.a", "p.b").distinct(), ["a", "b"], "left_anti")
-        second = verified(rest)
-        if not second.isEmpty():
-            so_far = so_far.unionAll(second)
-            label = common.stored(components(so_far), "components")
-        grown = not (new.isEmpty() and second.isEmpty())
-        found = so_far
-        if not grown:
-            return found
+        if turn == 0:
+            ends = pairs.withColumn("id", F.explode(F.array("a", "b")))
+            best = ends.groupBy("id").agg(F.max(F.struct("share", "a", "b")).alias("p"))
+            best = best.select("p.a", "p.b").distinct()
+            found = verified(best)
+            label = common.stored(components(found), "components")
+            new = verified(_cross(pairs, label).join(best, ["a", "b"], "left_anti"))
+        else:
+            new = verified(pairs)
+        if not new.isEmpty():
+            found = found.unionAll(new)
+            label = common.stored(components(found), "components")
+        elif turn > 0:
+            return label
         # Buckets that hold several components are looked at again, in another order.
         named = _named(placed.select("node", "value"), label)
         open_ = named.groupBy("value").agg(F.min("component").alias("p"), F.max("component").alias("q"))
@@ -390,7 +398,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
         F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")
     )
     nodes = common.stored(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    label = components(links(docs, nodes, similarity)).withColumnRenamed("node", "id")
+    label = linked(docs, nodes, similarity).withColumnRenamed("node", "id")
     named = nodes.select("id", "node", "least").join(label, "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))
     head = named.groupBy("component").agg(F.min(F.struct("least", "node")).alias("head"))
