@@ -184,13 +184,8 @@ class Codec:
         return self.bytes[shift + np.arange(ends[-1])].tobytes()
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def codec(path: str, pattern: str) -> Codec:
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+    return common.resident(("bpe", path, pattern), lambda: Codec(path, pattern))
 
 
 def _replaced(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.RecordBatch:

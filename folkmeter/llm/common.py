@@ -13,9 +13,35 @@ from pyspark.sql import DataFrame, SparkSession
 from folkmeter.session import shared_dir
 
 BLOCK_BYTES = 1 << 20  # text handled at once inside a task
+BATCH_ROWS = 2_000  # rows sent to Python at once
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows are whole texts here: fewer of them at once on the way to Python than by default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+_tools: dict = {}
+
+
+def resident(key, make):
+    """A large tool that a Python worker keeps between tasks; only the last one stays."""
+    if key not in _tools:
+        _tools.clear()
+        _tools[key] = make()
+    return _tools[key]
+
+
+def release() -> None:
+    """For tasks that need no such tool."""
+    _tools.clear()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,6 +51,7 @@ def new_folder(spark: SparkSession, kind: str) -> str:
 
 def stored(df: DataFrame, kind: str = "step") -> DataFrame:
     """``df`` as a Parquet table in the shared folder: survives the loss of executors."""
+    bounded_batches(df.sparkSession)
     folder = new_folder(df.sparkSession, kind)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -184,16 +184,10 @@ class Block:
         return list(zip(starts[long].tolist(), ends[long].tolist()))
 
 
-_kept: dict[tuple, Block] = {}  # one block for each Python worker
-
-
 def _block(sent, window: int) -> Block:
     items = sent.value
-    key = (hashlib.sha256(repr(items).encode()).hexdigest(), window)
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = Block(items, window)
-    return _kept[key]
+    key = ("items", hashlib.sha256(repr(items).encode()).hexdigest(), window)
+    return common.resident(key, lambda: Block(items, window))
 
 
 def _merged(flat: np.ndarray) -> np.ndarray:
@@ -299,8 +293,12 @@ def find(
     window: int = WINDOW,
     text: str = "text",
     block_words: int = BLOCK_WORDS,
+    then=None,
 ) -> DataFrame:
-    """``docs`` with the columns of RESULT. One pass over the texts for each block, no shuffle."""
+    """``docs`` with the columns of RESULT. One pass over the texts for each block, no shuffle.
+
+    ``then``: (function of the resulting batches, schema) that is to run in the last pass.
+    """
     context = docs.sparkSession.sparkContext
     sent = [context.broadcast(block) for block in _item_blocks(benchmark, block_words)]
     out = docs
@@ -309,15 +307,23 @@ def find(
         new = RESULT if last else CARRIED
         drop = {f.name for f in [*new, *CARRIED]}
         fields = [f for f in out.schema.fields if f.name not in drop] + new
+        schema = T.StructType(fields)
+        if last and then is not None:
+            work, schema = then
+            out = out.mapInArrow(
+                lambda it, b=block, f=first: work(_scan(it, b, window, text, f, True)), schema
+            )
+            continue
         out = out.mapInArrow(
-            lambda it, b=block, f=first, z=last: _scan(it, b, window, text, f, z),
-            T.StructType(fields),
+            lambda it, b=block, f=first, z=last: _scan(it, b, window, text, f, z), schema
         )
     return out
 
 
-def _without(batches: Iterator[pa.RecordBatch], text: str, columns: list[str]):
+def _without(batches: Iterator[pa.RecordBatch], text: str, columns: list[str], max_share: float):
     for batch, data, offsets in common.blocks(batches, text):
+        share = max_share * batch.column("n_words").to_numpy()
+        keep = pa.array(batch.column("n_hit").to_numpy() <= share)
         spans = batch.column("hit_spans").to_pylist()
         texts = batch.column(text).to_pylist()
         for row, cut in enumerate(spans):
@@ -327,7 +333,7 @@ def _without(batches: Iterator[pa.RecordBatch], text: str, columns: list[str]):
                     parts.append(raw[at:a])
                     at = b
                 texts[row] = b"".join([*parts, raw[at:]]).decode()
-        yield _put(batch, {text: pa.array(texts, pa.string())}).select(columns)
+        yield _put(batch, {text: pa.array(texts, pa.string())}).select(columns).filter(keep)
 
 
 def clean(
@@ -340,11 +346,8 @@ def clean(
     """The columns of ``docs``: hit stretches are cut out of the texts, and documents with more
     than ``max_share`` of their words hit are dropped. Texts without a hit stay as they are."""
     marked = docs.withColumns({f"_in_{c}": F.col(c) for c in docs.columns if c != text})
-    found = find(marked.select(text, *[c for c in marked.columns if c.startswith("_in_")]), benchmark, window, text)
-    found = found.filter(F.col("n_hit") <= F.col("n_words") * max_share)
+    marked = marked.select(text, *[c for c in marked.columns if c.startswith("_in_")])
     names = [text if c == text else f"_in_{c}" for c in docs.columns]
     fields = [T.StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields)]
-    cut = found.select(*names, "hit_spans").mapInArrow(
-        lambda it: _without(it, text, names), T.StructType(fields)
-    )
-    return cut.toDF(*docs.columns)
+    then = (lambda it: _without(it, text, names, max_share), T.StructType(fields))
+    return find(marked, benchmark, window, text, then=then).toDF(*docs.columns)

@@ -158,6 +158,7 @@ SIGNED = T.StructType(
 
 
 def _sign(batches: Iterator[pa.RecordBatch]):
+    common.release()
     for batch, data, offsets in common.blocks(batches):
         bags = Bags(data, offsets)
         nodes = bags.nodes(data, offsets)
@@ -177,6 +178,7 @@ def _sign(batches: Iterator[pa.RecordBatch]):
 
 
 def _with_node(batches: Iterator[pa.RecordBatch], text: str, names: list[str]):
+    common.release()
     for batch, data, offsets in common.blocks(batches, text):
         nodes = pa.array(Bags(data, offsets).nodes(data, offsets), pa.binary())
         yield pa.RecordBatch.from_arrays([*batch.columns, nodes], names=names)

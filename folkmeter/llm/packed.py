@@ -99,13 +99,8 @@ class WordEncoder:
         return [b"".join(map(get, line)) for line in cut]
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return common.resident(("words", path), lambda: WordEncoder(path))
 
 
 def _place(folder: str) -> tuple[pafs.FileSystem, str]:

@@ -145,6 +145,7 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = T.StructType(kept + [T.StructField("statistics", T.ArrayType(T.DoubleType()))])
 
     def work(batches: Iterator[pa.RecordBatch]):
+        common.release()
         for batch, data, offsets in common.blocks(batches, text):
             values = statistics(data, offsets)
             flat = pa.array(values.ravel())
@@ -278,6 +279,7 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score of 0.5 or more."""
 
     def work(batches: Iterator[pa.RecordBatch]):
+        common.release()
         for batch, data, offsets in common.blocks(batches, text):
             value = model.score(statistics(data, offsets))
             yield batch.filter(pa.array(value >= 0.5))

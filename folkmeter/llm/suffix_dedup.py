@@ -136,6 +136,7 @@ def _segments(data: np.ndarray, offsets: np.ndarray):
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], id_: str, text: str):
+    common.release()
     for batch, data, offsets in common.blocks(batches, text):
         doc, tag = _identity(batch, data, offsets, id_)
         parts = []

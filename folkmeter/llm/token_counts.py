@@ -55,15 +55,11 @@ def stored_counts(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
     return rows.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
 
 
-_models: dict[str, object] = {}
-
-
 def _model(path: str):
-    if path not in _models:
-        import sentencepiece
+    import sentencepiece
 
-        _models[path] = sentencepiece.SentencePieceProcessor(model_file=path)
-    return _models[path]
+    make = sentencepiece.SentencePieceProcessor
+    return common.resident(("pieces", path), lambda: make(model_file=path))
 
 
 def _encode(batches: Iterator[pa.RecordBatch], model: str, tokenizer: str):
