@@ -51,7 +51,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
-NEAR = 3
+NEAR = 1
 LEAST_AGREEMENT = 0.6
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -328,7 +328,7 @@ def _both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
 
 def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, known: DataFrame | None) -> DataFrame:
     """(id, packed) of the nodes of ``pairs`` that ``known`` does not have yet, and of ``known``."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
     if known is not None:
         wanted = common.stored(wanted.join(known.select("id"), "id", "left_anti"), "wanted")
         if wanted.isEmpty():
@@ -357,7 +357,7 @@ def linked(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
             return common.stored(compared.mapInArrow(lambda it: _verify(it, similarity), "a bigint, b bigint"), "links")
 
         if turn == 0:
-            ends = pairs.withColumn("id", F.explode(F.array("a", "b")))
+            ends = pairs.withColumn("id", F.col("a")).unionAll(pairs.withColumn("id", F.col("b")))
             best = ends.groupBy("id").agg(F.max(F.struct("share", "a", "b")).alias("p"))
             best = best.select("p.a", "p.b").distinct()
             found = verified(best)
