@@ -13,16 +13,19 @@ similarity. Points come in order of time, and a process is left as soon as it is
 entries: the work is about one point per shingle plus a constant per text.
 
 Candidates. Equal multisets are one node. Nodes that agree in one of ``BANDS`` bands of entries
-are candidates; a pair of similarity 0.8 is missed by all bands with a chance below 1e-7. Within
-a bucket the nodes stand in an order of the band's own, and each is paired with the ``NEAR`` nodes
-before it and with the first one: the number of pairs grows with the bucket, not with its square,
-and over the bands a pair meets in some dozen differently ordered buckets. Pairs whose
-signatures agree in less than ``LEAST_AGREEMENT`` of the entries are dropped; for a pair of
+are candidates; a pair of similarity 0.8 is missed by all bands with a chance below 1e-7. Pairs
+whose signatures agree in less than ``LEAST_AGREEMENT`` of the entries are dropped; for a pair of
 similarity 0.8 this is as improbable as a miss by the bands.
 
-Verification. Each node's most promising pair is compared exactly first; then all pairs between
-the components found so far. Then the buckets that still hold several components are ordered
-anew, until a round finds no new link.
+First pass. Within a bucket the nodes stand in an order of the band's own, and each is paired with
+the ``NEAR`` nodes before it and with the first one. Each node's most promising pair is compared
+exactly first; then all pairs between the components found so far.
+
+Second pass. In each bucket that still holds several components, all pairs of nodes of different
+components are looked at, in blocks of ``CHUNK`` nodes and in the first bucket in which a pair
+meets; those that may be alike are compared exactly, in blocks of ``TEXTS`` texts a side, unless
+links of the block have joined them. So no pair is left to luck; the work grows with the pairs
+of different components in a bucket.
 
 Buckets and ranges are dealt out by (band value, order), so a bucket that holds a third of all
 nodes is spread over tasks; neighbours across the border of two tasks are paired as well.
@@ -38,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -53,6 +57,8 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 NEAR = 1
 LEAST_AGREEMENT = 0.6
+CHUNK = 4096  # nodes of an open bucket compared at once with as many others
+TEXTS = 128  # texts, about, compared at once with as many others
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 _PLACES = common.mix(np.arange(21, 21 + SHINGLE, dtype=_U)) | _U(1)
@@ -340,47 +346,205 @@ def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, known: DataFrame
     return new if known is None else known.unionAll(new)
 
 
+def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The runs of rows that agree in ``keys``, of rows in the order of these."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
+        cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+            key = tuple(values[low])
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(low, high - low))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _met(batches: Iterator[pa.RecordBatch]):
+    """Of blocks of a bucket: each node with the nodes of other components that it may be like.
+
+    A pair is only taken in the first band in which it agrees.
+    """
+    ends, lists, size = [], [], 0
+
+    def out():
+        at = np.cumsum([0, *map(len, lists)])
+        partners = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(lists), pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()), partners], names=["a", "bs"])
+
+    for run in _runs(batches, ("value", "i", "j")):
+        component = run.column("component").to_numpy()
+        order = np.argsort(component, kind="stable")
+        component = component[order]
+        node = run.column("node").to_numpy()[order]
+        chunk = run.column("chunk").to_numpy()[order]
+        marks = np.frombuffer(b"".join(run.column("bytes").to_pylist()), np.uint8).reshape(-1, HASHES)[order]
+        bands = pc.list_flatten(run.column("bands")).to_numpy().reshape(-1, BANDS)[order]
+        band, i, j = (run.column(c)[0].as_py() for c in ("band", "i", "j"))
+        if i == j:
+            left, right = np.arange(len(node)), np.arange(len(node))
+            start = np.searchsorted(component, component, side="right")
+        else:
+            left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+            start = np.zeros(len(left), np.int64)
+        theirs, their_bands, of = marks[right], bands[right], component[right]
+        for row, first in zip(left, start):
+            earliest = (their_bands[first:] == bands[row]).argmax(axis=1)
+            found = first + np.flatnonzero((earliest == band) & (of[first:] != component[row]))
+            # Eight counts side by side in a number: each is 16 at most.
+            same = (theirs[found] == marks[row]).view(_U).sum(axis=1)
+            agree = same.view(np.uint8).reshape(-1, 8).sum(axis=1)
+            found = found[agree >= LEAST_AGREEMENT * HASHES]
+            if len(found):
+                ends.append(node[row])
+                lists.append(node[right[found]])
+                size += len(found)
+            if size > 100_000:
+                yield out()
+                ends, lists, size = [], [], 0
+    if lists:
+        yield out()
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], parts: int):
+    """The pairs of ``_met`` by the blocks (p, q) of texts to which their nodes belong."""
+    for batch in batches:
+        partners = batch.column("bs")
+        b = partners.flatten().to_numpy()
+        a = np.repeat(batch.column("a").to_numpy(), np.diff(partners.offsets.to_numpy()))
+        x, y = (common.mix(n.astype(_U)) % _U(parts) for n in (a, b))
+        p, q = np.minimum(x, y).astype(np.int64), np.maximum(x, y).astype(np.int64)
+        order = np.lexsort((a, q, p))
+        a, b, p, q = a[order], b[order], p[order], q[order]
+        first = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])]) if len(p) else [])
+        at = pa.array(np.append(first, len(p)), pa.int32())
+        lists = [pa.ListArray.from_arrays(at, pa.array(n, pa.int64())) for n in (a, b)]
+        yield pa.RecordBatch.from_arrays([pa.array(p[first]), pa.array(q[first]), *lists], names=["p", "q", "a", "b"])
+
+
+def _settled(batches: Iterator[pa.RecordBatch], similarity: float):
+    """Of blocks of texts and the pairs between them: links that join their components."""
+    tool = zstandard.ZstdDecompressor()
+    for run in _runs(batches, ("p", "q")):
+        texts = run.filter(pc.is_valid(run.column("packed")))
+        packed = texts.column("packed").to_pylist()
+        bags = []
+        for at in range(0, len(packed), 32):
+            some = pa.array([tool.decompress(x) for x in packed[at : at + 32]], pa.large_binary())
+            part = Bags(*common.utf8(some))
+            cuts = np.searchsorted(part.row, np.arange(part.rows + 1))
+            bags += [(part.key[c:d], part.count[c:d]) for c, d in zip(cuts[:-1], cuts[1:])]
+        total = np.array([count.sum() for _, count in bags])
+        place = {n: k for k, n in enumerate(texts.column("node").to_pylist())}
+        component = texts.column("component").to_pylist()
+        up: dict[int, int] = {}
+
+        def root(k: int) -> int:
+            at = component[k]
+            while at in up:
+                at = up[at]
+            return at
+
+        pairs = run.filter(pc.is_valid(run.column("a")))
+        both = [pc.list_flatten(pairs.column(c)).to_numpy() for c in ("a", "b")]
+        both = np.unique(np.stack(both, axis=1), axis=0)
+        links = []
+        for own in np.split(both, np.flatnonzero(both[1:, 0] != both[:-1, 0]) + 1):
+            if not len(own):
+                continue
+            x = place[int(own[0, 0])]
+            low, high = total[x] * (similarity - 1e-9), total[x] / (similarity - 1e-9)
+            others = [place[int(n)] for n in own[:, 1]]
+            others = [y for y in others if low <= total[y] <= high and root(y) != root(x)]
+            if not others:
+                continue
+            key, count = bags[x]
+            theirs, counts = (np.concatenate([bags[y][k] for y in others]) for k in (0, 1))
+            row = np.repeat(np.arange(len(others)), [len(bags[y][0]) for y in others])
+            at = np.minimum(np.searchsorted(key, theirs), len(key) - 1)
+            same = key[at] == theirs
+            shared = np.bincount(row[same], np.minimum(count[at], counts)[same], minlength=len(others))
+            value = shared / (total[x] + total[others] - shared)
+            for k in np.flatnonzero(value >= similarity - 1e-9):
+                y = others[k]
+                if root(x) != root(y):
+                    up[root(x)] = root(y)
+                    links.append((texts.column("node")[x].as_py(), texts.column("node")[y].as_py()))
+        if links:
+            ends = np.array(links, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+
+def _settle(docs: DataFrame, nodes: DataFrame, open_: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between all components that share an open bucket (value, band, node, component, size)."""
+    chunks = F.ceil(F.col("size") / CHUNK)
+    rows = open_.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    rows = rows.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
+    rows = rows.join(nodes.select(F.col("id").alias("node"), "bands", "bytes"), "node")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("value", "i", "j", "band", "chunk", "node", "component", "bands", "bytes")
+    rows = rows.repartition(parts, "value", "i", "j").sortWithinPartitions("value", "i", "j")
+    met = common.stored(rows.mapInArrow(_met, "a bigint, bs array<bigint>"), "met")
+    ends = met.agg(F.sum(F.size("bs") + 1)).first()[0]
+    if ends is None:
+        return met.select("a", F.col("a").alias("b"))
+    named = open_.groupBy("node").agg(F.min("component").alias("component"))
+    blocks = -(-min(ends, named.count()) // TEXTS)
+    fields = "p bigint, q bigint, a array<bigint>, b array<bigint>"
+    dealt = common.stored(met.mapInArrow(lambda it: _dealt(it, blocks), fields), "dealt")
+    wanted = dealt.select("p", "q", F.explode(F.array_union("a", "b")).alias("node")).distinct()
+    wanted = common.stored(wanted, "blocks")
+    texts = _texts(docs, nodes, wanted.select(F.col("node").alias("a"), F.col("node").alias("b")), texts)
+    sent = wanted.join(texts.withColumnRenamed("id", "node"), "node").join(named, "node")
+    sent = sent.select("p", "q", "node", "component", "packed")
+    sent = sent.unionByName(dealt, allowMissingColumns=True)
+    sent = sent.repartition(parts, "p", "q").sortWithinPartitions("p", "q")
+    return common.stored(sent.mapInArrow(lambda it: _settled(it, similarity), "a bigint, b bigint"), "links")
+
+
 def linked(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """(node, component) of the nodes (id, node, least, bands, bytes) that have a link."""
-    placed = nodes.filter(F.size("bands") > 0).select(
-        F.col("id").alias("node"), F.col("id").alias("component"), F.explode("bands").alias("value")
+    exploded = nodes.filter(F.size("bands") > 0).select(
+        F.col("id").alias("node"), F.col("id").alias("component"), F.posexplode("bands").alias("band", "value")
     )
-    texts = found = label = None
-    turn = 0
-    while True:
-        pairs = _both(candidates(placed, turn), nodes, "bytes")
-        pairs = common.stored(pairs.mapInArrow(_agreement, "a bigint, b bigint, share double"), "candidates")
-        texts = _texts(docs, nodes, pairs, texts)
-
-        def verified(some: DataFrame) -> DataFrame:
-            compared = _both(some.select("a", "b"), texts, "packed").select("a", "b", "x", "y")
-            return common.stored(compared.mapInArrow(lambda it: _verify(it, similarity), "a bigint, b bigint"), "links")
-
-        if turn == 0:
-            ends = pairs.withColumn("id", F.col("a")).unionAll(pairs.withColumn("id", F.col("b")))
-            best = ends.groupBy("id").agg(F.max(F.struct("share", "a", "b")).alias("p"))
-            best = best.select("p.a", "p.b").distinct()
-            found = verified(best)
-            label = common.stored(components(found), "components")
-            new = verified(_cross(pairs, label).join(best, ["a", "b"], "left_anti"))
-        else:
-            new = verified(pairs)
-        if not new.isEmpty():
-            found = found.unionAll(new)
-            label = common.stored(components(found), "components")
-        elif turn > 0:
-            return label
-        # Buckets that hold several components are looked at again, in another order.
-        named = _named(placed.select("node", "value"), label)
-        open_ = named.groupBy("value").agg(F.min("component").alias("p"), F.max("component").alias("q"))
-        again = named.join(open_.filter("p <> q").select("value"), "value", "left_semi")
-        placed = common.stored(again, "open")
-        turn += 1
+    pairs = _both(candidates(exploded, 0), nodes, "bytes")
+    pairs = common.stored(pairs.mapInArrow(_agreement, "a bigint, b bigint, share double"), "candidates")
+    texts = _texts(docs, nodes, pairs, None)
+
+    def verified(some: DataFrame) -> DataFrame:
+        compared = _both(some.select("a", "b"), texts, "packed").select("a", "b", "x", "y")
+        return common.stored(compared.mapInArrow(lambda it: _verify(it, similarity), "a bigint, b bigint"), "links")
+
+    ends = pairs.withColumn("id", F.col("a")).unionAll(pairs.withColumn("id", F.col("b")))
+    best = ends.groupBy("id").agg(F.max(F.struct("share", "a", "b")).alias("p"))
+    best = best.select("p.a", "p.b").distinct()
+    found = verified(best)
+    label = common.stored(components(found), "components")
+    new = verified(_cross(pairs, label).join(best, ["a", "b"], "left_anti"))
+    if not new.isEmpty():
+        found = found.unionAll(new)
+        label = common.stored(components(found), "components")
+    # Buckets that still hold several components are settled exactly.
+    named = _named(exploded.select("node", "band", "value"), label)
+    open_ = named.groupBy("value").agg(
+        F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("size")
+    )
+    open_ = common.stored(named.join(open_.filter("p <> q").select("value", "size"), "value"), "open")
+    new = _settle(docs, nodes, open_, texts, similarity)
+    if new.isEmpty():
+        return label
+    return common.stored(components(found.unionAll(new)), "components")
 
 
 def _named(rows: DataFrame, label: DataFrame) -> DataFrame:
     joined = rows.join(label, "node", "left")
-    return joined.withColumn("component", F.coalesce("component", "node")).select("node", "component", "value")
+    return joined.withColumn("component", F.coalesce("component", "node")).select("node", "component", "band", "value")
 
 
 def _cross(pairs: DataFrame, label: DataFrame) -> DataFrame:

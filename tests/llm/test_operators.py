@@ -396,6 +396,52 @@ def test_classes_equal_brute_force(spark):
     assert found == sorted(zip((i for i, _ in rows), brute.near_classes(rows)))
 
 
+def near_family(size=2000, planted=40, words=400):
+    """Texts of about 0.75, and planted pairs of a little more than 0.8, with their similarities."""
+    draw = np.random.default_rng(5)
+    texts, hit = [], np.zeros((size, words - 4), np.float32)
+    for i in range(size):
+        places = draw.choice(words, 6, replace=False).tolist()
+        kind = [i] * 6
+        if i >= size - planted:  # like the text ``planted`` rows before, but for some words
+            places, kind = list(family_places[i - planted]), [i - planted] * 6
+            places += [p for p in draw.permutation(words).tolist() if p not in places][:7]
+            kind += [i] * 7
+        elif i == 0:
+            family_places = []
+        family_places.append(places)
+        text = [f"w{k}" for k in range(words)]
+        for p, k in zip(places, kind):
+            text[p] = f"x{k}y{p}"
+            hit[i, max(p - 4, 0) : p + 1] = 1
+        texts.append((i, " ".join(text)))
+    n = hit.sum(axis=1)
+    shared = words - 4 - (n[:, None] + n[None, :] - hit @ hit.T)
+    similarity = shared / (2 * (words - 4) - shared)
+    for i in range(size - planted, size):
+        value = brute.similarity(brute.bag(texts[i][1]), brute.bag(texts[i - planted][1]))
+        similarity[i, i - planted] = similarity[i - planted, i] = value
+    np.fill_diagonal(similarity, 1)
+    return texts, similarity
+
+
+def test_no_pair_of_a_large_family_is_missed(spark, monkeypatch):
+    """Most buckets hold hundreds of nodes that are not alike; the planted pairs are all found."""
+    texts, similarity = near_family()
+    assert 0.7 < np.median(similarity[:1900, :1900]) < 0.79
+    least = np.arange(len(texts))
+    while True:
+        after = np.array([least[row >= 0.8 - 1e-9].min() for row in similarity])
+        if (after == least).all():
+            break
+        least = after
+    monkeypatch.setattr(near_duplicates, "CHUNK", 300)  # buckets of several blocks
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(8)
+    found = {r.doc_id: r.class_id for r in near_duplicates.classes(frame)[0].collect()}
+    assert sum(similarity[i, i - 40] >= 0.8 for i in range(1960, 2000)) >= 30
+    assert [found[i] for i in range(len(texts))] == least.tolist()
+
+
 def test_one_of_each_class_stays(spark, docs, empty):
     twice = docs.unionAll(docs)
     kept = near_duplicates.keep_one(twice)
