@@ -109,9 +109,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         sharding.text_size().alias("size"),
         sharding.text_crc32().alias("text_crc32"),
-        sharding.string_rank("lang").alias("lang_rank"),
-        sharding.string_rank("source").alias("source_rank"),
+        "lang",
+        "source",
     )
+    rows = sharding.with_ranks(rows, {"lang_rank": "lang", "source_rank": "source"}).drop("lang", "source")
     dimensions = {c: F.col(c) for c in ("lang_rank", "source_rank", "size")}
     placed = sharding.assign(rows, dimensions, ["doc_id", "text_crc32", "size"])
     grown = F.lit(None).cast("int").alias("grown_shard")

@@ -80,6 +80,20 @@ def string_rank(column: str) -> Column:
     return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("bigint")
 
 
+def with_ranks(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``df`` with a number per column (name of the new column to string column) that is in the
+    order of the whole strings; null counts as empty. The number of values has no bound: the
+    distinct ones go to ranges, and the place in the stored ranges is the rank."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for rank, column in columns.items():
+        value = F.coalesce(F.col(column), F.lit(""))
+        values = df.select(value.alias("_value")).distinct()
+        ranged = values.repartitionByRange(parts, "_value").sortWithinPartitions("_value")
+        ranged = common.stored(ranged.withColumn(rank, F.monotonically_increasing_id()), "ranks")
+        df = df.withColumn("_value", value).join(ranged, "_value").drop("_value")
+    return df
+
+
 def _cell(column: str, edges: list[int]) -> Column:
     """The number of edges below the value; null is in the first cell."""
     above = F.filter(F.lit(edges), lambda edge: edge < F.col(column)) if edges else F.array()

@@ -386,6 +386,16 @@ def test_shards(spark, empty):
     assert sharding.assign(none, {"size": F.col("size")}, ["doc_id"]).count() == 0
 
 
+def test_ranks_follow_whole_strings(spark):
+    names = [f"https://site-{i:02d}.example/é" for i in range(40)] + [None, "", "z"]
+    frame = spark.createDataFrame([(i, n) for i, n in enumerate(names * 2)], "doc_id bigint, source string")
+    rows = sharding.with_ranks(frame, {"rank": "source"}).collect()
+    ranks = {(r.source or "").encode(): r["rank"] for r in rows}
+    assert len(rows) == 86 and all(r["rank"] == ranks[(r.source or "").encode()] for r in rows)
+    in_order = [ranks[n] for n in sorted(ranks)]
+    assert in_order == sorted(set(in_order))
+
+
 # 9 ------------------------------------------------------------------------------------------
 
 
