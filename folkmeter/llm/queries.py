@@ -14,6 +14,7 @@ from folkmeter.llm import (
     fingerprints,
     near_duplicates,
     packed,
+    packing,
     quality,
     sharding,
     suffix_dedup,
@@ -92,6 +93,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 END_OF_DOCUMENT = 2
+END_OF_SEQUENCE = 0
 
 
 @query("op7_arrow_sequences")
@@ -203,3 +205,12 @@ FROM h LEFT JOIN g USING (doc_id)
 @query("op1_suffix_array", OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(documents(spark, sf_dir))
+
+
+@query("op13_harmonic_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack(documents(spark, sf_dir), path, END_OF_SEQUENCE)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
