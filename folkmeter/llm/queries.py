@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,6 +13,7 @@ from folkmeter.llm import (
     bpe,
     decontaminate,
     fingerprints,
+    merkle,
     near_duplicates,
     packed,
     packing,
@@ -37,6 +39,18 @@ def query(name: str, sql: str | None = None):
     return put
 
 
+# DuckDB has no CRC-32: the usual table, and a fold over the digits of the id.
+CRC_SQL = """
+crc_table AS (SELECT list(v ORDER BY b) AS tab FROM (
+  SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS r(b))),
+crc AS (
+  SELECT doc_id, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ord(x)::BIGINT)),
+    lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS h
+  FROM documents, crc_table)"""
+
+
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", *more)
 
@@ -214,3 +228,76 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+OP12_SQL = (
+    "WITH RECURSIVE"
+    + CRC_SQL
+    + r""",
+fields AS (
+  SELECT d.doc_id, coalesce('1' || lang, '0') AS tree, h % 3 = 0 AS tampered, text,
+    coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM documents d JOIN crc ON crc.doc_id = d.doc_id),
+leaves AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN tampered THEN sha256(head || coalesce(strlen(text) || ':' ||
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+    ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS other,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n
+  FROM fields),
+low(l, tree, idx, n, h) AS (
+  SELECT 0, tree, idx, n, leaf FROM leaves UNION ALL
+  SELECT l + 1, tree, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx))
+  FROM low WHERE n > 1 GROUP BY l, tree, idx // 8, n),
+subroots AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM low WHERE n = 1),
+top(l, idx, n, h) AS (
+  SELECT 0, idx, n, h FROM subroots UNION ALL
+  SELECT l + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx))
+  FROM top WHERE n > 1 GROUP BY l, idx // 8, n),
+heights AS (SELECT DISTINCT l, tree FROM low WHERE n > 1),
+way AS (
+  SELECT doc_id, l AS k, tree, idx >> (3 * l) AS place FROM leaves JOIN heights USING (tree) UNION ALL
+  SELECT doc_id, 1000 + l, '', s.idx >> (3 * l)
+  FROM leaves JOIN subroots s USING (tree), (SELECT DISTINCT l FROM top WHERE n > 1) AS t),
+nodes AS (
+  SELECT l AS k, tree, idx, h FROM low WHERE n > 1 UNION ALL SELECT 1000 + l, '', idx, h FROM top WHERE n > 1),
+steps AS (
+  SELECT doc_id, way.k, coalesce(string_agg(h, '' ORDER BY idx) FILTER (idx < place), '') AS b,
+    coalesce(string_agg(h, '' ORDER BY idx) FILTER (idx > place), '') AS a
+  FROM way JOIN nodes ON nodes.k = way.k AND nodes.tree = way.tree AND idx // 8 = place // 8
+  GROUP BY doc_id, way.k),
+paths AS (
+  SELECT doc_id, list({'b': b, 'a': a} ORDER BY k) AS path, string_agg(b || a, '' ORDER BY k) AS joined
+  FROM steps GROUP BY doc_id),
+folded(doc_id, i, h) AS (
+  SELECT doc_id, 0, other FROM leaves UNION ALL
+  SELECT f.doc_id, i + 1, sha256(path[i + 1].b || h || path[i + 1].a)
+  FROM folded f JOIN paths p ON p.doc_id = f.doc_id WHERE i < len(path)),
+ends AS (SELECT doc_id, arg_max(h, i) AS folded_root FROM folded GROUP BY doc_id)
+SELECT d.doc_id, leaf, s.h AS subroot, t.h AS root, sha256(coalesce(joined, '')) AS proof_sha256,
+  folded_root, folded_root = t.h AS verified
+FROM leaves d JOIN subroots s USING (tree) JOIN ends USING (doc_id) LEFT JOIN paths USING (doc_id),
+  (SELECT h FROM top WHERE n = 1) AS t
+"""
+)
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree per language; a third of the documents is checked with a text in lower case."""
+    docs = documents(spark, sf_dir, "source", "lang", "n_chars")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    other = merkle.leaf(*[lower if c == "text" else F.col(c) for c in columns])
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    rows = merkle.manifest(
+        docs, columns, "lang", ["doc_id"], {"doc_id": F.col("doc_id"), "other": F.when(tampered, other)}
+    )
+    rows = rows.withColumn("start", F.coalesce("other", "leaf"))
+    folded = rows.withColumn("folded_root", merkle.fold("start"))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof().alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
