@@ -17,6 +17,7 @@ from folkmeter.llm import (
     near_duplicates,
     packed,
     packing,
+    periodic_runs,
     quality,
     sharding,
     suffix_dedup,
@@ -301,3 +302,70 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", merkle.proof().alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+# Pairs of equal words q apart; consecutive ones make the stretches of period q.
+OP11_SQL = (
+    "WITH RECURSIVE"
+    + CRC_SQL
+    + r""",
+plain AS (
+  SELECT d.doc_id, h, h // 10 AS g,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents d JOIN crc ON crc.doc_id = d.doc_id),
+params AS (
+  SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN g % len(w) END AS a,
+    CASE WHEN len(w) > 0 THEN 1 + (len(w) - g % len(w)) // (3 + g % 8) END AS p FROM plain),
+edited AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n),
+    lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w END AS w FROM params),
+pos AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS x FROM edited),
+pairs AS (
+  SELECT a.doc_id, b.i - a.i AS q, a.i FROM pos a JOIN pos b
+  ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pairs),
+stretches AS (
+  SELECT doc_id, q, min(i) AS s, count(*) + q AS len FROM islands GROUP BY doc_id, q, k
+  HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, s, len, min(q) AS q FROM stretches GROUP BY doc_id, s, len),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM pos ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+sums AS (
+  SELECT doc_id, count(*) AS n_runs, sha256(string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q)) AS digest
+  FROM runs GROUP BY doc_id),
+best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY len DESC, s, q) = 1)
+SELECT e.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, len AS length, q AS period,
+  1000 * len // q AS exponent_milli, coalesce(digest, sha256('')) AS runs_sha256,
+  sha256(coalesce(t, '')) AS collapsed_sha256
+FROM edited e LEFT JOIN sums USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+)
+
+
+@query("op11_cover_runs", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words, after a tenth of the documents had their tails made periodic."""
+    docs = documents(spark, sf_dir).withColumn("h", F.crc32(F.col("doc_id").cast("string")))
+    docs = docs.withColumn("words", F.when(F.col("h") % 10 == 0, periodic_runs.split_words("text")))
+    n, g = F.size("words"), F.expr("h div 10")
+    start = (g % n).cast("int")
+    period = (F.floor((n - start) / (g % 8 + 3)) + 1).cast("int")
+    edited = F.when(n > 0, F.array_join(periodic_runs.repeat_tail("words", start, period), " "))
+    found = periodic_runs.find(docs.select("doc_id", F.coalesce(edited, "text").alias("text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    order = F.transform(
+        "runs", lambda r: F.struct(r.length, (-r.start).alias("start"), (-r.period).alias("period"))
+    )
+    found = found.withColumn("best", F.array_max(order))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        "best.length",
+        (-F.col("best.period")).alias("period"),
+        F.expr("best.length * 1000 div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
