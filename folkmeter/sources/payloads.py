@@ -14,7 +14,7 @@ from folkmeter.operators.relational import (
     resolve_authors,
     resolve_communities,
 )
-from folkmeter.session import cut_lineage
+from folkmeter.sources import trees
 
 POST = (
     "struct<id:string,title:string,content:string,url:string,upvotes:bigint,"
@@ -24,12 +24,6 @@ AGENT = (
     "struct<karma:bigint,description:string,follower_count:bigint,following_count:bigint,"
     "created_at:string,owner:struct<x_handle:string>>"
 )
-# `replies` stays text: each level of the tree is read when it is reached.
-NODE = (
-    "struct<author:struct<name:string>,content:string,upvotes:bigint,downvotes:bigint,"
-    "created_at:string,replies:string>"
-)
-LEVELS = 8
 
 
 def _present(column: Column) -> Column:
@@ -131,63 +125,20 @@ def profile_rows(payloads: DataFrame, scraped_at: Column, body: str = "body") ->
     )
 
 
-def _children(text: Column, path: Column) -> Column:
-    """Array of (path, node) for a JSON array of comments below ``path``."""
-    nodes = F.coalesce(
-        F.from_json(text, f"array<{NODE}>"), F.array().cast(f"array<{NODE}>")
-    )
-    return F.transform(
-        nodes, lambda node, i: F.struct(F.concat(path, F.array(i)).alias("path"), node.alias("node"))
-    )
-
-
-def _expand(roots: DataFrame, key: str, levels: int) -> DataFrame:
-    """All nodes of the next ``levels`` levels below the roots (key, path, text)."""
-    rows = roots.withColumn("_l0", _children(F.col("text"), F.col("path")))
-    for i in range(1, levels):
-        below = F.transform(
-            f"_l{i - 1}", lambda item: _children(item["node"]["replies"], item["path"])
-        )
-        rows = rows.withColumn(f"_l{i}", F.flatten(below))
-    found = F.concat(*[F.col(f"_l{i}") for i in range(levels)])
-    return rows.select(
-        key, F.size("path").alias("_base"), F.explode(found).alias("_item")
-    ).select(key, "_base", "_item.path", "_item.node")
-
-
-def flatten_replies(
-    payloads: DataFrame, key: str = "id_post", body: str = "body", levels: int = LEVELS
-) -> DataFrame:
+def flatten_replies(payloads: DataFrame, key: str = "id_post", body: str = "body") -> DataFrame:
     """Comment trees as rows; ordering by ``path`` gives the depth-first pre-order.
 
-    A payload row carries its own tree, so levels are expanded inside the row
-    without a shuffle. Trees deeper than ``levels`` go on in further rounds until
-    no reply is left.
+    A payload row carries its own tree, so nothing is shuffled, and its text is parsed once: no
+    level is read again for the levels above it. Trees may have any depth. A text that is not
+    JSON gives no rows.
     """
-    root = F.from_json(body, "struct<comments:string>")["comments"]
-    roots = payloads.select(key, F.array().cast("array<int>").alias("path"), root.alias("text"))
-    rounds: list[DataFrame] = []
-    while True:
-        nodes = cut_lineage(_expand(roots, key, levels))
-        rounds.append(nodes)
-        replies = F.col("node.replies")
-        edge = F.size("path") == F.col("_base") + levels
-        deeper = nodes.filter(edge & replies.isNotNull() & (replies != "[]"))
-        if deeper.isEmpty():
-            break
-        roots = deeper.select(key, "path", replies.alias("text"))
-    whole = rounds[0]
-    for part in rounds[1:]:
-        whole = whole.unionByName(part)
-    return whole.select(
-        key,
-        "path",
-        F.size("path").alias("depth"),
-        F.col("node.author.name").alias("author"),
-        F.col("node.content").alias("content"),
-        F.col("node.upvotes").alias("upvotes"),
-        F.col("node.downvotes").alias("downvotes"),
-        F.col("node.created_at").alias("created_at"),
+    kind = payloads.schema[key].dataType.simpleString()
+    schema = (
+        f"`{key}` {kind}, path array<int>, depth int, author string, content string,"
+        " upvotes bigint, downvotes bigint, created_at string"
+    )
+    return payloads.select(key, body).mapInArrow(
+        lambda batches: trees.flatten(batches, "comments", "replies"), schema
     )
 
 

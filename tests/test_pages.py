@@ -9,6 +9,7 @@ from folkmeter import schemas
 from folkmeter.operators.cleaning import usable_pages
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
+from folkmeter.sources import trees
 
 LISTING = """<body><ol>
 <li><div>1. <a href="/u/mira?from=list">Mira</a> <em>12 posts</em> <b>KARMA 40.5k</b></div></li>
@@ -216,15 +217,50 @@ def chain(depth):
     return node
 
 
-@pytest.mark.parametrize("levels", [2, 8])
-def test_flatten_replies(spark, levels):
+def test_flatten_replies(spark):
     tree = {"comments": [chain(7), {"author": {"name": "z"}, "content": "last"}]}
     frame = bodies(spark, "id_post string, body string", ("p", tree), ("q", {"comments": []}), ("r", "bad"))
-    rows = J.flatten_replies(frame, levels=levels).orderBy("id_post", "path").collect()
+    rows = J.flatten_replies(frame).orderBy("id_post", "path").collect()
     assert [r.content for r in rows] == [f"c{i}" for i in range(1, 8)] + ["last"]
     assert [r.depth for r in rows] == [1, 2, 3, 4, 5, 6, 7, 1]
 
 
+@pytest.mark.parametrize("depth", [200, 2_000])
+def test_deep_trees_are_read_once(spark, depth):
+    """No stored rounds, no shuffle."""
+    link = '{"author":{"name":"a"},"content":"c \\" ]","upvotes":%d,"replies":[1,'
+    body = '{"comments":[' + "".join(link % i for i in range(depth)) + '{"content":"leaf"}' + "]}" * depth + "]}"
+    frame = spark.createDataFrame([(7, body), (8, body[:-1]), (9, None)], "id_post bigint, body string")
+    flat = J.flatten_replies(frame)
+    assert "Exchange" not in flat._jdf.queryExecution().executedPlan().toString()
+    rows = flat.select("id_post", "depth", "upvotes", "content", F.col("path")[0].alias("a"), F.element_at("path", -1).alias("z")).orderBy("depth").collect()
+    assert [r.depth for r in rows] == list(range(1, depth + 2)) and {r.id_post for r in rows} == {7}
+    assert [r.upvotes for r in rows] == [*range(depth), None] and rows[-1].content == "leaf"
+    assert rows[0].z == 0 and {r.z for r in rows[1:]} == {1} and rows[3].content == 'c " ]'
+
+
+def test_tree_values_keep_their_kinds(spark):
+    node = {"author": {"name": 5}, "content": {"a": [1, "é"]}, "upvotes": "3", "downvotes": 2.5, "created_at": None}
+    tree = {"comments": [node, None, "text", {"author": "x", "upvotes": 1 << 70, "replies": {"no": "list"}}]}
+    rows = J.flatten_replies(bodies(spark, "id_post string, body string", ("p", tree), ("q", [1]), ("r", {"comments": 1}))).collect()
+    assert [r.path for r in rows] == [[0], [3]]
+    assert (rows[0].author, rows[0].content, rows[0].upvotes, rows[0].downvotes) == ("5", '{"a":[1,"é"]}', None, None)
+    assert (rows[1].author, rows[1].upvotes) == (None, None)
+
+
+def test_deep_parser_equals_the_library():
+    tree, depth = trees.parse('{"r":[' * 30_000 + "]}" * 30_000), 0
+    while tree["r"]:
+        tree, depth = tree["r"][0], depth + 1
+    assert depth == 29_999
+    good = ['[]', '{}', ' [1, {"a": [true, null, "x\\u00e9 ,]"]}, -1.5e3] ', '"s"', '12', '{"a":{"b":{}},"c":[[],[{}]]}']
+    for text in good:
+        assert trees.loads_deep(text) == json.loads(text)
+    for text in ['[', ']', '{"a"}', '[1 2]', '[,]', '{"a":1,}', '[1,]', '{1:2}', '"a', '[1]]', 'nul', '', '{"a":}', '[}', '{"a" 1}']:
+        with pytest.raises(ValueError):
+            trees.loads_deep(text)
+
+
 def test_comment_rows(spark):
     tree = {"comments": [chain(3), {"content": "no author"}, {"author": {"name": "A1"}, "content": "c9", "upvotes": 3, "downvotes": 1}]}
     frame = bodies(spark, "id_post string, body string", ("p", tree))
