@@ -8,9 +8,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressor,
     GeneralizedLinearRegression,
@@ -48,8 +49,10 @@ GRID = {
     "maxIter": [50, 100, 200],
     "subsamplingRate": [0.7, 0.8, 1.0],
 }
-STACK = "stacked"
+STACK_ALL, STACK_BEST = "stacked_all", "stacked_best_of_family"
 BUCKET_ROWS = 100_000
+# When an ensemble stops: windows of so many scores, and the share by which they must get better.
+ROUNDS, TOLERANCE = 5, 0.001
 
 
 def available_features(df: DataFrame, features: list[str] = FEATURES) -> list[str]:
@@ -97,6 +100,85 @@ def candidates(max_models: int, seed: int = SEED) -> dict[str, object]:
     return dict(list(named.items())[:max_models])
 
 
+def family(name: str) -> str:
+    """Kind of a candidate, by its estimator."""
+    return {"gbt": "boosted", "forest": "forest"}.get(name.split("_")[0], "linear")
+
+
+def best_of_family(errors: dict[str, float]) -> list[str]:
+    """The model of the least error of each family, in the order of ``errors``."""
+    best: dict[str, str] = {}
+    for name, error in errors.items():
+        kind = family(name)
+        if kind not in best or error < errors[best[kind]]:
+            best[kind] = name
+    return [n for n in errors if n in best.values()]
+
+
+def moments(names: list[str], label: str = "label") -> list[Column]:
+    """Sums of products of a leading one, the columns and the label: the upper triangle, row by row.
+
+    All that least squares needs of rows of any number is these few numbers.
+    """
+    terms = [F.lit(1.0), *[F.col(n) for n in names], F.col(label)]
+    return [
+        F.sum(terms[i] * terms[j]).alias(f"m_{i}_{j}")
+        for i in range(len(terms))
+        for j in range(i, len(terms))
+    ]
+
+
+def moment_matrix(values: list[float], size: int) -> np.ndarray:
+    """The symmetric matrix of ``moments``."""
+    out = np.zeros((size, size))
+    out[np.triu_indices(size)] = values
+    return out + np.triu(out, 1).T
+
+
+def non_negative_weights(
+    matrix: np.ndarray, chosen: list[int], rounds: int = 10_000, tolerance: float = 1e-10
+) -> tuple[float, np.ndarray]:
+    """(intercept, weights >= 0) of least squares on the ``chosen`` columns, from moments alone.
+
+    Columns are centred, which takes the intercept out of the problem; then one weight after the
+    other goes to its own optimum, cut at zero, until none moves.
+    """
+    n = matrix[0, 0]
+    weights = np.zeros(len(chosen))
+    if n == 0:
+        return 0.0, weights
+    means = matrix[0] / n
+    centred = matrix - n * np.outer(means, means)
+    at = np.array(chosen) + 1
+    gram, cross = centred[np.ix_(at, at)], centred[at, -1]
+    scale = max(float(np.abs(gram).max()), 1e-300)
+    for _ in range(rounds):
+        moved = 0.0
+        for i in range(len(weights)):
+            if gram[i, i] <= 1e-12 * scale:  # a constant column says nothing
+                continue
+            rest = cross[i] - gram[i] @ weights + gram[i, i] * weights[i]
+            new = max(0.0, rest / gram[i, i])
+            moved = max(moved, abs(new - weights[i]))
+            weights[i] = new
+        if moved <= tolerance:
+            break
+    return float(means[-1] - weights @ means[at]), weights
+
+
+def _combined(intercept: float, weights: dict[str, float]) -> Column:
+    out = F.lit(intercept)
+    for name, weight in weights.items():
+        out = out + F.lit(float(weight)) * F.col(name)
+    return out
+
+
+def stack_stage(intercept: float, weights: dict[str, float], output: str = "prediction"):
+    """A pipeline stage, saved with the model, for the weighted sum of the models' predictions."""
+    terms = "".join(f" + ({weight!r}D) * `{name}`" for name, weight in weights.items())
+    return SQLTransformer(statement=f"SELECT *, ({intercept!r}D){terms} AS {output} FROM __THIS__")
+
+
 @dataclass
 class TrainResult:
     model: PipelineModel
@@ -104,6 +186,7 @@ class TrainResult:
     leaderboard: DataFrame
     metrics: dict[str, float]
     features: list[str]
+    weights: DataFrame
 
 
 def _metric_row(df: DataFrame, label: str, prediction: str) -> dict[str, float]:
@@ -129,14 +212,16 @@ def train_models(
     max_runtime_secs: float | None = None,
     folds: int = 3,
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> TrainResult:
-    """Fit the candidates and a linear stack of them; the lowest fold RMSE leads.
-
-    Every ranking error comes from rows the model was not fitted on; the test rows
-    are kept apart from the ranking and only measure the leader. Candidates that a given
-    time limit leaves out stand in the leaderboard as ``skipped``. The fits of one
-    candidate run at the same time, ``parallelism`` of them.
+    """Fit the candidates and two stacks of them; the lowest fold RMSE leads.
+
+    The stacks, of all candidates and of the best of each family, weigh predictions for rows that
+    the models were not fitted on; the weights are not negative and come from the moments of each
+    fold, one pass over the rows. Every ranking error, also of a stack, comes from rows that
+    neither models nor weights have seen; the test rows are kept apart from the ranking and only
+    measure the leader. Candidates that a given time limit leaves out stand in the leaderboard as
+    ``skipped``. The fits run at the same time, ``parallelism`` of them.
     """
     started = time.monotonic()
     used = available_features(cleaned, features)
@@ -149,14 +234,21 @@ def train_models(
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         final, by_fold, skipped = {}, {}, []
-        for name, estimator in candidates(max_models, seed).items():
+        parts = [train.filter(F.col("fold") != k) for k in range(folds)] + [train]
+
+        def fit(estimator):
             if final and _over(started, max_runtime_secs):
-                skipped.append(name)
-                continue
-            parts = [train.filter(F.col("fold") != k) for k in range(folds)] + [train]
-            with ThreadPoolExecutor(parallelism) as pool:
-                fitted = list(pool.map(lambda part: estimator.copy().fit(part), parts))
-            by_fold[name], final[name] = fitted[:-1], fitted[-1]
+                return None
+            with ThreadPoolExecutor(len(parts)) as pool:
+                return list(pool.map(lambda part: estimator.copy().fit(part), parts))
+
+        tried = candidates(max_models, seed)
+        with ThreadPoolExecutor(max(1, parallelism // len(parts))) as pool:
+            for name, fitted in zip(tried, pool.map(fit, tried.values())):
+                if fitted is None:
+                    skipped.append(name)
+                else:
+                    by_fold[name], final[name] = fitted[:-1], fitted[-1]
 
         def out_of_fold(k: int) -> DataFrame:
             part = train.filter(F.col("fold") == k)
@@ -167,25 +259,32 @@ def train_models(
         scored = out_of_fold(0)
         for k in range(1, folds):
             scored = scored.unionByName(out_of_fold(k))
-        meta_input = VectorAssembler(inputCols=list(final), outputCol="stack_features")
-        level_two = meta_input.transform(scored).persist(StorageLevel.MEMORY_AND_DISK)
-        meta = LinearRegression(featuresCol="stack_features", predictionCol=STACK)
-        stacked_parts = [
-            meta.fit(level_two.filter(F.col("fold") != k)).transform(
-                level_two.filter(F.col("fold") == k)
-            )
-            for k in range(folds)
-        ]
-        ranked = stacked_parts[0]
-        for part in stacked_parts[1:]:
-            ranked = ranked.unionByName(part)
-        names = [*final, STACK]
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        # One line of moments per fold leaves the cluster.
+        names, size = list(final), len(final) + 2
+        lines = scored.groupBy("fold").agg(*moments(names)).collect()
+        by_part = {r["fold"]: moment_matrix(list(r)[1:], size) for r in lines}
+        whole = sum(by_part.values(), np.zeros((size, size)))
+        square = np.array([whole[i, i] - 2 * whole[i, -1] + whole[-1, -1] for i in range(1, size - 1)])
+        errors = dict(zip(names, square))
+        stacks = {STACK_ALL: names, STACK_BEST: best_of_family(errors)}
+        ranked, weighed = scored, {}
+        for stack, members in stacks.items():
+            chosen = [names.index(m) for m in members]
+            value = F.lit(None).cast("double")
+            for k in range(folds):
+                others = sum((m for f, m in by_part.items() if f != k), np.zeros((size, size)))
+                intercept, found = non_negative_weights(others, chosen)
+                value = F.when(F.col("fold") == k, _combined(intercept, dict(zip(members, found)))).otherwise(value)
+            ranked = ranked.withColumn(stack, value)
+            intercept, found = non_negative_weights(whole, chosen)
+            weighed[stack] = intercept, {m: float(w) for m, w in zip(members, found)}
         measured = [
             F.struct(
                 F.lit(n).alias("model"),
                 *[c.alias(m) for m, c in metric_columns(F.col("label"), F.col(n)).items()],
             )
-            for n in names
+            for n in [*names, *stacks]
         ]
         # One line per model leaves the cluster.
         board = ranked.agg(F.array(*measured).alias("lines")).first()["lines"]
@@ -197,10 +296,15 @@ def train_models(
             + [(None, name, None, None, None, "skipped") for name in skipped],
             "place int, model string, rmse double, mae double, r2 double, status string",
         )
-        if model_id == STACK:
-            level_one = [m.setPredictionCol(n) for n, m in final.items()]
-            meta_model = meta.setPredictionCol("prediction").fit(level_two)
-            stages = [assembler, *level_one, meta_input, meta_model]
+        weights = spark.createDataFrame(
+            [(s, m, w) for s, (c, parts) in weighed.items() for m, w in [("intercept", c), *parts.items()]],
+            "stack string, model string, weight double",
+        )
+        if model_id in weighed:
+            intercept, own = weighed[model_id]
+            own = {m: w for m, w in own.items() if w > 0}
+            level_one = [final[n].setPredictionCol(n) for n in own]
+            stages = [assembler, *level_one, stack_stage(intercept, own)]
         else:
             stages = [assembler, final[model_id].setPredictionCol("prediction")]
         model = PipelineModel(stages=stages)
@@ -210,11 +314,10 @@ def train_models(
         metrics |= {f"karma_{n}": v for n, v in points.items()}
         metrics |= {"train_size": train.count(), "test_size": test.count()}
     finally:
-        level = locals().get("level_two")
-        if level is not None:
-            level.unpersist()
+        if "scored" in locals():
+            scored.unpersist()
         train.unpersist()
-    return TrainResult(model, model_id, leaderboard, metrics, used)
+    return TrainResult(model, model_id, leaderboard, metrics, used, weights)
 
 
 def predict(model: PipelineModel, data: DataFrame, name: str = "karma_predicted") -> DataFrame:
@@ -243,6 +346,38 @@ def evaluate_model(path: str, data: DataFrame) -> dict[str, float]:
     return _metric_row(scored, "karma", "karma_predicted")
 
 
+def stop_round(history: list[float], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> int:
+    """How many scores are looked at before scoring stops.
+
+    Scores are averaged over windows of ``rounds``. It stops when the best of the last ``rounds``
+    windows is not better than the one before them by the share ``tolerance``.
+    """
+    for n in range(2 * rounds, len(history) + 1):
+        windows = [sum(history[n - 2 * rounds + i : n - rounds + i]) / rounds for i in range(rounds + 1)]
+        if min(windows[1:]) >= windows[0] * (1 - tolerance):
+            return n
+    return len(history)
+
+
+def kept_trees(history: list[float], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> int:
+    """Trees that an ensemble keeps: up to the best score that was seen before scoring stopped."""
+    seen = history[: stop_round(history, rounds, tolerance)]
+    return seen.index(min(seen)) + 1
+
+
+@dataclass
+class GridResult:
+    results: DataFrame
+    history: DataFrame
+    model: PipelineModel
+
+
+def grid_sample(grid: dict[str, list], size: int, seed: int) -> list[dict]:
+    """``size`` different combinations of the grid in seeded random order."""
+    combos = [dict(zip(grid, values)) for values in product(*grid.values())]
+    return random.Random(seed).sample(combos, min(size, len(combos)))
+
+
 def optimize_gbt(
     train: DataFrame,
     valid: DataFrame,
@@ -252,57 +387,76 @@ def optimize_gbt(
     max_models: int = 15,
     max_runtime_secs: float | None = None,
     seed: int = SEED,
-    parallelism: int = 1,
-    tolerance: float = 0.001,
-) -> tuple[DataFrame, PipelineModel]:
-    """Seeded random search over the grid; (results by MAE, best model).
-
-    Trees stop early once the validation rows no longer gain by ``tolerance``.
+    parallelism: int = 8,
+    rounds: int = ROUNDS,
+    tolerance: float = TOLERANCE,
+) -> GridResult:
+    """Seeded random search over the grid: results by MAE, history of scores, best model.
+
+    The validation MAE after each tree says where an ensemble stops (``stop_round``) and how many
+    trees it keeps. Ensembles are fitted at a quarter of their trees, a half, and in full, and
+    not further than where they stop; trees of one seed are the same in a shorter and a longer
+    fit, so the leader is fitted again with the trees that it keeps.
     """
     started = time.monotonic()
     used = available_features(train, features)
     assembler = VectorAssembler(inputCols=used, outputCol="features", handleInvalid="keep")
 
-    def ready(df: DataFrame, is_valid: bool) -> DataFrame:
+    def ready(df: DataFrame) -> DataFrame:
         vectors = assembler.transform(df.na.fill(0, used))
-        return vectors.select("features", F.col(target).alias("label"), F.lit(is_valid).alias("held"))
+        return vectors.select("features", F.col(target).alias("label")).persist(StorageLevel.MEMORY_AND_DISK)
 
-    both = ready(train, False).unionByName(ready(valid, True)).persist(StorageLevel.MEMORY_AND_DISK)
-    combos = [dict(zip(grid, values)) for values in product(*grid.values())]
-    chosen = random.Random(seed).sample(combos, min(max_models, len(combos)))
+    fit_rows, score_rows = ready(train), ready(valid)
+    chosen = grid_sample(grid, max_models, seed)
+
+    def boosted(params: dict, trees: int):
+        return GBTRegressor(seed=seed, **{**params, "maxIter": trees})
 
-    def fit(params: dict):
+    def grown(params: dict) -> tuple[list[float], list[float]] | None:
+        """MAE and mean squared error per tree, as far as scoring goes."""
         if done and _over(started, max_runtime_secs):
-            return params, None, None
-        model = GBTRegressor(
-            seed=seed, validationIndicatorCol="held", validationTol=tolerance, **params
-        ).fit(both)
-        measured = _metric_row(model.transform(both.filter("held")), "label", "prediction")
+            return None
+        most = params["maxIter"]
+        for trees in sorted({max(1, most // 4), max(1, most // 2), most}):
+            model = boosted(params, trees).fit(fit_rows)
+            history = model.evaluateEachIteration(score_rows, "absolute")
+            if trees == most or stop_round(history, rounds, tolerance) < trees:
+                break
         done.append(params)
-        return params, measured, model
+        return history, model.evaluateEachIteration(score_rows, "squared")
 
     done: list[dict] = []
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            tried = list(pool.map(fit, chosen))
+            scores = list(pool.map(grown, chosen))
+        spread = score_rows.agg(F.var_pop("label")).first()[0] or 0.0
+        lines, history = [], []
+        for i, (params, score) in enumerate(zip(chosen, scores)):
+            values = [params[n] for n in ("maxDepth", "stepSize", "maxIter", "subsamplingRate")]
+            if score is None:
+                lines.append((i, *values, None, None, None, None, None, "skipped"))
+                continue
+            mae, mse = score
+            stop, kept = stop_round(mae, rounds, tolerance), kept_trees(mae, rounds, tolerance)
+            error = mse[kept - 1]
+            fit = 1.0 - error / spread if spread > 0 else 0.0
+            lines.append((i, *values, stop, kept, mae[kept - 1], error**0.5, fit, "fitted"))
+            history += [(i, n + 1, value, n + 1 <= stop) for n, value in enumerate(mae)]
+        ranked = sorted((x for x in lines if x[-1] == "fitted"), key=lambda x: (x[7], x[0]))
+        best = ranked[0]
+        model = boosted(chosen[best[0]], best[6]).fit(fit_rows)
     finally:
-        both.unpersist()
-    fitted = sorted((r for r in tried if r[1] is not None), key=lambda r: r[1]["mae"])
-    names = ("maxDepth", "stepSize", "maxIter", "subsamplingRate")
-    lines = [
-        (i + 1, *[p[n] for n in names], m["mae"], m["rmse"], m["r2"], "fitted")
-        for i, (p, m, _) in enumerate(fitted)
-    ] + [
-        (None, *[p[n] for n in names], None, None, None, "skipped")
-        for p, m, _ in tried
-        if m is None
-    ]
-    results = train.sparkSession.createDataFrame(
-        lines,
-        "place int, max_depth int, learn_rate double, trees int, sample_rate double,"
-        " mae double, rmse double, r2 double, status string",
+        fit_rows.unpersist()
+        score_rows.unpersist()
+    spark = train.sparkSession
+    placed = [(n + 1, *x) for n, x in enumerate(ranked)] + [(None, *x) for x in lines if x[-1] == "skipped"]
+    results = spark.createDataFrame(
+        placed,
+        "place int, combination int, max_depth int, learn_rate double, trees int, sample_rate double,"
+        " stop_round int, kept_trees int, mae double, rmse double, r2 double, status string",
     )
-    return results, PipelineModel(stages=[assembler, fitted[0][2]])
+    scored = spark.createDataFrame(history, "combination int, trees int, mae double, seen boolean")
+    return GridResult(results, scored, PipelineModel(stages=[assembler, model]))
 
 
 def _shares(rows: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 """Layers, store, streaming and models end to end."""
 
 import json
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -299,16 +301,143 @@ def test_split_does_not_depend_on_partitions(signal):
 def test_grid(spark, signal):
     train, valid = modeling.split(clean_training(signal))
     grid = {"maxDepth": [2, 3], "stepSize": [0.1], "maxIter": [5], "subsamplingRate": [1.0]}
-    results, best = modeling.optimize_gbt(train, valid, grid=grid, max_models=9)
-    hurried, _ = modeling.optimize_gbt(train, valid, grid=grid, max_runtime_secs=0)
-    assert sorted(r.status for r in hurried.collect()) == ["fitted", "skipped"]
-    rows = results.orderBy("place").collect()
+    found = modeling.optimize_gbt(train, valid, grid=grid, max_models=9)
+    best = found.model
+    hurried = modeling.optimize_gbt(train, valid, grid=grid, max_runtime_secs=0, parallelism=1)
+    assert sorted(r.status for r in hurried.results.collect()) == ["fitted", "skipped"]
+    rows = found.results.orderBy("place").collect()
     assert len(rows) == 2 and rows[0].mae <= rows[1].mae
     own = modeling.tree_importance(best)
     assert own.orderBy(F.desc("importance")).first().variable == "followers"
     assert modeling.feature_importance(best, valid).count() == 4
 
 
+def plain_stop(history, rounds, tolerance):
+    """Moving averages written out: stop at the first score whose last windows bring too little."""
+    averages = [sum(history[i : i + rounds]) / rounds for i in range(len(history) - rounds + 1)]
+    for last in range(rounds, len(averages)):
+        before, recent = averages[last - rounds], averages[last - rounds + 1 : last + 1]
+        if not any(r < before * (1 - tolerance) for r in recent):
+            return last + rounds
+    return len(history)
+
+
+def test_stop_round_equals_the_plain_version():
+    draw = random.Random(5)
+    stops = set()
+    for _ in range(400):
+        length, floor = draw.randint(1, 60), draw.random()
+        history = [floor + 0.9 ** (i * draw.random()) + draw.random() * 0.05 for i in range(length)]
+        rounds, tolerance = draw.choice([1, 3, 5]), draw.choice([0.0, 0.001, 0.05])
+        stop = modeling.stop_round(history, rounds, tolerance)
+        assert stop == plain_stop(history, rounds, tolerance)
+        kept = modeling.kept_trees(history, rounds, tolerance)
+        assert history[kept - 1] == min(history[:stop])
+        stops.add(stop < length)
+    assert stops == {True, False}
+    assert modeling.stop_round([5, 4, 3, 2, 1] * 1) == 5  # too few scores for two windows
+    assert modeling.stop_round([1.0] * 50) == 10
+
+
+def test_grid_stops_where_the_windows_say(spark, signal):
+    train, valid = modeling.split(clean_training(signal))
+    grid = {"maxDepth": [2], "stepSize": [0.1, 1.0], "maxIter": [40], "subsamplingRate": [1.0]}
+    found = modeling.optimize_gbt(train, valid, grid=grid)
+    scores = {}
+    for r in found.history.orderBy("trees").collect():
+        scores.setdefault(r.combination, []).append(r.mae)
+    for r in found.results.collect():
+        history = scores[r.combination]
+        assert r.stop_round == plain_stop(history, 5, 0.001)
+        assert r.mae == min(history[: r.stop_round]) == history[r.kept_trees - 1]
+    best = found.results.orderBy("place").first()
+    model = found.model.stages[-1]
+    assert len(model.trees) == best.kept_trees
+    scored = found.model.transform(valid.na.fill(0))
+    assert _mae(scored) == pytest.approx(best.mae, rel=1e-9)
+    assert len(modeling.grid_sample(modeling.GRID, 15, 42)) == 15
+    assert len(modeling.grid_sample(modeling.GRID, 1000, 42)) == 108
+
+
+def _mae(scored):
+    return scored.agg(F.avg(F.abs(F.col("log_karma") - F.col("prediction")))).first()[0]
+
+
+def plain_non_negative(x, y):
+    """Least squares with an intercept and weights >= 0: the best over all sets of free columns."""
+    best = None
+    for mask in range(1 << x.shape[1]):
+        free = [i for i in range(x.shape[1]) if mask >> i & 1]
+        full = np.column_stack([np.ones(len(x)), x[:, free]])
+        w, *_ = np.linalg.lstsq(full, y, rcond=None)
+        if (w[1:] >= -1e-12).all():
+            error = ((full @ w - y) ** 2).sum()
+            if best is None or error < best[0] - 1e-12:
+                best = error, w[0], free, w[1:]
+    weights = np.zeros(x.shape[1])
+    weights[best[2]] = best[3]
+    return best[1], weights
+
+
+def test_weights_equal_plain_non_negative_least_squares(spark):
+    draw = np.random.default_rng(3)
+    for columns in (1, 3, 5):
+        y = draw.normal(size=200)
+        x = y[:, None] * draw.normal(size=columns) + draw.normal(size=(200, columns)) + 2
+        names = [f"p{i}" for i in range(columns)]
+        frame = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], [*names, "label"])
+        values = list(frame.agg(*modeling.moments(names)).first())
+        matrix = modeling.moment_matrix(values, columns + 2)
+        intercept, weights = modeling.non_negative_weights(matrix, list(range(columns)))
+        want, want_weights = plain_non_negative(x, y)
+        assert intercept == pytest.approx(want, abs=1e-6)
+        assert weights == pytest.approx(want_weights, abs=1e-6) and (weights >= 0).all()
+    nothing = modeling.non_negative_weights(np.zeros((4, 4)), [0, 1])
+    assert nothing[0] == 0 and (nothing[1] == 0).all()
+
+
+def test_stacks(spark, signal, monkeypatch, tmp_path):
+    """Both stacks stand on the board, and the leading one predicts its weighted sum."""
+    rows = clean_training(signal)
+    result = modeling.train_models(rows, max_models=3, folds=2)
+    board = {r.model: r for r in result.leaderboard.collect()}
+    assert {modeling.STACK_ALL, modeling.STACK_BEST} < board.keys() and len(board) == 5
+    assert result.weights.filter("model != 'intercept' and weight < 0").count() == 0
+    singles = {n: board[n].rmse for n in ("ridge", "gbt_5", "forest_5")}
+    used = {r.model for r in result.weights.filter(F.col("stack") == modeling.STACK_BEST).collect()}
+    assert used == {"intercept", *modeling.best_of_family(singles)}
+    assert board[modeling.STACK_ALL].rmse <= 1.05 * min(singles.values())
+
+    monkeypatch.setattr(modeling, "metric_columns", _stack_first(modeling.metric_columns))
+    led = modeling.train_models(rows, max_models=2, folds=2)
+    assert led.model_id == modeling.STACK_ALL
+    stage = led.model.stages[-1].getStatement()
+    assert "ridge" in stage or "gbt_5" in stage
+    modeling.save_model(led.model, f"{tmp_path}/stack")
+    again = modeling.load_model(f"{tmp_path}/stack").transform(rows.na.fill(0))
+    weights = {r.model: r.weight for r in led.weights.filter(F.col("stack") == modeling.STACK_ALL).collect()}
+    parts = [F.lit(w) * (F.lit(1.0) if m == "intercept" else F.col(m)) for m, w in weights.items() if w > 0 or m == "intercept"]
+    gap = again.agg(F.max(F.abs(sum(parts[1:], parts[0]) - F.col("prediction")))).first()[0]
+    assert gap < 1e-9
+
+
+def _stack_first(original):
+    """Errors under which the stack of all models leads."""
+
+    def changed(label, prediction):
+        out = original(label, prediction)
+        if modeling.STACK_ALL in str(prediction):
+            out["rmse"] = F.lit(0.0) * F.count(label)
+        return out
+
+    return changed
+
+
+def test_best_of_family():
+    errors = {"ridge": 3.0, "gbt_5": 2.0, "forest_5": 5.0, "glm": 1.0, "gbt_3": 2.5}
+    assert modeling.best_of_family(errors) == ["gbt_5", "forest_5", "glm"]
+
+
 def test_no_features(spark):
     with pytest.raises(ValueError):
         modeling.available_features(spark.range(1))
