@@ -112,19 +112,32 @@ def run_summary(t: Tables):
 
 EDGES_SQL = """found AS (SELECT regexp_extract_all(html, '<a\\s[^>]*href="/([^"/?#]+)', 1) AS refs FROM pages),
   edges AS (SELECT DISTINCT refs[1] AS src, unnest(refs) AS dst FROM found),
+  seeds AS (SELECT DISTINCT regexp_extract(text, '^[^ \\n]+') AS name FROM documents WHERE text <> ''),
   walk(name, depth) AS (
-    SELECT min(src), 0 FROM edges
+    SELECT name, 0 FROM seeds
     UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.name WHERE w.depth < 50)"""  # beyond any shortest path here
 
 
+def _pages_and_seeds(t: Tables):
+    """Pages under the name that they mention first, and the first words of all documents."""
+    refs = S.all_matches(F.col("html"), '<a\\s[^>]*href="/([^"/?#]+)')
+    pages = t.read("pages").select(refs.alias("refs")).withColumn("name", F.get("refs", F.lit(0)))
+    words = t.read("documents").filter("text <> ''")
+    return pages, words.select(F.regexp_extract("text", "^[^ \\n]+", 0).alias("name"))
+
+
 @query("frontier_bfs", "SELECT name, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY name", EDGES_SQL)
 def frontier_bfs(t: Tables):
-    refs = S.all_matches(F.col("html"), '<a\\s[^>]*href="/([^"/?#]+)')
-    edges = t.read("pages").select(refs.alias("refs")).select(
-        F.get("refs", F.lit(0)).alias("src"), F.explode("refs").alias("dst")
-    )
-    seeds = edges.agg(F.min("src").alias("name"))
-    return frontier.frontier_bfs(edges, seeds)
+    pages, seeds = _pages_and_seeds(t)
+    return frontier.frontier_bfs(frontier.references(pages, "name", F.col("refs")), seeds)
+
+
+@query("discovered_names", """
+    SELECT name, CAST(min(depth) AS INTEGER) AS depth, name IN (SELECT src FROM edges WHERE src IS NOT NULL) AS landed
+    FROM walk GROUP BY name""", EDGES_SQL)
+def discovered_names(t: Tables):
+    pages, seeds = _pages_and_seeds(t)
+    return frontier.discover(pages, "name", F.col("refs"), seeds)
 
 
 EVENT_USERS_SQL = """event_users AS (

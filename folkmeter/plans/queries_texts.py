@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from folkmeter.functions import keys as K
 from folkmeter.functions import scalars as S
 from folkmeter.plans.registry import WS_SQL, Tables, query, r
+from folkmeter.session import cut_lineage
+from folkmeter.sources import listings, pagestore
 from folkmeter.sources import pages as P
-from folkmeter.sources import pagestore
 from folkmeter.sources import payloads as J
 
 BASE_URL = "https://community.example.org"
@@ -330,6 +331,60 @@ def json_listing(t: Tables):
     return J.listing_names(payloads)
 
 
+LISTING_SIZE = 4
+# The walk of a reader: from offset 0 to the offset behind the items, until a page is
+# missing, empty or short. Pages of one offset: the one that landed last.
+LISTING_SQL = LINES_SQL + """,
+  cut AS (SELECT doc_id, pos // 4 AS k, list({'line': line, 'pos': pos} ORDER BY pos) AS items
+    FROM lines GROUP BY doc_id, pos // 4),
+  shortened AS (SELECT doc_id, k, CASE WHEN (doc_id + k) % 5 = 4 THEN items[:-2] ELSE items END AS items
+    FROM cut WHERE (doc_id + k) % 7 <> 3),
+  landed AS (SELECT doc_id, k * 4 AS start, items FROM shortened),
+  walk(doc_id, start, items, done) AS (
+    SELECT doc_id, start, items, len(items) < 4 FROM landed WHERE start = 0
+    UNION ALL SELECT n.doc_id, n.start, n.items, len(n.items) < 4
+    FROM walk w JOIN landed n ON n.doc_id = w.doc_id AND n.start = w.start + len(w.items) WHERE NOT w.done),
+  reached AS (SELECT doc_id, max(start + len(items)) AS upto, bool_or(done) AS done FROM walk GROUP BY doc_id)"""
+
+
+def _listing_pages(t: Tables) -> DataFrame:
+    """A listing per document, four lines a page: some pages are missing, some are short, and some
+    landed twice, first with other items."""
+    cut = F.transform(
+        F.sequence(F.lit(0), F.expr(f"(size(lines) - 1) div {LISTING_SIZE}")),
+        lambda k: F.struct(k.alias("k"), F.slice("lines", k * LISTING_SIZE + 1, F.lit(LISTING_SIZE)).alias("lines")),
+    )
+    pages = t.read("documents").filter("text is not null").select("doc_id", _lines().alias("lines"))
+    pages = pages.select("doc_id", F.inline(cut)).filter("(doc_id + k) % 7 <> 3")
+    kept = F.when((F.col("doc_id") + F.col("k")) % 5 == 4, F.expr("slice(lines, 1, size(lines) - 1)")).otherwise(F.col("lines"))
+    items = F.transform(kept, lambda x: F.struct(x.alias("name")))
+    stale = F.transform("lines", lambda x: F.struct(F.upper(x).alias("name")))
+    versions = F.array(
+        F.struct(F.lit("2024-06-02").alias("landed_at"), items.alias("communities")),
+        *[F.struct(F.lit("2024-06-01").alias("landed_at"), F.when(F.col("k") % 2 == 0, stale).otherwise(items).alias("communities"))],
+    )
+    rows = pages.select("doc_id", (F.col("k") * LISTING_SIZE).alias("offset"), F.inline(versions))
+    return rows.select(F.col("doc_id").alias("listing"), "offset", "landed_at", _json("communities").alias("body"))
+
+
+@query("listing_names", """
+    SELECT doc_id AS listing, start + i - 1 AS pos, items[i].line AS name
+    FROM walk, unnest(range(1, len(items) + 1)) AS r(i) WHERE items[i].line <> ''""", LISTING_SQL)
+def listing_names(t: Tables):
+    payloads = _listing_pages(t)
+    pages = cut_lineage(listings.listing_pages(payloads, LISTING_SIZE))
+    return listings.listed_names(payloads, pages)
+
+
+@query("listing_gaps", """
+    SELECT l.doc_id AS listing, coalesce(any_value(upto), 0) AS gap_from, min(start) AS gap_to,
+           count(*) AS pages_refused
+    FROM landed l LEFT JOIN reached r ON r.doc_id = l.doc_id
+    WHERE start > coalesce(upto, 0) AND NOT coalesce(done, false) GROUP BY l.doc_id""", LISTING_SQL)
+def listing_gaps(t: Tables):
+    return listings.listing_gaps(listings.listing_pages(_listing_pages(t), LISTING_SIZE))
+
+
 def _community_payloads(t: Tables) -> DataFrame:
     """One community payload per document, one post per line, some unsuccessful."""
     post = F.transform(

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from folkmeter import schemas
 from folkmeter.operators.cleaning import usable_pages
+from folkmeter.sources import listings, trees
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
-from folkmeter.sources import trees
 
 LISTING = """<body><ol>
 <li><div>1. <a href="/u/mira?from=list">Mira</a> <em>12 posts</em> <b>KARMA 40.5k</b></div></li>
@@ -203,6 +203,46 @@ def test_community_payloads(spark):
     assert [r.name for r in J.community_rows(frame, F.lit("s")).collect()] == ["one"]
 
 
+def listing_rows(*pages):
+    """(listing, offset, landed_at, body) with items named after their place."""
+    for listing, offset, n, landed in pages:
+        items = [{"name": f"{listing}{offset + i}"} for i in range(n)] if n is not None else None
+        yield listing, offset, landed, json.dumps({"communities": items}) if items is not None else "refused"
+
+
+LISTINGS = [
+    ("full", 0, 3, 1), ("full", 3, 3, 1), ("full", 6, 2, 1), ("full", 9, 3, 1),  # short, then one too many
+    ("gap", 0, 3, 1), ("gap", 6, 3, 1), ("gap", 9, 1, 1),
+    ("empty", 0, 3, 1), ("empty", 3, 0, 1), ("empty", 6, 3, 1),
+    ("broken", 0, 3, 1), ("broken", 3, None, 1), ("broken", 6, 3, 1),
+    ("again", 3, 3, 1), ("again", 0, 3, 2), ("again", 0, 3, 1), ("again", 0, 3, 2), ("again", 6, 1, 1),
+    ("lap", 0, 3, 1), ("lap", 2, 3, 1), ("lap", 1, 3, 1), ("lap", 5, 3, 1),
+    ("late", 3, 3, 1),
+]
+
+
+def test_listings_from_pages(spark):
+    frame = spark.createDataFrame(list(listing_rows(*LISTINGS)), "listing string, offset bigint, landed_at int, body string").repartition(4)
+    pages = listings.listing_pages(frame, 3)
+    status = {(r.listing, r.offset): r.status for r in pages.collect()}
+    want = {
+        ("full", 0): "accepted", ("full", 3): "accepted", ("full", 6): "accepted", ("full", 9): "after_end",
+        ("gap", 0): "accepted", ("gap", 6): "after_gap", ("gap", 9): "after_gap",
+        ("empty", 0): "accepted", ("empty", 3): "accepted", ("empty", 6): "after_end",
+        ("broken", 0): "accepted", ("broken", 6): "after_gap",
+        ("again", 0): "accepted", ("again", 3): "accepted", ("again", 6): "accepted",
+        ("lap", 0): "accepted", ("lap", 1): "accepted", ("lap", 2): "accepted", ("lap", 5): "accepted",
+        ("late", 3): "after_gap",
+    }
+    assert status == want
+    gaps = {(r.listing, r.gap_from, r.gap_to, r.pages_refused) for r in listings.listing_gaps(pages).collect()}
+    assert gaps == {("gap", 3, 6, 2), ("broken", 3, 6, 1), ("late", 0, 3, 1)}
+    names = {}
+    for r in listings.listed_names(frame, pages).orderBy("listing", "pos").collect():
+        names.setdefault(r.listing, []).append(r.pos)
+    assert names == {"full": list(range(8)), "gap": [0, 1, 2], "empty": [0, 1, 2], "broken": [0, 1, 2], "again": list(range(7)), "lap": list(range(8))}
+
+
 def test_profile_payloads(spark):
     agent = {"karma": 4, "description": "d", "follower_count": 2, "created_at": "2024-01-02T", "owner": {"x_handle": ""}}
     frame = bodies(spark, "name string, body string", ("Ann", {"success": True, "agent": agent}), ("b", {"success": True}), ("c", {"success": False, "agent": agent}))

@@ -1,5 +1,7 @@
 """Cleaning, joins, caps, resolution, merges and constraint checks on small tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,6 +254,36 @@ def test_frontier(spark):
     assert {r.name for r in few.collect()} == {"a", "b"}
 
 
+def test_frontier_from_many_seeds(spark, monkeypatch):
+    """Against a plain walk, with names in all buckets, a name that most pages mention, and nulls."""
+    draw = random.Random(2)
+    names = [f"n{i}" for i in range(120)]
+    pages = [(draw.choice(names[:90]), [*draw.choices(names, k=draw.randint(0, 4)), "n7", None]) for _ in range(150)]
+    seeds = ["n1", "n2", "n1", None, "alone"]
+    frame = spark.createDataFrame(pages + [(None, ["n5"]), ("n3", None)], "name string, refs array<string>")
+    start = spark.createDataFrame([(s,) for s in seeds], "name string")
+    depths, latest = {s: 0 for s in seeds if s}, {s for s in seeds if s}
+    while latest:
+        found = {x for p, refs in pages if p in latest for x in refs if x} - depths.keys()
+        depths |= {x: max(depths.values()) + 1 for x in found}
+        latest = found
+    have = {p for p, _ in pages} | {"n3"}
+    rows = frontier.discover(frame, "name", F.col("refs"), start).collect()
+    assert {(r.name, r.depth, r.landed) for r in rows} == {(n, d, n in have) for n, d in depths.items()}
+    assert len(rows) == len(depths)
+    assert frontier.frontier_bfs(frontier.references(frame, "name", F.col("refs")), start.limit(0)).count() == 0
+
+
+def test_a_round_reads_only_the_buckets_it_meets(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(50)], "src string, dst string")
+    walk = frontier.frontier_bfs(edges, spark.createDataFrame([("n47",)], "name string"))
+    assert {r.name: r.depth for r in walk.collect()} == {"n47": 0, "n48": 1, "n49": 2, "n50": 3}
+    part = frontier._in_buckets(walk.withColumn("bucket", F.lit(1)), [1, 2])
+    assert part.count() == 4
+    plan = walk._jdf.queryExecution().executedPlan().toString()
+    assert "seen" in plan and "Exchange" not in plan
+
+
 def test_empty_inputs(spark):
     silver = cleaning.empty_silver(spark)
     frame = features.user_features(silver["users"], silver["posts"], silver["comments"])
