@@ -40,6 +40,18 @@ def release() -> None:
     _tools.clear()
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names`` with as many underscores before them as no column of a table has."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -21,11 +21,13 @@ First pass. Within a bucket the nodes stand in an order of the band's own, and e
 the ``NEAR`` nodes before it and with the first one. Each node's most promising pair is compared
 exactly first; then all pairs between the components found so far.
 
-Second pass. In each bucket that still holds several components, all pairs of nodes of different
-components are looked at, in blocks of ``CHUNK`` nodes and in the first bucket in which a pair
-meets; those that may be alike are compared exactly, in blocks of ``TEXTS`` texts a side, unless
-links of the block have joined them. So no pair is left to luck; the work grows with the pairs
-of different components in a bucket.
+Second pass. Each bucket that still holds several components goes to one place with the texts of
+its nodes, each node once per such bucket, at most ``BANDS`` times. There all pairs of nodes of
+different components whose first common bucket it is are looked at, and those that may be alike
+are compared exactly, unless links of the place have joined them. A place puts out only the links
+that join components. So no pair is left to luck, and what is moved grows with the nodes. Only a
+bucket beyond ``CHUNK`` nodes or ``CHUNK_BYTES`` of text is cut into chunks whose pairs each get
+a place.
 
 Buckets and ranges are dealt out by (band value, order), so a bucket that holds a third of all
 nodes is spread over tasks; neighbours across the border of two tasks are paired as well.
@@ -50,6 +52,7 @@ from pyspark.sql import types as T
 
 from folkmeter.llm import common
 from folkmeter.llm.components import components
+from folkmeter.operators.relational import fits_broadcast
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -58,7 +61,7 @@ HASHES = BANDS * ROWS
 NEAR = 1
 LEAST_AGREEMENT = 0.6
 CHUNK = 4096  # nodes of an open bucket compared at once with as many others
-TEXTS = 128  # texts, about, compared at once with as many others
+CHUNK_BYTES = 8 << 20  # and bytes of their texts, about
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 _PLACES = common.mix(np.arange(21, 21 + SHINGLE, dtype=_U)) | _U(1)
@@ -159,6 +162,7 @@ SIGNED = T.StructType(
         T.StructField("node", T.BinaryType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
         T.StructField("bytes", T.BinaryType()),
+        T.StructField("length", T.LongType()),
     ]
 )
 
@@ -178,6 +182,7 @@ def _sign(batches: Iterator[pa.RecordBatch]):
                 pa.array(nodes, pa.binary()),
                 pa.array([b if s else [] for b, s in zip(bands, some)], pa.list_(pa.int64())),
                 pa.array([s.tobytes() for s in short], pa.binary()),
+                pa.array(np.diff(offsets), pa.int64()),
             ],
             names=SIGNED.names,
         )
@@ -332,15 +337,18 @@ def _both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     return pairs.join(x, "a").join(y, "b")
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, known: DataFrame | None) -> DataFrame:
-    """(id, packed) of the nodes of ``pairs`` that ``known`` does not have yet, and of ``known``."""
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
+def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, known: DataFrame | None) -> DataFrame:
+    """(id, packed) of the ``wanted`` nodes that ``known`` does not have yet, and of ``known``."""
     if known is not None:
         wanted = common.stored(wanted.join(known.select("id"), "id", "left_anti"), "wanted")
         if wanted.isEmpty():
             return known
-    wanted = wanted.join(nodes.select("id", "node", "least"), "id").hint("shuffle_hash")
+    wanted = common.stored(wanted.join(nodes.select("id", "node", "least"), "id"), "wanted")
+    if fits_broadcast(wanted):  # few: only their texts are packed and moved
+        few = F.broadcast(wanted.select(F.col("least").alias("of")).distinct())
+        docs = docs.join(few, docs["doc_id"].eqNullSafe(few["of"]), "left_semi")
     packed = docs.mapInArrow(_compress, "doc_id bigint, packed binary")
+    wanted = wanted.hint("shuffle_hash")
     joined = packed.join(wanted, packed["doc_id"].eqNullSafe(wanted["least"])).select("id", "node", "packed")
     new = common.stored(joined.mapInArrow(_matching, "id bigint, packed binary"), "texts")
     return new if known is None else known.unionAll(new)
@@ -365,157 +373,106 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[
         yield pa.Table.from_batches(held)
 
 
-def _met(batches: Iterator[pa.RecordBatch]):
-    """Of blocks of a bucket: each node with the nodes of other components that it may be like.
+def _bags(packed: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Shingles and counts of each text."""
+    tool, bags = zstandard.ZstdDecompressor(), []
+    for at in range(0, len(packed), 32):
+        texts = pa.array([tool.decompress(x) for x in packed[at : at + 32]], pa.large_binary())
+        part = Bags(*common.utf8(texts))
+        cuts = np.searchsorted(part.row, np.arange(part.rows + 1))
+        bags += [(part.key[c:d], part.count[c:d]) for c, d in zip(cuts[:-1], cuts[1:])]
+    return bags
 
-    A pair is only taken in the first band in which it agrees.
-    """
-    ends, lists, size = [], [], 0
 
-    def out():
-        at = np.cumsum([0, *map(len, lists)])
-        partners = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(lists), pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()), partners], names=["a", "bs"])
+def _alike(x: tuple, others: list[tuple], similarity: float) -> np.ndarray:
+    """Which of the multisets have at least this similarity with ``x``."""
+    key, count = x
+    theirs, counts = (np.concatenate([o[k] for o in others]) for k in (0, 1))
+    row = np.repeat(np.arange(len(others)), [len(o[0]) for o in others])
+    at = np.minimum(np.searchsorted(key, theirs), len(key) - 1)
+    same = key[at] == theirs
+    shared = np.bincount(row[same], np.minimum(count[at], counts)[same], minlength=len(others))
+    total = np.bincount(row, counts, minlength=len(others)) + count.sum()
+    return shared / (total - shared) >= similarity - 1e-9
+
 
+def _joining(batches: Iterator[pa.RecordBatch], similarity: float):
+    """Of places (bucket, chunk, chunk): links between their components.
+
+    A pair is only taken in the first band in which it agrees.
+    """
     for run in _runs(batches, ("value", "i", "j")):
         component = run.column("component").to_numpy()
         order = np.argsort(component, kind="stable")
-        component = component[order]
-        node = run.column("node").to_numpy()[order]
-        chunk = run.column("chunk").to_numpy()[order]
-        marks = np.frombuffer(b"".join(run.column("bytes").to_pylist()), np.uint8).reshape(-1, HASHES)[order]
-        bands = pc.list_flatten(run.column("bands")).to_numpy().reshape(-1, BANDS)[order]
+        run = run.take(pa.array(order))
+        component, node, chunk = (run.column(c).to_numpy() for c in ("component", "node", "chunk"))
+        marks = np.frombuffer(b"".join(run.column("bytes").to_pylist()), np.uint8).reshape(-1, HASHES)
+        bands = pc.list_flatten(run.column("bands")).to_numpy().reshape(-1, BANDS)
         band, i, j = (run.column(c)[0].as_py() for c in ("band", "i", "j"))
+        bags = _bags(run.column("packed").to_pylist())
+        total = np.array([count.sum() for _, count in bags])
         if i == j:
             left, right = np.arange(len(node)), np.arange(len(node))
             start = np.searchsorted(component, component, side="right")
         else:
             left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
             start = np.zeros(len(left), np.int64)
-        theirs, their_bands, of = marks[right], bands[right], component[right]
+        label, links = component.copy(), []  # components as the links of this place join them
         for row, first in zip(left, start):
-            earliest = (their_bands[first:] == bands[row]).argmax(axis=1)
-            found = first + np.flatnonzero((earliest == band) & (of[first:] != component[row]))
+            later = right[first:]
+            size = total[later]
+            near = (size >= total[row] * (similarity - 1e-9)) & (total[row] >= size * (similarity - 1e-9))
+            later = later[near & (label[later] != label[row])]
+            if not len(later):
+                continue
+            later = later[(bands[later] == bands[row]).argmax(axis=1) == band]
             # Eight counts side by side in a number: each is 16 at most.
-            same = (theirs[found] == marks[row]).view(_U).sum(axis=1)
+            same = (marks[later] == marks[row]).view(_U).sum(axis=1)
             agree = same.view(np.uint8).reshape(-1, 8).sum(axis=1)
-            found = found[agree >= LEAST_AGREEMENT * HASHES]
-            if len(found):
-                ends.append(node[row])
-                lists.append(node[right[found]])
-                size += len(found)
-            if size > 100_000:
-                yield out()
-                ends, lists, size = [], [], 0
-    if lists:
-        yield out()
-
-
-def _dealt(batches: Iterator[pa.RecordBatch], parts: int):
-    """The pairs of ``_met`` by the blocks (p, q) of texts to which their nodes belong."""
-    for batch in batches:
-        partners = batch.column("bs")
-        b = partners.flatten().to_numpy()
-        a = np.repeat(batch.column("a").to_numpy(), np.diff(partners.offsets.to_numpy()))
-        x, y = (common.mix(n.astype(_U)) % _U(parts) for n in (a, b))
-        p, q = np.minimum(x, y).astype(np.int64), np.maximum(x, y).astype(np.int64)
-        order = np.lexsort((a, q, p))
-        a, b, p, q = a[order], b[order], p[order], q[order]
-        first = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])]) if len(p) else [])
-        at = pa.array(np.append(first, len(p)), pa.int32())
-        lists = [pa.ListArray.from_arrays(at, pa.array(n, pa.int64())) for n in (a, b)]
-        yield pa.RecordBatch.from_arrays([pa.array(p[first]), pa.array(q[first]), *lists], names=["p", "q", "a", "b"])
-
-
-def _settled(batches: Iterator[pa.RecordBatch], similarity: float):
-    """Of blocks of texts and the pairs between them: links that join their components."""
-    tool = zstandard.ZstdDecompressor()
-    for run in _runs(batches, ("p", "q")):
-        texts = run.filter(pc.is_valid(run.column("packed")))
-        packed = texts.column("packed").to_pylist()
-        bags = []
-        for at in range(0, len(packed), 32):
-            some = pa.array([tool.decompress(x) for x in packed[at : at + 32]], pa.large_binary())
-            part = Bags(*common.utf8(some))
-            cuts = np.searchsorted(part.row, np.arange(part.rows + 1))
-            bags += [(part.key[c:d], part.count[c:d]) for c, d in zip(cuts[:-1], cuts[1:])]
-        total = np.array([count.sum() for _, count in bags])
-        place = {n: k for k, n in enumerate(texts.column("node").to_pylist())}
-        component = texts.column("component").to_pylist()
-        up: dict[int, int] = {}
-
-        def root(k: int) -> int:
-            at = component[k]
-            while at in up:
-                at = up[at]
-            return at
-
-        pairs = run.filter(pc.is_valid(run.column("a")))
-        both = [pc.list_flatten(pairs.column(c)).to_numpy() for c in ("a", "b")]
-        both = np.unique(np.stack(both, axis=1), axis=0)
-        links = []
-        for own in np.split(both, np.flatnonzero(both[1:, 0] != both[:-1, 0]) + 1):
-            if not len(own):
-                continue
-            x = place[int(own[0, 0])]
-            low, high = total[x] * (similarity - 1e-9), total[x] / (similarity - 1e-9)
-            others = [place[int(n)] for n in own[:, 1]]
-            others = [y for y in others if low <= total[y] <= high and root(y) != root(x)]
-            if not others:
-                continue
-            key, count = bags[x]
-            theirs, counts = (np.concatenate([bags[y][k] for y in others]) for k in (0, 1))
-            row = np.repeat(np.arange(len(others)), [len(bags[y][0]) for y in others])
-            at = np.minimum(np.searchsorted(key, theirs), len(key) - 1)
-            same = key[at] == theirs
-            shared = np.bincount(row[same], np.minimum(count[at], counts)[same], minlength=len(others))
-            value = shared / (total[x] + total[others] - shared)
-            for k in np.flatnonzero(value >= similarity - 1e-9):
-                y = others[k]
-                if root(x) != root(y):
-                    up[root(x)] = root(y)
-                    links.append((texts.column("node")[x].as_py(), texts.column("node")[y].as_py()))
+            keep = agree >= LEAST_AGREEMENT * HASHES
+            later, agree = later[keep], agree[keep]
+            # The most promising first; once a component is met, its other nodes are left out.
+            later = later[np.argsort(-agree.astype(np.int64), kind="stable")]
+            while len(later):
+                some, later = later[:64], later[64:]
+                for y in some[_alike(bags[row], [bags[y] for y in some], similarity)]:
+                    if label[y] != label[row]:
+                        links.append((node[row], node[y]))
+                        label[label == label[y]] = label[row]
+                later = later[label[later] != label[row]]
         if links:
             ends = np.array(links, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
 
 def _settle(docs: DataFrame, nodes: DataFrame, open_: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) between all components that share an open bucket (value, band, node, component, size)."""
-    chunks = F.ceil(F.col("size") / CHUNK)
+    """Links (a, b) between all components that share an open bucket (value, band, node, component,
+    size, bytes_in): each node goes once to each of its open buckets, with its text."""
+    wanted = open_.select(F.col("node").alias("id")).distinct()
+    texts = _texts(docs, nodes, wanted, texts)
+    payload = nodes.select("id", "bands", "bytes").join(texts, "id").withColumnRenamed("id", "node")
+    payload = common.stored(payload.join(wanted.withColumnRenamed("id", "node"), "node", "left_semi"), "payload")
+    chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("bytes_in") / CHUNK_BYTES))
     rows = open_.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)))
     rows = rows.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
-    rows = rows.join(nodes.select(F.col("id").alias("node"), "bands", "bytes"), "node")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select("value", "i", "j", "band", "chunk", "node", "component", "bands", "bytes")
+    rows = rows.join(payload, "node").select(
+        "value", "i", "j", "band", "chunk", "node", "component", "bands", "bytes", "packed"
+    )
     rows = rows.repartition(parts, "value", "i", "j").sortWithinPartitions("value", "i", "j")
-    met = common.stored(rows.mapInArrow(_met, "a bigint, bs array<bigint>"), "met")
-    ends = met.agg(F.sum(F.size("bs") + 1)).first()[0]
-    if ends is None:
-        return met.select("a", F.col("a").alias("b"))
-    named = open_.groupBy("node").agg(F.min("component").alias("component"))
-    blocks = -(-min(ends, named.count()) // TEXTS)
-    fields = "p bigint, q bigint, a array<bigint>, b array<bigint>"
-    dealt = common.stored(met.mapInArrow(lambda it: _dealt(it, blocks), fields), "dealt")
-    wanted = dealt.select("p", "q", F.explode(F.array_union("a", "b")).alias("node")).distinct()
-    wanted = common.stored(wanted, "blocks")
-    texts = _texts(docs, nodes, wanted.select(F.col("node").alias("a"), F.col("node").alias("b")), texts)
-    sent = wanted.join(texts.withColumnRenamed("id", "node"), "node").join(named, "node")
-    sent = sent.select("p", "q", "node", "component", "packed")
-    sent = sent.unionByName(dealt, allowMissingColumns=True)
-    sent = sent.repartition(parts, "p", "q").sortWithinPartitions("p", "q")
-    return common.stored(sent.mapInArrow(lambda it: _settled(it, similarity), "a bigint, b bigint"), "links")
+    return common.stored(rows.mapInArrow(lambda it: _joining(it, similarity), "a bigint, b bigint"), "links")
 
 
 def linked(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """(node, component) of the nodes (id, node, least, bands, bytes) that have a link."""
     exploded = nodes.filter(F.size("bands") > 0).select(
-        F.col("id").alias("node"), F.col("id").alias("component"), F.posexplode("bands").alias("band", "value")
+        F.col("id").alias("node"), F.col("id").alias("component"), "length", F.posexplode("bands").alias("band", "value")
     )
     pairs = _both(candidates(exploded, 0), nodes, "bytes")
     pairs = common.stored(pairs.mapInArrow(_agreement, "a bigint, b bigint, share double"), "candidates")
-    texts = _texts(docs, nodes, pairs, None)
+    met = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
+    texts = _texts(docs, nodes, met, None)
 
     def verified(some: DataFrame) -> DataFrame:
         compared = _both(some.select("a", "b"), texts, "packed").select("a", "b", "x", "y")
@@ -531,11 +488,15 @@ def linked(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
         found = found.unionAll(new)
         label = common.stored(components(found), "components")
     # Buckets that still hold several components are settled exactly.
-    named = _named(exploded.select("node", "band", "value"), label)
+    named = _named(exploded.select("node", "band", "value", "length"), label)
     open_ = named.groupBy("value").agg(
-        F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("size")
+        F.min("component").alias("p"), F.max("component").alias("q"),
+        F.count("*").alias("size"), F.sum("length").alias("bytes_in"),
     )
-    open_ = common.stored(named.join(open_.filter("p <> q").select("value", "size"), "value"), "open")
+    several = open_.filter("p <> q").select("value", "size", "bytes_in")
+    open_ = common.stored(named.drop("length").join(several, "value"), "open")
+    if open_.isEmpty():
+        return label
     new = _settle(docs, nodes, open_, texts, similarity)
     if new.isEmpty():
         return label
@@ -544,7 +505,7 @@ def linked(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
 
 def _named(rows: DataFrame, label: DataFrame) -> DataFrame:
     joined = rows.join(label, "node", "left")
-    return joined.withColumn("component", F.coalesce("component", "node")).select("node", "component", "band", "value")
+    return joined.withColumn("component", F.coalesce("component", "node")).select("node", "component", "band", "value", "length")
 
 
 def _cross(pairs: DataFrame, label: DataFrame) -> DataFrame:
@@ -561,7 +522,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = common.stored(docs.mapInArrow(_sign, SIGNED), "signed")
     nodes = signed.groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")
+        F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes"),
+        F.max("length").alias("length"),
     )
     nodes = common.stored(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     label = linked(docs, nodes, similarity).withColumnRenamed("node", "id")
@@ -575,10 +537,14 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The columns of ``docs`` (doc_id, text, ...): of each class the document of the least id."""
+    """The columns of ``docs`` (doc_id, text, ...): of each class the document of the least id.
+
+    Of repeated rows one stays; columns of any names pass, whatever the names used inside.
+    """
+    node, head = common.unused(docs.columns, "node", "head")
     _, heads = classes(docs, similarity)
-    heads = common.stored(heads.select(F.col("doc_id").alias("_head"), F.col("node").alias("_node")), "heads")
-    schema = T.StructType([*docs.schema.fields, T.StructField("_node", T.BinaryType())])
+    heads = common.stored(heads.select(F.col("doc_id").alias(head), F.col("node").alias(node)), "heads")
+    schema = T.StructType([*docs.schema.fields, T.StructField(node, T.BinaryType())])
     marked = docs.mapInArrow(lambda it: _with_node(it, "text", schema.names), schema)
-    joined = marked.join(heads.hint("shuffle_hash"), "_node").filter(F.col("doc_id").eqNullSafe(F.col("_head")))
-    return joined.dropDuplicates(["_node"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    joined = marked.join(heads.hint("shuffle_hash"), node).filter(F.col("doc_id").eqNullSafe(F.col(head)))
+    return joined.dropDuplicates([node]).select(*[F.col(f"`{c}`") for c in docs.columns])

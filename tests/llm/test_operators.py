@@ -458,6 +458,19 @@ def test_one_of_each_class_stays(spark, docs, empty):
     want = set(brute.near_classes(ROWS))
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(want)
     assert near_duplicates.keep_one(empty).count() == 0
+    names = ["node", "_node", "head", "NODE1", "least", "packed"]
+    clash = docs.withColumns({n: F.lit(n) for n in names})
+    kept = near_duplicates.keep_one(clash)
+    assert kept.columns == clash.columns and all(r["_node"] == "_node" and r["head"] == "head" for r in kept.collect())
+
+
+def test_places_are_cut_by_bytes(spark, monkeypatch):
+    """Chunks of a bucket by the bytes of its texts; the classes stay those of brute force."""
+    texts, _ = near_family(120, 10, 120)
+    monkeypatch.setattr(near_duplicates, "CHUNK_BYTES", 9_000)
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+    found = sorted((r.doc_id, r.class_id) for r in near_duplicates.classes(frame)[0].collect())
+    assert found == sorted(zip((i for i, _ in texts), brute.near_classes(texts)))
 
 
 def test_signatures_estimate_weighted_similarity():
