@@ -18,8 +18,8 @@ whose signatures agree in less than ``LEAST_AGREEMENT`` of the entries are dropp
 similarity 0.8 this is as improbable as a miss by the bands.
 
 First pass. Within a bucket the nodes stand in an order of the band's own, and each is paired with
-the ``NEAR`` nodes before it and with the first one. Each node's most promising pair is compared
-exactly first; then all pairs between the components found so far.
+the first one. Each node's most promising pair is compared exactly first; then all pairs between
+the components found so far.
 
 Second pass. Each bucket that still holds several components goes to one place with the texts of
 its nodes, each node once per such bucket, at most ``BANDS`` times. There all pairs of nodes of
@@ -52,13 +52,11 @@ from pyspark.sql import types as T
 
 from folkmeter.llm import common
 from folkmeter.llm.components import components
-from folkmeter.operators.relational import fits_broadcast
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
-NEAR = 1
 LEAST_AGREEMENT = 0.6
 CHUNK = 4096  # nodes of an open bucket compared at once with as many others
 CHUNK_BYTES = 8 << 20  # and bytes of their texts, about
@@ -217,76 +215,50 @@ def _matching(batches: Iterator[pa.RecordBatch]):
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]):
-    """Rows in the order of (value, place): pairs with the rows before and the first of the
-    bucket. The last rows and the first one of a task come as ends, to be paired with those of
-    the next task."""
+    """Rows in the order of (value, place): each with the first of its bucket. The first row and
+    the last one of a task come as ends, to be paired with those of the tasks beside it."""
     part = TaskContext.get().partitionId()
-    value = np.zeros(0, np.int64)
-    node = group = value
-    head = None
+    value, leader, last, head = None, None, None, None
     fields = ("a", "b", "part", "place", "value")
 
-    def out(a, b, kind=-1, place=-1, values=None):
-        n = len(a)
-        values = np.zeros(n, np.int64) if values is None else values
-        columns = [a, b, np.full(n, kind), np.full(n, place), values]
+    def out(a, b, kind=-1, place=-1, of=0):
+        columns = [a, b, np.full(len(a), kind), np.full(len(a), place), np.full(len(a), of)]
         return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=fields)
 
-    first_node = None
     for batch in batches:
-        v = batch.column("value").to_numpy()
-        n = batch.column("node").to_numpy()
-        g = batch.column("component").to_numpy()
-        if not len(v):
+        if not batch.num_rows:
             continue
+        v, n = (batch.column(c).to_numpy() for c in ("value", "node"))
         if head is None:
-            head = (v[:1], n[:1], g[:1])
-        kept = len(value)
-        value, node, group = (np.concatenate(x) for x in ((value, v), (node, n), (group, g)))
-        starts = np.concatenate([[True], value[1:] != value[:-1]])
-        lead = np.maximum.accumulate(np.where(starts, np.arange(len(value)), 0))
-        leader, leader_group = node[lead], group[lead]
-        if kept and first_node is not None and first_node[0] == value[0]:
-            same = lead == 0
-            leader = np.where(same, first_node[1], leader)
-            leader_group = np.where(same, first_node[2], leader_group)
-        found = []
-        for k in range(1, NEAR + 1):
-            now = np.arange(max(kept, k), len(value))
-            ok = (value[now] == value[now - k]) & (group[now] != group[now - k])
-            found.append((node[now[ok]], node[now[ok] - k]))
-        now = np.arange(kept, len(value))
-        ok = (node[now] != leader[now]) & (group[now] != leader_group[now])
-        found.append((node[now[ok]], leader[now[ok]]))
-        a, b = (np.concatenate(x) for x in zip(*found))
-        if len(a):
-            yield out(np.maximum(a, b), np.minimum(a, b))
-        first_node = (value[-1], leader[-1], leader_group[-1])
-        value, node, group = value[-NEAR:], node[-NEAR:], group[-NEAR:]
+            head = v[0], n[:1]
+        starts = np.concatenate([[v[0] != value], v[1:] != v[:-1]])
+        first = np.maximum.accumulate(np.where(starts, np.arange(len(v)), -1))
+        leaders = np.where(first < 0, leader if leader is not None else n[0], n[first])
+        ok = n != leaders
+        if ok.any():
+            yield out(np.maximum(n, leaders)[ok], np.minimum(n, leaders)[ok])
+        value, leader, last = v[-1], leaders[-1], n[-1:]
     if head is not None:
-        yield out(head[1], head[2], part, 0, head[0])
-        yield out(node[-1:], group[-1:], part, 1, value[-1:])
-
+        yield out(head[1], head[1], part, 0, head[0])
+        yield out(last, last, part, 1, value)
 
-def candidates(placed: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a > b) of nodes of different components that meet in a bucket.
 
-    ``placed``: node, component, value. ``turn`` gives each round an order of its own.
-    """
+def candidates(placed: DataFrame) -> DataFrame:
+    """Pairs (a > b) of nodes that meet in a bucket; ``placed``: node, value. Stored."""
     parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = F.xxhash64("node", "value", F.lit(turn)).alias("_order")
-    dealt = placed.select("value", "node", "component", order).repartitionByRange(parts, "value", "_order")
+    order = F.xxhash64("node", "value").alias("_order")
+    dealt = placed.select("value", "node", order).repartitionByRange(parts, "value", "_order")
     fields = "a bigint, b bigint, part bigint, place bigint, value bigint"
     found = common.stored(dealt.sortWithinPartitions("value", "_order").mapInArrow(_pairs, fields), "pairs")
     ends = found.filter("part >= 0").orderBy("part", "place").collect()  # two rows per task
     joined = [
         (max(x["a"], y["a"]), min(x["a"], y["a"]))
         for x, y in zip(ends[1::2], ends[2::2])
-        if x["value"] == y["value"] and x["b"] != y["b"]
+        if x["value"] == y["value"]
     ]
     inner = found.filter("part < 0").select("a", "b")
     border = placed.sparkSession.createDataFrame(joined, "a bigint, b bigint")
-    return inner.unionAll(border).distinct()
+    return common.stored(inner.unionAll(border).distinct(), "pairs")
 
 
 def _agreement(batches: Iterator[pa.RecordBatch]):
@@ -337,21 +309,12 @@ def _both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     return pairs.join(x, "a").join(y, "b")
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, known: DataFrame | None) -> DataFrame:
-    """(id, packed) of the ``wanted`` nodes that ``known`` does not have yet, and of ``known``."""
-    if known is not None:
-        wanted = common.stored(wanted.join(known.select("id"), "id", "left_anti"), "wanted")
-        if wanted.isEmpty():
-            return known
-    wanted = common.stored(wanted.join(nodes.select("id", "node", "least"), "id"), "wanted")
-    if fits_broadcast(wanted):  # few: only their texts are packed and moved
-        few = F.broadcast(wanted.select(F.col("least").alias("of")).distinct())
-        docs = docs.join(few, docs["doc_id"].eqNullSafe(few["of"]), "left_semi")
+def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, packed): the texts of the ``wanted`` nodes."""
+    wanted = wanted.join(nodes.select("id", "node", "least"), "id").hint("shuffle_hash")
     packed = docs.mapInArrow(_compress, "doc_id bigint, packed binary")
-    wanted = wanted.hint("shuffle_hash")
     joined = packed.join(wanted, packed["doc_id"].eqNullSafe(wanted["least"])).select("id", "node", "packed")
-    new = common.stored(joined.mapInArrow(_matching, "id bigint, packed binary"), "texts")
-    return new if known is None else known.unionAll(new)
+    return common.stored(joined.mapInArrow(_matching, "id bigint, packed binary"), "texts")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
@@ -445,18 +408,17 @@ def _joining(batches: Iterator[pa.RecordBatch], similarity: float):
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
 
-def _settle(docs: DataFrame, nodes: DataFrame, open_: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _settle(nodes: DataFrame, open_: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) between all components that share an open bucket (value, band, node, component,
     size, bytes_in): each node goes once to each of its open buckets, with its text."""
     wanted = open_.select(F.col("node").alias("id")).distinct()
-    texts = _texts(docs, nodes, wanted, texts)
-    payload = nodes.select("id", "bands", "bytes").join(texts, "id").withColumnRenamed("id", "node")
-    payload = common.stored(payload.join(wanted.withColumnRenamed("id", "node"), "node", "left_semi"), "payload")
+    payload = nodes.select("id", "bands", "bytes").join(wanted, "id", "left_semi").join(texts, "id")
+    payload = common.stored(payload.withColumnRenamed("id", "node"), "payload")
     chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("bytes_in") / CHUNK_BYTES))
     rows = open_.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)))
     rows = rows.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.join(payload, "node").select(
         "value", "i", "j", "band", "chunk", "node", "component", "bands", "bytes", "packed"
     )
@@ -465,14 +427,15 @@ def _settle(docs: DataFrame, nodes: DataFrame, open_: DataFrame, texts: DataFram
 
 
 def linked(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """(node, component) of the nodes (id, node, least, bands, bytes) that have a link."""
+    """(node, component) of the nodes (id, node, least, bands, bytes, length) that have a link."""
     exploded = nodes.filter(F.size("bands") > 0).select(
-        F.col("id").alias("node"), F.col("id").alias("component"), "length", F.posexplode("bands").alias("band", "value")
+        F.col("id").alias("node"), "length", F.posexplode("bands").alias("band", "value")
     )
-    pairs = _both(candidates(exploded, 0), nodes, "bytes")
-    pairs = common.stored(pairs.mapInArrow(_agreement, "a bigint, b bigint, share double"), "candidates")
-    met = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
-    texts = _texts(docs, nodes, met, None)
+    pairs = candidates(exploded)
+    # Every node of a bucket with several nodes is in a pair: no other text is ever compared.
+    texts = _texts(docs, nodes, pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct())
+    pairs = _both(pairs, nodes, "bytes").mapInArrow(_agreement, "a bigint, b bigint, share double")
+    pairs = common.stored(pairs, "candidates")
 
     def verified(some: DataFrame) -> DataFrame:
         compared = _both(some.select("a", "b"), texts, "packed").select("a", "b", "x", "y")
@@ -481,12 +444,8 @@ def linked(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     ends = pairs.withColumn("id", F.col("a")).unionAll(pairs.withColumn("id", F.col("b")))
     best = ends.groupBy("id").agg(F.max(F.struct("share", "a", "b")).alias("p"))
     best = best.select("p.a", "p.b").distinct()
-    found = verified(best)
-    label = common.stored(components(found), "components")
-    new = verified(_cross(pairs, label).join(best, ["a", "b"], "left_anti"))
-    if not new.isEmpty():
-        found = found.unionAll(new)
-        label = common.stored(components(found), "components")
+    label = common.stored(components(verified(best)), "components")
+    label = _merged(label, verified(_cross(pairs, label).join(best, ["a", "b"], "left_anti")))
     # Buckets that still hold several components are settled exactly.
     named = _named(exploded.select("node", "band", "value", "length"), label)
     open_ = named.groupBy("value").agg(
@@ -497,10 +456,24 @@ def linked(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     open_ = common.stored(named.drop("length").join(several, "value"), "open")
     if open_.isEmpty():
         return label
-    new = _settle(docs, nodes, open_, texts, similarity)
-    if new.isEmpty():
+    return _merged(label, _settle(nodes, open_, texts, similarity))
+
+
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links (a, b): only the components that these join are worked on."""
+    if links.isEmpty():
         return label
-    return common.stored(components(found.unionAll(new)), "components")
+    a = label.select(F.col("node").alias("a"), F.col("component").alias("p"))
+    b = label.select(F.col("node").alias("b"), F.col("component").alias("q"))
+    joined = links.join(a, "a", "left").join(b, "b", "left")
+    joined = joined.select(F.coalesce("p", "a").alias("a"), F.coalesce("q", "b").alias("b"))
+    after = components(joined).select(F.col("node").alias("component"), F.col("component").alias("after"))
+    after = common.stored(after, "joined")
+    # Nodes that had no link before are components of their own name.
+    alone = after.select(F.col("component").alias("node")).join(label, "node", "left_anti")
+    every = label.unionByName(alone.withColumn("component", F.col("node")))
+    every = every.join(after, "component", "left")
+    return common.stored(every.select("node", F.coalesce("after", "component").alias("component")), "components")
 
 
 def _named(rows: DataFrame, label: DataFrame) -> DataFrame:
