@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folkmeter.functions import scalars as S
 from folkmeter.operators.quantiles import quantile_row, quantiles
 from folkmeter.operators.relational import top_rows
+from folkmeter.session import cut_lineage
 
 CORRELATION_COLUMNS = [
     "karma",
@@ -217,9 +218,14 @@ def melt(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def box_stats(df: DataFrame, columns: list[str] = BOX_COLUMNS) -> DataFrame:
-    """Quartiles, whiskers (furthest value within 1.5 IQR) and outlier count per variable."""
-    long = melt(df, columns)
-    rows = quantiles(long, "value", [0.25, 0.5, 0.75], by="variable", method="linear")
+    """Quartiles, whiskers (furthest value within 1.5 IQR) and outlier count per variable.
+
+    The columns are stored once, and equal values are counted once: quartiles, whiskers and
+    outliers all read the counts.
+    """
+    counted = melt(df.select(*columns), columns).groupBy("variable", "value").agg(F.count("*").alias("n"))
+    long = cut_lineage(counted)
+    rows = quantiles(long, "value", [0.25, 0.5, 0.75], by="variable", method="linear", times="n")
     picks = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     quartiles = rows.groupBy("variable").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for n, p in picks.items()]
@@ -235,7 +241,7 @@ def box_stats(df: DataFrame, columns: list[str] = BOX_COLUMNS) -> DataFrame:
         .agg(
             F.min(F.when(inside, value)).alias("whisker_low"),
             F.max(F.when(inside, value)).alias("whisker_high"),
-            F.count_if(~inside).alias("outliers"),
+            F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
         )
     )
 

@@ -13,9 +13,11 @@ import math
 from bisect import bisect_left
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folkmeter.session import stored_once
+
 CUTS = 256
 ACCURACY = 10_000
 RANGE_ROWS = 100_000  # distinct values that are ranked in one task
@@ -118,14 +120,20 @@ def _values(counted: DataFrame, wanted: list[tuple[float, str]], cuts: int, rows
     return out
 
 
-def _named(df: DataFrame, value: str, by: str | None) -> DataFrame:
+def _named(df: DataFrame, value: str, by: str | None, *more: Column) -> DataFrame:
     group = F.lit("") if by is None else F.col(by)
-    named = df.select(group.alias("_g"), F.col(value).cast("double").alias("_v"))
+    named = df.select(group.alias("_g"), F.col(value).cast("double").alias("_v"), *more)
     return named.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
 
-def _exact(df: DataFrame, value: str, wanted: list, by: str | None, cuts: int, rows: int) -> dict:
-    counted = _named(df, value, by).groupBy("_g", "_v").agg(F.count("*").alias("_c"))
+def _exact(
+    df: DataFrame, value: str, wanted: list, by: str | None, cuts: int, rows: int, times: str | None = None
+) -> dict:
+    if times is None:
+        counted = _named(df, value, by).groupBy("_g", "_v").agg(F.count("*").alias("_c"))
+    else:
+        counted = _named(df, value, by, F.col(times).alias("_n")).groupBy("_g", "_v")
+        counted = counted.agg(F.sum("_n").alias("_c")).filter("_c > 0")
     counted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _values(counted, wanted, cuts, rows)
@@ -141,9 +149,12 @@ def quantiles(
     method: str = "nearest",
     cuts: int = CUTS,
     range_rows: int = RANGE_ROWS,
+    times: str | None = None,
 ) -> DataFrame:
     """Rows (``by``, prob, value): exact quantiles of a numeric column.
 
+    ``times`` is a column that says how many rows one stands for (exact methods only).
+
     Methods: ``nearest`` rank, ``linear`` interpolation, ``disc`` and the sketch ``approx``.
     ``by`` must be a column of few values, such as the name of a variable: the driver holds a
     few ranges for each of them. Exact methods run when called.
@@ -155,7 +166,7 @@ def quantiles(
         pairs = F.arrays_zip(F.lit([float(p) for p in probs]).alias("p"), F.col("q"))
         lines = named.groupBy("_g").agg(sketch.alias("q")).select("_g", F.explode(pairs).alias("z"))
         return lines.select(*keep, F.col("z.p").alias("prob"), F.col("z.q").alias("value"))
-    found = _exact(df, value, [(float(p), method) for p in probs], by, cuts, range_rows)
+    found = _exact(df, value, [(float(p), method) for p in probs], by, cuts, range_rows, times)
     kind = "string" if by is None else df.schema[by].dataType.simpleString()
     rows = [(g, p, v) for (g, p, _), v in found.items()]
     table = df.sparkSession.createDataFrame(rows, f"_g {kind}, prob double, value double")
@@ -183,7 +194,11 @@ def quantile_row(
 def cap_at_quantile(
     df: DataFrame, column: str, prob: float = 0.99, method: str = "nearest"
 ) -> DataFrame:
-    """Remove (not clamp) the rows above the quantile of ``column``."""
+    """Remove (not clamp) the rows above the quantile of ``column``.
+
+    The quantile and the result read the same stored rows: what gives them runs once.
+    """
+    df = stored_once(df)
     if method == "approx":
         limit = quantile_row(df, column, {"cap": prob}, method).scalar()
     else:

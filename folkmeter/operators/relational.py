@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folkmeter.functions import keys as K
 
@@ -221,9 +222,68 @@ def memberships(
     return pairs.filter("id_user is not null and id_community is not null").distinct()
 
 
+RANK_RANGES = 64  # key ranges that a page by position counts
+SAMPLED_KEYS = 4096  # keys, about, from which their borders are taken
+
+
+def rank_index(df: DataFrame, key: str) -> list[tuple]:
+    """(least key, rows, rows before) of up to ``RANK_RANGES`` ranges in key order; the first, of
+    rows without a key and of keys below the first border, has None.
+
+    The borders come from a sample of about ``SAMPLED_KEYS`` keys and only decide how even the
+    ranges are; the counts are exact.
+    """
+    total = df.count()
+    if total == 0:
+        return []
+    share = min(1.0, 2.0 * SAMPLED_KEYS / total)
+    keys = df.filter(F.col(key).isNotNull()).select(key)
+    sampled = keys if share == 1.0 else keys.sample(share, seed=1)
+    # A bounded number of keys: the sample, thinned where it came out larger.
+    found = sorted({r[0] for r in sampled.limit(4 * SAMPLED_KEYS).collect()}, key=_sort_key)
+    borders = found[:: max(1, len(found) // (RANK_RANGES - 1))]
+    counts = dict(df.groupBy(_range_of(df, key, borders).alias("r")).count().collect())
+    out, before = [], 0
+    for number in range(len(borders) + 1):
+        rows = counts.get(number, 0)
+        out.append((borders[number - 1] if number else None, rows, before))
+        before += rows
+    return out
+
+
+def _sort_key(value):
+    """Strings as Spark orders them, by their bytes."""
+    return value.encode() if isinstance(value, str) else value
+
+
+def _range_of(df: DataFrame, key: str, borders: list) -> Column:
+    """The number of borders that are not above the key; 0 without a key."""
+    if not borders:
+        return F.lit(0)
+    kind = df.schema[key].dataType
+    held = F.lit(borders).cast(T.ArrayType(kind))
+    return F.coalesce(F.size(F.filter(held, lambda b: b <= F.col(key))), F.lit(0))
+
+
 def page_of_rows(df: DataFrame, key: str, limit: int, offset: int = 0) -> DataFrame:
-    """One page in key order, so that pages neither overlap nor miss rows."""
-    return df.orderBy(key).offset(offset).limit(limit)
+    """One page in key order, so that pages neither overlap nor miss rows; nulls come first.
+
+    Counts per key range say in which ranges the page lies; only rows of these are read and
+    sorted, so a page in the middle of a table does not sort the rows before it. A range bound is
+    a predicate on the key and reaches the scan.
+    """
+    index = rank_index(df, key)
+    meets = [i for i, (_, n, before) in enumerate(index) if before < offset + limit and before + n > offset]
+    if not meets:
+        return df.limit(0)
+    first, last = meets[0], meets[-1]
+    column, rows = F.col(key), df
+    if first > 0:
+        rows = rows.filter(column >= F.lit(index[first][0]))
+    if last + 1 < len(index):
+        below = column < F.lit(index[last + 1][0])
+        rows = rows.filter(below | column.isNull() if first == 0 else below)
+    return rows.orderBy(key).offset(offset - index[first][2]).limit(limit)
 
 
 def top_rows(df: DataFrame, by: str, tie: str, limit: int, columns: list[str]) -> DataFrame:

@@ -50,15 +50,19 @@ def upsert_checked(
     return upsert(target, good, schemas.PRIMARY_KEYS[table], order_by), bad
 
 
-def enrich_incomplete(users: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Users with the profiles of incomplete ones replaced by freshly read profiles.
+def profiles_of_incomplete(users: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The profiles of users that are stored as incomplete.
 
-    They are matched by name and keep their stored id, whatever id the profile came with.
+    They are matched by name and take the stored id, whatever id the profile came with.
     """
     wanted = incomplete_profiles(users).select(F.lower("name").alias("_name"), F.col("id_user").alias("_id"))
     keyed = profiles.withColumn("_name", F.lower("name"))
-    fresh = keyed.join(wanted, "_name").withColumn("id_user", F.col("_id")).drop("_name", "_id")
-    return upsert(users, fresh, ["id_user"])
+    return keyed.join(wanted, "_name").withColumn("id_user", F.col("_id")).drop("_name", "_id")
+
+
+def enrich_incomplete(users: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Users with the profiles of incomplete ones replaced by freshly read profiles."""
+    return upsert(users, profiles_of_incomplete(users, profiles), ["id_user"])
 
 
 def run_summary(stored: dict[str, DataFrame], batch: dict[str, DataFrame]) -> DataFrame:

@@ -7,10 +7,24 @@ from pyspark.sql import functions as F
 
 from folkmeter import schemas
 from folkmeter.functions import keys as K
-from folkmeter.operators import evaluation, features, modeling, profiling, relational
-from folkmeter.operators.cleaning import clean, usable_pages
+from folkmeter.functions import scalars as S
+from folkmeter.operators import (
+    evaluation,
+    features,
+    frontier,
+    modeling,
+    profiling,
+    references,
+    relational,
+)
+from folkmeter.operators.cleaning import (
+    clean,
+    constraint_violations,
+    incomplete_profiles,
+    usable_pages,
+)
 from folkmeter.operators.evaluation import clean_training
-from folkmeter.operators.upsert import split_valid
+from folkmeter.operators.upsert import profiles_of_incomplete, run_summary, split_valid
 from folkmeter.session import cut_lineage, persisted, scratch
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
@@ -230,25 +244,54 @@ def page_entities(
 
 
 def load_batch(
-    rows: dict[str, DataFrame], root: str, number: int, writer: str = store.WRITER
+    rows: dict[str, DataFrame],
+    root: str,
+    number: int,
+    writer: str = store.WRITER,
+    stored: dict[str, DataFrame] | None = None,
 ) -> dict:
     """Write one load, parents before children; repeating a load changes nothing.
 
     Rows without a required column go to ``_quarantine`` next to the tables, with the names of
-    the columns they lack; their number is reported when there are any.
+    the columns they lack. Rows that name a parent which is neither stored nor in the load are set
+    aside in ``_orphans`` and are taken up by the first load after which all their parents are
+    there. What was put aside or taken up is reported when there is any. ``stored`` are the tables
+    without this load, if the caller has read them.
     """
-    counts, bad_counts = {}, {}
+    spark = next(iter(rows.values())).sparkSession
+    own = (writer, number)
+    stored = store.read_all(spark, root, own) if stored is None else stored
+    keys = {n: stored[n].select(*schemas.PRIMARY_KEYS[n]) for n in schemas.TABLES}
+    counts: dict = {}
+    aside: dict[str, dict[str, int]] = {"quarantined": {}, "orphans": {}, "readmitted": {}}
     for name in schemas.WRITE_ORDER:
-        if name not in rows:
+        key = schemas.PRIMARY_KEYS[name]
+        frame = rows.get(name, schemas.empty_table(spark, name))
+        checked = name in schemas.FOREIGN_KEYS
+        late = store.waiting(spark, root, name, stored[name], own).drop("lacking") if checked else None
+        if name not in rows and (late is None or late.isEmpty()):
             continue
-        with persisted(rows[name]) as (frame,):
+        with persisted(frame) as (frame,):
             good, bad = split_valid(frame, name)
-            latest = relational.keep_last(good, schemas.PRIMARY_KEYS[name])
-            counts[name] = store.append_batch(latest, root, name, number, writer)
+            latest = relational.keep_last(good, key).select(*schemas.TABLES[name].fieldNames())
             if not bad.isEmpty():
-                folder = f"{root}/_quarantine/{name}/load={writer}-{number}"
-                bad_counts[name] = tables.write_counted(bad, folder)["rows"]
-    return counts | ({"quarantined": bad_counts} if bad_counts else {})
+                folder = store.load_folder(f"{root}/_quarantine", name, number, writer)
+                aside["quarantined"][name] = tables.write_counted(bad, folder)["rows"]
+            if checked:
+                late = late.join(latest.select(*key), key, "left_anti").select(*latest.columns)
+                both = latest.withColumn("_new", F.lit(True)).unionByName(late.withColumn("_new", F.lit(False)))
+                both = references.with_lacking(cut_lineage(both), name, keys)
+                orphans = both.filter("_new and lacking is not null")
+                if not orphans.isEmpty():
+                    aside["orphans"][name] = store.set_aside(orphans, root, name, number, writer)
+                latest = both.filter("lacking is null")
+                back = latest.filter("not _new").count()
+                if back:
+                    aside["readmitted"][name] = back
+            counts[name] = store.append_batch(latest, root, name, number, writer)
+        written = spark.read.parquet(store.load_folder(root, name, number, writer))
+        keys[name] = keys[name].unionByName(written.select(*key))
+    return counts | {k: v for k, v in aside.items() if v}
 
 
 def ingest(
@@ -261,8 +304,9 @@ def ingest(
 ) -> dict:
     """Landed payloads -> entities -> stored tables under ``root``."""
     with scratch(spark):
-        rows = entities(store.read_all(spark, root), scraped_at, **payloads)
-        return load_batch(rows, root, number, writer)
+        stored = store.read_all(spark, root, (writer, number))
+        rows = entities(stored, scraped_at, **payloads)
+        return load_batch(rows, root, number, writer, stored)
 
 
 def ingest_pages(
@@ -278,10 +322,9 @@ def ingest_pages(
 ) -> dict:
     """Landed pages -> entities -> stored tables; limits that cut something off are reported."""
     with scratch(spark):
-        rows = page_entities(
-            store.read_all(spark, root), pages, now, scraped_at, "", max_posts, max_comments
-        )
-        counts = load_batch(rows, root, number, writer)
+        stored = store.read_all(spark, root, (writer, number))
+        rows = page_entities(stored, pages, now, scraped_at, "", max_posts, max_comments)
+        counts = load_batch(rows, root, number, writer, stored)
     good, cut = usable_pages(pages), {}
     for name, limit, rule, needed in (
         ("posts", max_posts, "post_cards", ("title",)),
@@ -297,6 +340,74 @@ def ingest_pages(
     return counts | ({"cut_by_limits": cut} if cut else {})
 
 
+def usable_refs(html: Column) -> Column:
+    """Community names that a page mentions."""
+    found = S.all_matches(html, P.REF_PATTERN)
+    return F.filter(found, lambda n: (F.length(n) > 1) & ~n.isin(P.NOT_A_NAME))
+
+
+def collect(
+    spark: SparkSession,
+    root: str,
+    number: int,
+    pages: DataFrame,
+    now: Column,
+    scraped_at: Column,
+    seeds: DataFrame | None = None,
+    refreshed: DataFrame | None = None,
+    site: str = "",
+    writer: str = store.WRITER,
+    **limits,
+) -> dict:
+    """One round of collection over landed pages (url, html), to be repeated with what it asks for.
+
+    1. The pages become entities and are loaded; rows without their parents wait.
+    2. ``refreshed``, pages fetched anew for incomplete profiles, fill these in under their stored
+       ids, as a load of its own.
+    3. Discovery walks the references of the landed community pages, from the stored communities
+       and the ``seeds`` (name).
+    4. Reports are written below ``_runs`` next to the tables: ``discovered``, ``to_fetch`` (the
+       pages of discovered communities that have not landed, and of profiles that are still
+       incomplete), ``summary`` (new and total rows), and ``violations`` of the declared rules.
+
+    Returns the counts of the loads and of the reports.
+    """
+    before = store.read_all(spark, root, (writer, number))
+    counts: dict = {"loaded": ingest_pages(spark, root, number, pages, now, scraped_at, writer, **limits)}
+    again = f"{writer}-enriched"
+    if refreshed is not None:
+        with scratch(spark):
+            users = store.read_current(spark, root, "users", (again, number))
+            profiles = P.user_entities(P.profiles(usable_pages(refreshed)), scraped_at)
+            fresh = cut_lineage(profiles_of_incomplete(users, profiles))
+            counts["enriched"] = load_batch({"users": fresh}, root, number, again)["users"]
+    after = store.read_all(spark, root)
+    with scratch(spark):
+        named = usable_pages(pages).select(
+            K.community_from_url(F.col("url")).alias("name"), usable_refs(F.col("html")).alias("refs")
+        )
+        named = named.filter("name is not null")
+        start = after["communities"].select("name")
+        start = start if seeds is None else start.unionByName(seeds.select("name"))
+        found = cut_lineage(frontier.discover(named, "name", F.col("refs"), start))
+        wanted = found.filter("not landed").select(
+            F.lit("community").alias("kind"), "name", K.build_url(site, "m", F.col("name")).alias("url")
+        )
+        lacking = incomplete_profiles(after["users"]).select(
+            F.lit("profile").alias("kind"), "name", K.build_url(site, "u", F.col("name")).alias("url")
+        )
+        reports = {
+            "discovered": found,
+            "to_fetch": wanted.unionByName(lacking),
+            "summary": run_summary(before, after),
+            "violations": constraint_violations(after).filter("violations > 0"),
+        }
+        for name, frame in reports.items():
+            folder = f"{root}/_runs/{name}/load={store.checked_writer(writer)}-{number}"
+            counts[name] = tables.write_counted(frame, folder)["rows"]
+    return counts
+
+
 def status(spark: SparkSession, root: str, silver: str, gold: str) -> dict[str, DataFrame]:
     """Row counts of the stored tables, rows and files of the layers."""
     golden = ("user_features", "post_features", "comment_features")

@@ -13,9 +13,10 @@ from folkmeter.functions import keys as K
 from folkmeter.functions import scalars as S
 from folkmeter.plans.registry import WS_SQL, Tables, query, r
 from folkmeter.session import cut_lineage
-from folkmeter.sources import listings, pagestore
+from folkmeter.sources import listings, pagestore, store
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
+from folkmeter.streaming import incremental
 
 BASE_URL = "https://community.example.org"
 
@@ -426,6 +427,20 @@ def json_posts(t: Tables):
     return J.post_rows(listed, t.users, F.lit("2024-06-01"))
 
 
+@query("stream_posts", """
+    SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id_post ORDER BY scraped_at DESC NULLS LAST,
+      id_user DESC NULLS LAST, id_community DESC NULLS LAST, title DESC NULLS LAST, description DESC NULLS LAST,
+      date DESC NULLS LAST, rating DESC NULLS LAST) AS rn FROM made) q WHERE rn = 1""", JSON_POSTS_SQL)
+def stream_posts(t: Tables):
+    """The community payloads land as files and stream into all the tables that they fill."""
+    landed, root, nothing = t.folder(), t.folder(), F.lit(None).cast("string")
+    rows = _community_payloads(t).select(F.lit("community").alias("kind"), "name", nothing.alias("id_post"), "body")
+    rows.write.json(landed)
+    source = incremental.landed_files(t.spark, landed, incremental.LANDED)
+    incremental.payload_stream(source, root, f"{root}/_progress", F.lit("2024-06-01")).awaitTermination()
+    return store.read_current(t.spark, root, "posts")
+
+
 @query("json_communities", f"""
     SELECT {_id_sql('community', "'c' || doc_id")} AS id_community, 'c' || doc_id AS name,
            source AS description, '2024-06-01' AS scraped_at FROM documents WHERE source <> 'src0'""")

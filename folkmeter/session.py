@@ -80,6 +80,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def stored_once(df: DataFrame) -> DataFrame:
+    """``df``, stored if working it out takes more than reading its rows, for several readers."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    costly = any(name in plan for name in ("Join", "Aggregate", "Window", "Sort", "MapIn"))
+    return cut_lineage(df) if costly else df
+
+
 @contextmanager
 def persisted(*frames: DataFrame):
     """Keep frames that several actions read, and let go of them in any case."""

@@ -1,138 +1,128 @@
-"""Parquet folders of one keyed table: a full snapshot and the loads after it.
+"""Keyed tables as Parquet folders, one folder per load.
 
-A load is known by its writer and a number, and has a folder of its own, so repeating it
-replaces it and writers do not touch each other's loads. When a load is written it gets the next
-place in the order of commits, by creating a file that must not exist yet. Readers see the
-newest snapshot with the later commits merged in; ``compact`` folds them together.
+Every row says which load brought it in plain columns: ``writer`` and ``batch`` name the load,
+``loaded_at`` is the time at which it was first written. Readers settle a key by its latest load,
+with a window over these columns. Writing a load again replaces its folder and keeps its time, so
+a repeated load changes nothing, and writers do not touch each other's folders. Loads of one
+table that are written at the same moment by clocks that differ are in the order of the clocks.
+
+There are no transactions here: a reader beside a load that is written again, or a table whose
+loads are to be folded while others write, needs a table format that has them.
 """
 
 from __future__ import annotations
 
 import re
+import time
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folkmeter import schemas
 from folkmeter.operators.relational import keep_last
-from folkmeter.sources.tables import write_counted
+from folkmeter.sources.tables import path_exists, write_counted
 
 WRITER = "load"
+MARKS = ["writer", "batch", "loaded_at"]
+
+
+def _schema(table: str, *more: T.StructField) -> T.StructType:
+    fields = schemas.nullable(schemas.TABLES[table]).fields
+    kinds = (T.StringType(), T.LongType(), T.TimestampType())
+    return T.StructType([*fields, *more, *[T.StructField(n, k) for n, k in zip(MARKS, kinds)]])
 
 
-def _files(spark: SparkSession, folder: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _listed(spark: SparkSession, pattern: str) -> list:
-    found = _files(spark, pattern).globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern))
-    return [s.getPath() for s in found or []]
-
-
-def _snapshots(spark: SparkSession, folder: str) -> list[int]:
-    """Places in the order of commits up to which a finished snapshot goes."""
-    found = _listed(spark, f"{folder}/snapshot=*/_SUCCESS")
-    return sorted(int(p.getParent().getName().split("=")[1]) for p in found)
-
-
-def _commits(spark: SparkSession, folder: str) -> dict[str, int]:
-    """Place in the order of commits of each load."""
-    out = {}
-    for path in _listed(spark, f"{folder}/_commits/*"):
-        stream = _files(spark, folder).open(path)
-        try:
-            out[stream.readUTF()] = int(path.getName())
-        finally:
-            stream.close()
-    return out
-
-
-def _commit(spark: SparkSession, folder: str, load: str) -> int:
-    """Give ``load`` the next free place; another writer may be doing the same."""
-    files, path = _files(spark, folder), spark._jvm.org.apache.hadoop.fs.Path
-    place = max([0, *_snapshots(spark, folder), *_commits(spark, folder).values()])
-    while True:
-        place += 1
-        target = path(f"{folder}/_commits/{place:012d}")
-        try:
-            stream = files.create(target, False)
-        except Py4JJavaError:
-            if not files.exists(target):
-                raise
-            continue
-        stream.writeUTF(load)
-        stream.close()
-        return place
-
-
-def append_batch(
-    df: DataFrame, root: str, table: str, number: int, writer: str = WRITER, covered: str = "raise"
-) -> int:
-    """Write load ``number`` of ``writer``; writing it again replaces it.
-
-    A load that a snapshot already holds can no longer be replaced: that is an error, unless
-    ``covered`` is ``skip`` because the caller knows that the rows are the same.
-    """
+def _of_load(writer: str, number: int) -> Column:
+    return (F.col("writer") == writer) & (F.col("batch") == number)
+
+
+def checked_writer(writer: str) -> str:
     if not re.fullmatch(r"[\w.\-]+", writer):
         raise ValueError(f"not a name of a writer: {writer!r}")
-    spark, folder, load = df.sparkSession, f"{root}/{table}", f"{writer}-{number}"
-    place = _commits(spark, folder).get(load)
-    if place is not None and place <= max([0, *_snapshots(spark, folder)]):
-        if covered == "skip":
-            return 0
-        raise ValueError(f"load {number} of {writer} is already part of a snapshot of {table}")
-    rows = df.select(*schemas.TABLES[table].fieldNames())
-    written = write_counted(rows, f"{folder}/load={load}")["rows"]
-    if place is None:
-        _commit(spark, folder, load)
-    return written
+    return writer
+
+
+def load_folder(root: str, table: str, number: int, writer: str) -> str:
+    return f"{root}/{table}/load={checked_writer(writer)}-{number}"
+
+
+def _rows(
+    spark: SparkSession, folder: str, schema: T.StructType, without: tuple[str, int] | None = None
+) -> DataFrame:
+    """All rows, or those of all other loads. The folder of a load that is left out is not read,
+    so it can be written again from what is read here."""
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(folder)
+    if without is not None:
+        writer, number = without
+        rows = rows.filter((F.col("load") != f"{writer}-{number}") & ~_of_load(writer, number))
+    return rows.select(*schema.fieldNames())
+
+
+def marked(df: DataFrame, root: str, table: str, number: int, writer: str) -> DataFrame:
+    """``df`` with the marks of its load; the time is that of the first writing, if there was one."""
+    spark = df.sparkSession
+    known = _rows(spark, f"{root}/{table}", _schema(table)).filter(_of_load(writer, number))
+    first = known.agg(F.min(F.unix_micros("loaded_at"))).first()[0]
+    micros = time.time_ns() // 1000 if first is None else first
+    marks = (F.lit(writer), F.lit(number).cast("bigint"), F.timestamp_micros(F.lit(micros)))
+    return df.withColumns(dict(zip(MARKS, marks)))
+
+
+def append_batch(df: DataFrame, root: str, table: str, number: int, writer: str = WRITER) -> int:
+    """Write load ``number`` of ``writer``; writing it again replaces it."""
+    folder = load_folder(root, table, number, writer)
+    rows = marked(df.select(*schemas.TABLES[table].fieldNames()), root, table, number, writer)
+    return write_counted(rows, folder)["rows"]
 
 
 def read_current(
-    spark: SparkSession, root: str, table: str, until: int | None = None
+    spark: SparkSession, root: str, table: str, without: tuple[str, int] | None = None
+) -> DataFrame:
+    """The latest row of each key; ``without`` leaves out one load (writer, number), for that load
+    to be worked out anew."""
+    return _settled(spark, root, table, without).drop(*MARKS)
+
+
+def _settled(spark: SparkSession, root: str, table: str, without: tuple[str, int] | None) -> DataFrame:
+    rows = _rows(spark, f"{root}/{table}", _schema(table), without)
+    return keep_last(rows, schemas.PRIMARY_KEYS[table], ["loaded_at", "writer", "batch"])
+
+
+def write_settled(spark: SparkSession, root: str, table: str, target: str) -> int:
+    """The latest rows, with the marks of their loads, as the one folder of a new place."""
+    folder = load_folder(target, table, 0, "settled")
+    return write_counted(_settled(spark, root, table, None), folder)["rows"]
+
+
+def read_all(
+    spark: SparkSession, root: str, without: tuple[str, int] | None = None
+) -> dict[str, DataFrame]:
+    return {name: read_current(spark, root, name, without) for name in schemas.TABLES}
+
+
+# --- rows that wait for their parents -----------------------------------------------
+
+LACKING = T.StructField("lacking", T.StringType())
+
+
+def set_aside(orphans: DataFrame, root: str, table: str, number: int, writer: str) -> int:
+    """Write the rows of a load that lack a parent, with the columns that name none (``lacking``)."""
+    folder = load_folder(f"{root}/_orphans", table, number, writer)
+    columns = [*schemas.TABLES[table].fieldNames(), "lacking"]
+    return write_counted(marked(orphans.select(*columns), root, table, number, writer), folder)["rows"]
+
+
+def waiting(
+    spark: SparkSession, root: str, table: str, stored: DataFrame, without: tuple[str, int] | None = None
 ) -> DataFrame:
-    """The table as of the last commit, or as of commit ``until``."""
-    folder, schema = f"{root}/{table}", schemas.nullable(schemas.TABLES[table])
+    """Rows that were set aside and are not stored since, the latest of each key, with ``lacking``."""
+    rows = _rows(spark, f"{root}/_orphans/{table}", _schema(table, LACKING), without)
     keys = schemas.PRIMARY_KEYS[table]
-    snapshots = _snapshots(spark, folder)
-    covered = snapshots[-1] if snapshots else 0
-    later = {
-        load: place
-        for load, place in _commits(spark, folder).items()
-        if place > covered and (until is None or place <= until)
-    }
-    base = (
-        spark.read.schema(schema).parquet(f"{folder}/snapshot={covered}")
-        if snapshots
-        else schemas.empty_table(spark, table)
-    )
-    if not later:
-        return base
-    reader = spark.read.schema(schema.add("load", T.StringType())).option("basePath", folder)
-    rows = reader.parquet(*[f"{folder}/load={load}" for load in later])
-    # One row per load after the snapshot.
-    order = F.broadcast(spark.createDataFrame(list(later.items()), "load string, _place bigint"))
-    latest = keep_last(rows.join(order, "load").drop("load"), keys, ["_place"]).drop("_place")
-    kept = base.join(latest.select(*keys), keys, "left_anti")
-    return kept.unionByName(latest.select(*base.columns))
-
-
-def compact(spark: SparkSession, root: str, table: str) -> int:
-    """Fold finished loads into a new snapshot; old folders are left to retention."""
-    folder = f"{root}/{table}"
-    snapshots = _snapshots(spark, folder)
-    newest = max([0, *_commits(spark, folder).values(), *snapshots])
-    if newest in snapshots or newest == 0:
-        return newest
-    write_counted(read_current(spark, root, table, newest), f"{folder}/snapshot={newest}")
-    return newest
-
-
-def read_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_current(spark, root, name) for name in schemas.TABLES}
+    latest = keep_last(rows, keys, ["loaded_at", "writer", "batch"]).drop(*MARKS)
+    return latest.join(stored.select(*keys), keys, "left_anti").select(*rows.drop(*MARKS).columns)
 
 
 def stored_counts(spark: SparkSession, root: str) -> DataFrame:

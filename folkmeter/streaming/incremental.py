@@ -1,4 +1,4 @@
-"""Micro-batch ingestion: landed files -> entities -> keyed batches of the store."""
+"""Micro-batch ingestion: landed files -> entities -> loads of the stored tables."""
 
 from __future__ import annotations
 
@@ -6,38 +6,34 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from folkmeter import schemas
 from folkmeter.operators.relational import keep_last
+from folkmeter.session import persisted
 from folkmeter.sources import store
 
+LANDED = "kind string, name string, id_post string, body string"
 
-def upsert_stream(
-    source: DataFrame,
-    root: str,
-    table: str,
-    checkpoint: str,
-    to_rows: Callable[[DataFrame], DataFrame] = lambda df: df,
-    order_by: list[str] | None = None,
+
+def each_batch(
+    source: DataFrame, checkpoint: str, write: Callable[[DataFrame, int, str], None]
 ) -> StreamingQuery:
-    """Upsert the rows of a stream into ``table``, each micro-batch as one stored load.
+    """Run ``write(batch, number, writer)`` for each micro-batch of what has landed by now.
 
     The writer is the stream as its checkpoint knows it, the number that of the micro-batch: a
-    replayed micro-batch replaces its load, and a stream with a new checkpoint is a new writer.
-    A replay that a snapshot already holds brings the same rows and is passed over.
+    replayed micro-batch is the same load, and a stream with a new checkpoint is a new writer.
     """
-    keys = schemas.PRIMARY_KEYS[table]
     known = threading.Event()
     stream: list[str] = []
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def run(batch: DataFrame, number: int) -> None:
         known.wait()
-        latest = keep_last(to_rows(batch), keys, order_by)
-        store.append_batch(latest, root, table, batch_id, f"stream-{stream[0]}", covered="skip")
+        write(batch, number, f"stream-{stream[0]}")
 
     query = (
-        source.writeStream.foreachBatch(write)
+        source.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -47,6 +43,23 @@ def upsert_stream(
     return query
 
 
+def upsert_stream(
+    source: DataFrame,
+    root: str,
+    table: str,
+    checkpoint: str,
+    to_rows: Callable[[DataFrame], DataFrame] = lambda df: df,
+    order_by: list[str] | None = None,
+) -> StreamingQuery:
+    """Upsert the rows of a stream into ``table``, each micro-batch as one load."""
+
+    def write(batch: DataFrame, number: int, writer: str) -> None:
+        latest = keep_last(to_rows(batch), schemas.PRIMARY_KEYS[table], order_by)
+        store.append_batch(latest, root, table, number, writer)
+
+    return each_batch(source, checkpoint, write)
+
+
 def landed_files(
     spark: SparkSession, folder: str, schema: str, kind: str = "json", per_batch: int | None = None, **options
 ) -> DataFrame:
@@ -67,3 +80,28 @@ def profile_stream(
     return upsert_stream(
         source, root, "users", checkpoint, lambda df: profile_rows(df, scraped_at)
     )
+
+
+def payload_stream(
+    source: DataFrame, root: str, checkpoint: str, scraped_at: Column, **limits
+) -> StreamingQuery:
+    """Landed payloads of all kinds -> users, communities, memberships, posts and comments.
+
+    ``source`` is a stream of ``LANDED`` rows, ``kind`` being community, post or profile. Each
+    micro-batch goes through the same job as a batch load: authors and communities are resolved
+    by a join of the stream with the stored tables as they are without this load, rows that lack a
+    parent wait for it, and all tables of the batch are written under (writer, batch). So a
+    replayed micro-batch finds what it found the first time and replaces itself.
+    """
+    from folkmeter.plans import jobs
+
+    def write(batch: DataFrame, number: int, writer: str) -> None:
+        with persisted(batch) as (rows,):  # read once for each kind
+            parts = {
+                "communities": rows.filter("kind = 'community'").select("name", "body"),
+                "posts": rows.filter("kind = 'post'").select("id_post", "body"),
+                "profiles": rows.filter("kind = 'profile'").select("name", "body"),
+            }
+            jobs.ingest(batch.sparkSession, root, number, scraped_at, writer, **parts, **limits)
+
+    return each_batch(source.select(*[F.col(c) for c in ("kind", "name", "id_post", "body")]), checkpoint, write)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folkmeter import schemas
-from folkmeter.operators import modeling
+from folkmeter.operators import cleaning, modeling
 from folkmeter.operators.evaluation import clean_training
 from folkmeter.plans import jobs
 from folkmeter.plans.registry import Tables
@@ -88,20 +88,24 @@ def person(spark, *rows):
 def test_store(spark, tmp_path):
     root = str(tmp_path)
 
-    def current():
-        return {r.id_user: r.karma for r in store.read_current(spark, root, "users").collect()}
+    def current(place=root):
+        return {r.id_user: r.karma for r in store.read_current(spark, place, "users").collect()}
 
     assert current() == {}
     store.append_batch(person(spark, ("a", "A", 1), ("b", "B", 1)), root, "users", 1)
     store.append_batch(person(spark, ("b", "B", 2), ("c", "C", 2)), root, "users", 2)
     assert current() == {"a": 1, "b": 2, "c": 2}
-    assert store.compact(spark, root, "users") == 2
-    assert current() == {"a": 1, "b": 2, "c": 2}
     store.append_batch(person(spark, ("c", "C", 3)), root, "users", 3)
     store.append_batch(person(spark, ("c", "C", 4)), root, "users", 3)  # a repeated load
     assert current() == {"a": 1, "b": 2, "c": 4}
-    assert store.compact(spark, root, "users") == 3 == store.compact(spark, root, "users")
-    assert current() == {"a": 1, "b": 2, "c": 4}
+    store.append_batch(person(spark, ("a", "A", 5), ("b", "B", 5)), root, "users", 1)
+    assert current() == {"a": 5, "b": 2, "c": 4}  # a load that is written again keeps its time
+    assert {r.id_user for r in store.read_current(spark, root, "users", ("load", 2)).collect()} == {"a", "b", "c"}
+    assert store.write_settled(spark, root, "users", f"{root}/folded") == 3
+    assert current(f"{root}/folded") == current()
+    store.append_batch(person(spark, ("b", "B", 6)), f"{root}/folded", "users", 2)  # known by its marks
+    store.append_batch(person(spark, ("a", "A", 7)), f"{root}/folded", "users", 4)
+    assert current(f"{root}/folded") == {"a": 7, "b": 6, "c": 4}
 
 
 def test_store_keeps_the_loads_of_all_writers(spark, tmp_path):
@@ -113,18 +117,16 @@ def test_store_keeps_the_loads_of_all_writers(spark, tmp_path):
     store.append_batch(person(spark, ("a", "A", 1)), root, "users", 3, "one")
     store.append_batch(person(spark, ("b", "B", 1)), root, "users", 1, "two")
     store.append_batch(person(spark, ("a", "A", 2)), root, "users", 1, "one")
-    assert current() == {"a": 2, "b": 1}  # the order of commits counts, not that of numbers
-    store.compact(spark, root, "users")
+    assert current() == {"a": 2, "b": 1}  # the times of the loads count, not their numbers
     store.append_batch(person(spark, ("c", "C", 1)), root, "users", 2, "two")
     assert current() == {"a": 2, "b": 1, "c": 1}
-    with pytest.raises(ValueError, match="already part"):
-        store.append_batch(person(spark, ("b", "B", 9)), root, "users", 1, "two")
-    assert store.append_batch(person(spark, ("b", "B", 1)), root, "users", 1, "two", "skip") == 0
+    store.append_batch(person(spark, ("b", "B", 9)), root, "users", 1, "two")
+    assert current() == {"a": 2, "b": 9, "c": 1}
     with pytest.raises(ValueError, match="name of a writer"):
         store.append_batch(person(spark, ("b", "B", 1)), root, "users", 1, "../x")
 
 
-def test_stream_with_a_new_checkpoint_after_compaction(spark, tmp_path):
+def test_stream_with_a_new_checkpoint(spark, tmp_path):
     landed, root = f"{tmp_path}/landed", f"{tmp_path}/root"
 
     def land(*rows):
@@ -137,7 +139,6 @@ def test_stream_with_a_new_checkpoint_after_compaction(spark, tmp_path):
     land(("Ann", 1))
     run("first")
     store.append_batch(person(spark, ("x", "X", 7)), root, "users", 1)
-    store.compact(spark, root, "users")
     land(("Ann", 2), ("Bob", 3))
     run("second")
     got = {r.name: r.karma for r in store.read_current(spark, root, "users").collect()}
@@ -256,6 +257,94 @@ def test_stream_equals_batch(spark, tmp_path):
     assert store.read_current(spark, root, "users").count() == 3
 
 
+def everything(spark, root):
+    return {n: sorted(map(str, df.collect())) for n, df in store.read_all(spark, root).items()}
+
+
+def test_payload_stream_equals_batch_ingest(spark, tmp_path):
+    """All kinds in one stream; a micro-batch that runs again changes nothing."""
+    parts = load(spark)
+    kinds = {"communities": "community", "posts": "post", "profiles": "profile"}
+    landed = [
+        (kinds[n], getattr(r, "name", None) if n != "posts" else None, getattr(r, "id_post", None) if n == "posts" else None, r.body)
+        for n, df in parts.items()
+        for r in df.collect()
+    ]
+    folder, root = f"{tmp_path}/landed", f"{tmp_path}/stream"
+    spark.createDataFrame(landed, incremental.LANDED).coalesce(1).write.json(folder)
+
+    def run(progress):
+        source = incremental.landed_files(spark, folder, incremental.LANDED)
+        incremental.payload_stream(source, root, f"{tmp_path}/{progress}", F.lit("s1")).awaitTermination()
+
+    run("one")
+    counts = jobs.ingest(spark, f"{tmp_path}/batch", 1, F.lit("s1"), **parts)
+    assert counts["comments"] == 2
+    got = everything(spark, root)
+    assert got == everything(spark, f"{tmp_path}/batch")
+    writer = spark.read.parquet(f"{root}/posts").first().writer
+    jobs.ingest(spark, root, 0, F.lit("s1"), writer, **parts)  # the micro-batch once more
+    assert everything(spark, root) == got
+    assert spark.read.parquet(f"{root}/posts").select("load").distinct().count() == 1
+    more = [("post", None, "p2", json.dumps({"comments": [{"author": {"name": "Dan"}, "content": "new"}]}))]
+    spark.createDataFrame(more, incremental.LANDED).coalesce(1).write.mode("append").json(folder)
+    run("one")
+    assert len(everything(spark, root)["comments"]) == 3
+
+
+def test_orphans_wait_for_their_parents(spark, tmp_path):
+    root = str(tmp_path)
+
+    def talk(*rows):
+        return spark.createDataFrame([(k, u, p, "d", "s", "s", 1) for k, u, p in rows], schemas.nullable(schemas.COMMENTS))
+
+    post = spark.createDataFrame([("p", "a", None, "t", "d", "s", "s", 1)], schemas.nullable(schemas.POSTS))
+    first = jobs.load_batch({"users": person(spark, ("a", "A", 1)), "comments": talk(("1", "a", "p"), ("2", "b", "p"), ("3", "a", "q"))}, root, 1)
+    assert first == {"users": 1, "comments": 0, "orphans": {"comments": 3}}
+    lacking = {r.id_comment: r.lacking for r in store.waiting(spark, root, "comments", store.read_current(spark, root, "comments")).collect()}
+    assert lacking == {"1": "id_post", "2": "id_user,id_post", "3": "id_post"}
+    second = {"posts": post, "comments": talk(("3", "a", "q"))}
+    assert jobs.load_batch(second, root, 2) == {"posts": 1, "comments": 1, "orphans": {"comments": 1}, "readmitted": {"comments": 1}}
+    assert jobs.load_batch(second, root, 2) == {"posts": 1, "comments": 1, "orphans": {"comments": 1}, "readmitted": {"comments": 1}}
+    assert jobs.load_batch({"users": person(spark, ("b", "B", 1))}, root, 3) == {"users": 1, "comments": 1, "readmitted": {"comments": 1}}
+    assert {r.id_comment for r in store.read_current(spark, root, "comments").collect()} == {"1", "2"}
+    left = store.waiting(spark, root, "comments", store.read_current(spark, root, "comments"))
+    assert {r.id_comment for r in left.collect()} == {"3"}
+    violations = cleaning.constraint_violations(store.read_all(spark, root)).filter("violations > 0")
+    assert violations.count() == 0
+
+
+def test_collect_goes_through_all_steps(spark, tmp_path):
+    """Two rounds: pages are loaded, names discovered, an incomplete profile filled in, all reported."""
+    root = str(tmp_path)
+    card = '<a href="/post/p9"><h3>Title</h3><div class="text-xs"><span class="hover:underline">u/ann</span></div></a>'
+    rows = [
+        ("https://x.org/m/town", f'<body>{card}<a href="/m/lake">lake</a> <a href="/m/create">new</a></body>'),
+        ("https://x.org/m/lake", '<body><a href="/m/hill">hill</a><a href="/m/town">town</a></body>'),
+        ("https://x.org/m/apart", '<body><a href="/m/never">never</a></body>'),
+    ]
+    pages = spark.createDataFrame(rows[:2], "url string, html string")
+    now = F.lit("2024-03-10 00:00:00").cast("timestamp")
+    counts = jobs.collect(spark, root, 1, pages, now, F.lit("s"), site="https://x.org")
+    assert counts["loaded"]["posts"] == 1 and counts["violations"] == 0
+    found = spark.read.parquet(f"{root}/_runs/discovered")
+    assert {(r.name, r.depth, r.landed) for r in found.collect()} == {("town", 0, True), ("lake", 0, True), ("hill", 1, False)}
+    wanted = {r.url for r in spark.read.parquet(f"{root}/_runs/to_fetch").collect()}
+    assert wanted == {"https://x.org/m/hill", "https://x.org/u/ann"}
+    summary = {r.entity: (r.new_rows, r.total_rows) for r in spark.read.parquet(f"{root}/_runs/summary").collect()}
+    assert summary["users"] == (1, 1) and summary["posts"] == (1, 1)
+
+    fetched = spark.createDataFrame([("https://x.org/u/ann", "<body><h1>ann</h1><p>bio</p>5 karma</body>")], "url string, html string")
+    more = spark.createDataFrame([("https://x.org/m/hill", "<body></body>")], "url string, html string")
+    seeds = spark.createDataFrame([("apart",)], "name string")
+    counts = jobs.collect(spark, root, 2, more, now, F.lit("s2"), seeds=seeds, refreshed=fetched, site="https://x.org")
+    assert counts["enriched"] == 1
+    people = {r.name: r.karma for r in store.read_current(spark, root, "users").collect()}
+    assert people == {"ann": 5}
+    wanted = {r.url for r in spark.read.parquet(f"{root}/_runs/to_fetch/load=load-2").collect()}
+    assert "https://x.org/u/ann" not in wanted and "https://x.org/m/apart" in wanted
+
+
 @pytest.fixture(scope="module")
 def signal(spark):
     """Karma that follows the followers, with some noise from a hash."""

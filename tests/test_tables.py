@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from folkmeter import schemas
-from folkmeter.operators import cleaning, features, frontier, relational, upsert
+from folkmeter.operators import cleaning, features, frontier, profiling, relational, upsert
+from folkmeter.sources import pagestore
 
 STAMP = "2024-01-01"
 
@@ -240,6 +241,66 @@ def test_constraints(spark):
     }
 
 
+@pytest.mark.parametrize("offset", [0, 3, 150, 299, 310, 400])
+def test_page_of_rows_by_rank(spark, monkeypatch, offset):
+    """Nulls, repeated keys and names beyond ASCII, against the sorted list."""
+    monkeypatch.setattr(relational, "RANK_RANGES", 8)
+    names = [None] * 4 + ["same"] * 60 + [f"é{i:03}" for i in range(100)] + [f"n{i:03}" for i in range(146)]
+    frame = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, i int").repartition(5)
+    want = sorted(names, key=lambda n: (n is not None, (n or "").encode()))
+    assert [r.name for r in relational.page_of_rows(frame, "name", 20, offset).collect()] == want[offset : offset + 20]
+    index = relational.rank_index(frame, "name")
+    assert sum(n for _, n, _ in index) == len(names) and len(index) <= 10
+
+
+def test_page_of_rows_sorts_only_its_ranges(spark):
+    frame = spark.range(20_000).withColumnRenamed("id", "k")
+    page = relational.page_of_rows(frame, "k", 10, 10_000)
+    assert [r.k for r in page.collect()] == list(range(10_000, 10_010))
+    plan = page._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(">=") >= 1 and "<" in plan  # both ends of a range of about a 64th
+    assert relational.page_of_rows(frame.limit(0), "k", 10).count() == 0
+
+
+def test_bitmaps_of_urls(spark):
+    urls = spark.range(500).select(F.concat(F.lit("https://a.org/"), "id").alias("url"))
+    store = spark.range(250, 50_000).select(F.concat(F.lit("https://a.org/"), "id").alias("url"))
+    filters = [pagestore.url_bitmaps(part) for part in (urls.limit(100), urls)]
+    merged = pagestore.merge_bitmaps(*filters)
+    likely = pagestore.may_hold(store, merged)
+    assert likely.join(urls, "url", "left_semi").count() == 250
+    assert likely.count() < 250 + 30  # a fraction of 500 / 8,388,608 of the others
+    assert merged.count() <= pagestore.BIT_PAGES
+
+
+def test_a_large_store_is_filtered_before_it_is_dealt_out(spark, monkeypatch):
+    urls = spark.range(500).select(F.concat(F.lit("https://a.org/"), "id").alias("url"))
+    store = spark.range(250, 5_000).select(F.concat(F.lit("https://a.org/"), "id").alias("url"))
+    want = {f"https://a.org/{i}" for i in range(250)}
+    assert {r.url for r in pagestore.to_fetch(urls, store).collect()} == want
+    monkeypatch.setattr(pagestore, "fits_broadcast", lambda df: False)
+    away, here = pagestore.to_fetch(urls, store), pagestore.cached(urls, store)
+    assert {r.url for r in away.collect()} == want and here.count() == 250
+    plan = pagestore._stored_among(urls, store)._jdf.queryExecution().executedPlan().toString()
+    leaf = plan.index("Range (250, 5000")
+    above = plan[plan.rindex("BroadcastHashJoin", 0, leaf) : leaf]  # from the filter to the store
+    assert "Exchange" not in above and "Exchange hashpartitioning" in plan[: plan.index("BroadcastHashJoin")]
+
+
+def test_stored_pages_have_a_filter_on_the_url(spark, tmp_path):
+    rows = spark.range(2_000).select(F.concat(F.lit("https://a.org/"), "id").alias("url"), F.lit("x").alias("html"))
+    pagestore.write_pages(rows.coalesce(1), str(tmp_path / "pages"))
+    read = spark.read.parquet(str(tmp_path / "pages"))
+    assert read.filter("url = 'https://a.org/77'").count() == 1
+
+
+def test_box_stats_count_repeats(spark):
+    rows = [(float(v),) for v in [1, 2, 2, 2, 3, 3, 4, 100, 100]] + [(None,)]
+    frame = spark.createDataFrame(rows, "v double")
+    one = profiling.box_stats(frame, ["v"]).first()
+    assert (one.q1, one.median, one.q3, one.whisker_low, one.whisker_high, one.outliers) == (2, 3, 4, 1, 4, 2)
+
+
 def test_frontier(spark):
     edges = [("a", "b"), ("a", "c"), ("b", "d"), ("d", "a"), ("d", "e"), ("x", "y"), (None, "a")]
     frame = spark.createDataFrame(edges, "src string, dst string")
