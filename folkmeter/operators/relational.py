@@ -10,6 +10,7 @@ from folkmeter.functions import keys as K
 
 HOT_KEYS = 10_000  # a key with more than this part of all rows is heavy: so many keys at most
 HOT_ROWS = 1_000_000  # rows of one key that fit one task with ease
+KEY_BUCKETS = 1 << 16  # buckets of keys that are counted before keys are
 CAP_ROWS = 1_000  # limits per group up to which Spark cuts ranks before the shuffle by itself
 CAP_SALTS = 32
 
@@ -68,10 +69,15 @@ def heavy_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     """Keys above ``hot_rows`` rows and above a HOT_KEYS-th of all, with their number of salts.
 
     The second condition bounds the table by HOT_KEYS rows without leaving a larger key out.
+    Buckets of keys are counted first: a heavy key lies in a heavy bucket, so only the keys of
+    these few are counted one by one, and the others are not shuffled.
     """
-    present = df.filter(F.col(key).isNotNull())
-    share = present.agg(F.count("*") / HOT_KEYS).scalar()
-    counts = present.groupBy(key).agg(F.count("*").alias("_n"))
+    bucket = F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).alias("_bucket")
+    present = df.filter(F.col(key).isNotNull()).select(key, bucket)
+    sizes = present.groupBy("_bucket").agg(F.count("*").alias("_size"))
+    share = sizes.agg(F.coalesce(F.sum("_size"), F.lit(0)) / HOT_KEYS).scalar()
+    full = sizes.filter((F.col("_size") > hot_rows) & (F.col("_size") > share)).select("_bucket")
+    counts = present.join(F.broadcast(full), "_bucket", "left_semi").groupBy(key).agg(F.count("*").alias("_n"))
     heavy = counts.filter((F.col("_n") > hot_rows) & (F.col("_n") > share))
     return heavy.select(F.col(key), F.ceil(F.col("_n") / hot_rows).alias("_salts"))
 
