@@ -25,7 +25,7 @@ from folkmeter.operators.cleaning import (
 )
 from folkmeter.operators.evaluation import clean_training
 from folkmeter.operators.upsert import profiles_of_incomplete, run_summary, split_valid
-from folkmeter.session import cut_lineage, persisted, scratch
+from folkmeter.session import cut_lineage, persisted, scratch, stored_once
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
 from folkmeter.sources import store, tables
@@ -256,19 +256,21 @@ def load_batch(
     the columns they lack. Rows that name a parent which is neither stored nor in the load are set
     aside in ``_orphans`` and are taken up by the first load after which all their parents are
     there. What was put aside or taken up is reported when there is any. ``stored`` are the tables
-    without this load, if the caller has read them.
+    without this load, if they are not those below ``root``.
     """
     spark = next(iter(rows.values())).sparkSession
     own = (writer, number)
-    stored = store.read_all(spark, root, own) if stored is None else stored
-    keys = {n: stored[n].select(*schemas.PRIMARY_KEYS[n]) for n in schemas.TABLES}
+    if stored is None:
+        keys = {n: store.known_keys(spark, root, n, own) for n in schemas.TABLES}
+    else:
+        keys = {n: stored[n].select(*schemas.PRIMARY_KEYS[n]) for n in schemas.TABLES}
     counts: dict = {}
     aside: dict[str, dict[str, int]] = {"quarantined": {}, "orphans": {}, "readmitted": {}}
     for name in schemas.WRITE_ORDER:
         key = schemas.PRIMARY_KEYS[name]
         frame = rows.get(name, schemas.empty_table(spark, name))
         checked = name in schemas.FOREIGN_KEYS
-        late = store.waiting(spark, root, name, stored[name], own).drop("lacking") if checked else None
+        late = stored_once(store.waiting(spark, root, name, keys[name], own).drop("lacking")) if checked else None
         if name not in rows and (late is None or late.isEmpty()):
             continue
         with persisted(frame) as (frame,):
@@ -280,7 +282,14 @@ def load_batch(
             if checked:
                 late = late.join(latest.select(*key), key, "left_anti").select(*latest.columns)
                 both = latest.withColumn("_new", F.lit(True)).unionByName(late.withColumn("_new", F.lit(False)))
-                both = references.with_lacking(cut_lineage(both), name, keys)
+                # All rows that may be written say which parents to look for, so none is settled for it.
+                named = [c for c, *_ in schemas.FOREIGN_KEYS[name]]
+                missing = references.missing_parents(
+                    good.select(*named).unionByName(late.select(*named)), name, keys
+                )
+                both = references.with_lacking(both, missing)
+                if missing:  # read for the orphans, for what is taken up and for the table
+                    both = cut_lineage(both)
                 orphans = both.filter("_new and lacking is not null")
                 if not orphans.isEmpty():
                     aside["orphans"][name] = store.set_aside(orphans, root, name, number, writer)
@@ -306,7 +315,7 @@ def ingest(
     with scratch(spark):
         stored = store.read_all(spark, root, (writer, number))
         rows = entities(stored, scraped_at, **payloads)
-        return load_batch(rows, root, number, writer, stored)
+        return load_batch(rows, root, number, writer)
 
 
 def ingest_pages(
@@ -324,7 +333,7 @@ def ingest_pages(
     with scratch(spark):
         stored = store.read_all(spark, root, (writer, number))
         rows = page_entities(stored, pages, now, scraped_at, "", max_posts, max_comments)
-        counts = load_batch(rows, root, number, writer, stored)
+        counts = load_batch(rows, root, number, writer)
     good, cut = usable_pages(pages), {}
     for name, limit, rule, needed in (
         ("posts", max_posts, "post_cards", ("title",)),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -69,8 +70,14 @@ def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A frame that the optimizer knows to be empty, so that joins with it are left out."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(0).filter(F.lit(False)).select(*columns)
+
+
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], nullable(TABLES[name]))
+    return no_rows(spark, TABLES[name])
 
 
 def required_columns(name: str) -> list[str]:

@@ -53,7 +53,7 @@ def _rows(
     """All rows, or those of all other loads. The folder of a load that is left out is not read,
     so it can be written again from what is read here."""
     if not path_exists(spark, folder):
-        return spark.createDataFrame([], schema)
+        return schemas.no_rows(spark, schema)
     rows = spark.read.schema(schema).parquet(folder)
     if without is not None:
         writer, number = without
@@ -86,6 +86,14 @@ def read_current(
     return _settled(spark, root, table, without).drop(*MARKS)
 
 
+def known_keys(
+    spark: SparkSession, root: str, table: str, without: tuple[str, int] | None = None
+) -> DataFrame:
+    """The keys that are stored, one row per load that holds them: nothing is settled for them."""
+    rows = _rows(spark, f"{root}/{table}", _schema(table), without)
+    return rows.select(*schemas.PRIMARY_KEYS[table])
+
+
 def _settled(spark: SparkSession, root: str, table: str, without: tuple[str, int] | None) -> DataFrame:
     rows = _rows(spark, f"{root}/{table}", _schema(table), without)
     return keep_last(rows, schemas.PRIMARY_KEYS[table], ["loaded_at", "writer", "batch"])
