@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folkmeter import schemas
 from folkmeter.functions import scalars as S
 from folkmeter.operators import frontier, relational, upsert
 from folkmeter.plans import jobs
 from folkmeter.plans.registry import Tables, query
+from folkmeter.session import cut_lineage
 from folkmeter.sources import store
 from folkmeter.streaming.incremental import upsert_stream
 
@@ -234,7 +236,7 @@ def orphan_loads(t: Tables):
         jobs.load_batch(rows, root, step)
         for name in ("posts", "comments"):
             # Read before the next load: a plan would find the state after it.
-            stored = store.read_current(t.spark, root, name)
+            stored = cut_lineage(store.read_current(t.spark, root, name).select(*schemas.PRIMARY_KEYS[name]))
             waits = store.waiting(t.spark, root, name, stored).count()
             lines.append((step, name, stored.count(), waits))
     return t.spark.createDataFrame(lines, "step int, table_name string, stored bigint, waiting bigint")
