@@ -6,9 +6,10 @@ import re
 from collections.abc import Callable, Iterator
 from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folkmeter.functions import keys as K
 from folkmeter.functions import scalars as S
@@ -225,10 +226,39 @@ RULES: dict[str, tuple[Callable, str]] = {
 }
 
 
+_FLAT = {T.StringType(): pa.string(), T.IntegerType(): pa.int32(), T.BooleanType(): pa.bool_()}
+
+
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(_arrow_type(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return pa.struct([(f.name, _arrow_type(f.dataType)) for f in kind])
+    return _FLAT[kind]
+
+
+def _chars(value) -> int:
+    """Characters of all texts in a value of a row."""
+    if isinstance(value, str):
+        return len(value)
+    if isinstance(value, dict):
+        value = value.values()
+    elif not isinstance(value, list):
+        return 0
+    return sum(map(_chars, value))
+
+
+def spread(pages: DataFrame) -> DataFrame:
+    """Pages dealt over all cores, if they lie in fewer partitions: parsing is bound by CPU."""
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+
+
 def extract(
     pages: DataFrame, rule: str, required: tuple[str, ...] = (), limit: int | None = None
 ) -> DataFrame:
-    """Rows (url, pos, raw texts) of one rule; Arrow batches in, no shuffle.
+    """Rows (url, pos, raw texts) of one rule; Arrow batches in, one page of a batch as text at a
+    time. Pages are only shuffled if there are fewer partitions than cores.
 
     ``required`` texts must not be empty; of the rows that are left, the first
     ``limit`` of a page are kept. A page is one row, so the cut is exact without
@@ -241,22 +271,24 @@ def extract(
         full = (row for row in numbered if all(row[1][c] for c in required))
         return islice(full, limit)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = f"url string, pos int, {columns}"
+    layout = pa.schema(list(_arrow_type(pages.sparkSession.createDataFrame([], schema).schema)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for batch in batches:
-            for url, html in zip(batch["url"], batch["html"]):
-                for pos, found in rows_of(html):
-                    rows.append({"url": url, "pos": pos, **found})
-                    size += sum(len(v) for v in found.values() if isinstance(v, str))
+            for url, html in zip(batch.column("url"), batch.column("html")):
+                address = url.as_py()
+                for pos, found in rows_of(html.as_py()):
+                    rows.append({"url": address, "pos": pos, **found})
+                    size += _chars(found)
                     if len(rows) >= BLOCK_ROWS or size >= BLOCK_CHARS:
-                        yield pd.DataFrame(rows, columns=names)
+                        yield pa.RecordBatch.from_pylist(rows, layout)
                         rows, size = [], 0
         if rows:
-            yield pd.DataFrame(rows, columns=names)
+            yield pa.RecordBatch.from_pylist(rows, layout)
 
-    schema = f"url string, pos int, {columns}"
-    names = pages.sparkSession.createDataFrame([], schema).columns
-    return pages.select("url", "html").mapInPandas(run, schema)
+    return spread(pages.select("url", "html")).mapInArrow(run, schema)
 
 
 def user_listing(pages: DataFrame) -> DataFrame:
