@@ -530,3 +530,24 @@ def test_best_of_family():
 def test_no_features(spark):
     with pytest.raises(ValueError):
         modeling.available_features(spark.range(1))
+
+
+def test_keys_of_loads_are_read_without_settling(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.createDataFrame([("u1", "A", None, None, None, "s", 1, 1, 1)], schemas.nullable(schemas.USERS))
+    store.append_batch(rows, root, "users", 1)
+    store.append_batch(rows, root, "users", 2)
+    keys = store.known_keys(spark, root, "users")
+    assert "Window" not in keys._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.id_user for r in keys.collect()} == {"u1"}
+    assert store.known_keys(spark, root, "posts").isEmpty()
+
+
+def test_loads_without_orphans_store_no_rows_twice(spark, tmp_path, monkeypatch):
+    def twice(*_):
+        raise AssertionError("stored although no parent is missing")
+
+    monkeypatch.setattr(jobs, "cut_lineage", twice)
+    people = spark.createDataFrame([("u1", "A", None, None, None, "s", 1, 1, 1)], schemas.nullable(schemas.USERS))
+    posts = spark.createDataFrame([("p1", "u1", None, "t", "d", "s", "s", 1)], schemas.nullable(schemas.POSTS))
+    assert jobs.load_batch({"users": people, "posts": posts}, str(tmp_path), 1) == {"users": 1, "posts": 1}

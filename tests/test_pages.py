@@ -309,3 +309,19 @@ def test_comment_rows(spark):
     assert rows[0].id_user == rows[3].id_user and rows[3].rating == 2
     cut = J.comment_rows(frame, no_users(spark), F.lit("s"), max_comments=4)
     assert cut.count() == 3  # the fourth comment has no author
+
+
+def test_pages_of_one_partition_are_spread(spark):
+    pages = spark.createDataFrame([(f"https://x.org/u?page={i}", LISTING) for i in range(40)], "url string, html string")
+    found = P.user_listing(pages.coalesce(1))
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert found.count() == P.user_listing(pages.repartition(16)).count() == 3 * 40
+
+
+def test_pages_stay_in_arrow_and_all_their_texts_are_counted(spark):
+    pages = spark.createDataFrame([("https://x.org/u/a", BLOCK), ("https://x.org/u/b", None)], "url string, html string")
+    rows = P.extract(pages, "profile_blocks")
+    assert "MapInArrow" in rows._jdf.queryExecution().optimizedPlan().toString()
+    first = rows.filter("url like '%a'").first()
+    assert first.bios[0] == "hello there" and first.stats[1].number == "12" and len(first.other_hrefs) == 1
+    assert P._chars({"bios": ["ab", None], "stats": [{"line": "cde", "number": None}], "has_section": True}) == 5

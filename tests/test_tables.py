@@ -371,3 +371,42 @@ def test_no_python_in_the_plan(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert "EvalPython" not in text and "InPandas" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_comments_meet_their_author_before_their_post(spark):
+    def comment(key, author, parent):
+        return key, author, parent, "text", STAMP, STAMP, 1
+
+    rows = [comment("c1", "u1", "p1"), comment("c2", "u9", "p1"), comment("c3", "u1", None)]
+    comments = spark.createDataFrame(rows, schemas.nullable(schemas.COMMENTS))
+    places = spark.createDataFrame([("m1", "place", "d", STAMP)], schemas.nullable(schemas.COMMUNITIES))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = features.comments_denorm(
+            comments, post(spark, ("p1", "u1", "m1", "T", "d", 3)), users(spark, user("u1")), places
+        )
+        last = next(line for line in _optimized(got).splitlines() if "Join" in line)
+        found = {r.id_comment: (r.post_title, r.comment_author_name) for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "id_post" in last and "id_user" not in last
+    assert found == {"c1": ("T", "Ann"), "c2": ("T", None), "c3": (None, "Ann")}
+
+
+def test_only_keys_of_full_buckets_are_counted(spark):
+    rows = [("a",)] * 50 + [("b",)] * 21 + [(f"k{i}",) for i in range(500)] + [(None,)] * 99
+    heavy = relational.heavy_keys(spark.createDataFrame(rows, "k string"), "k", 20)
+    assert {tuple(r) for r in heavy.collect()} == {("a", 3), ("b", 2)}
+    assert "LeftSemi" in _optimized(heavy)
+
+
+def test_joins_with_empty_tables_are_left_out(spark):
+    rows = users(spark, user("u1"))
+    left = rows.join(schemas.empty_table(spark, "users").select("id_user"), "id_user", "left_anti")
+    assert "Join" not in _optimized(left) and left.count() == 1
+    assert schemas.empty_table(spark, "users").schema == schemas.nullable(schemas.USERS)
