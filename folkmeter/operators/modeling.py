@@ -51,6 +51,8 @@ GRID = {
 }
 STACK_ALL, STACK_BEST = "stacked_all", "stacked_best_of_family"
 BUCKET_ROWS = 100_000
+# Rows of a task of a fit, if there are more than enough for all cores.
+TASK_ROWS = 500_000
 # When an ensemble stops: windows of so many scores, and the share by which they must get better.
 ROUNDS, TOLERANCE = 5, 0.001
 
@@ -199,6 +201,22 @@ def _score(model, df: DataFrame, name: str) -> DataFrame:
     return model.setPredictionCol(name).transform(df)
 
 
+def persisted_in_few(rows: DataFrame) -> DataFrame:
+    """``rows``, persisted in no more partitions than there are cores, or than hold ``TASK_ROWS``.
+
+    A level of a tree is a job with tasks and a result for each partition, and a search runs
+    thousands of them: their number follows the cores and not the files that the rows came in.
+    """
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    most = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS))
+    if rows.rdd.getNumPartitions() <= most:
+        return rows
+    few = rows.repartition(most).persist(StorageLevel.MEMORY_AND_DISK)
+    few.count()
+    rows.unpersist()
+    return few
+
+
 def _over(started: float, limit: float | None) -> bool:
     return limit is not None and time.monotonic() - started > limit
 
@@ -230,8 +248,7 @@ def train_models(
         key, F.col(target).alias("label"), "features"
     )
     train, test = split(rows, key, seed=seed)
-    train = train.withColumn("fold", hash_bucket(key, seed + 1, folds))
-    train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = persisted_in_few(train.withColumn("fold", hash_bucket(key, seed + 1, folds)))
     try:
         final, by_fold, skipped = {}, {}, []
         parts = [train.filter(F.col("fold") != k) for k in range(folds)] + [train]
@@ -404,7 +421,7 @@ def optimize_gbt(
 
     def ready(df: DataFrame) -> DataFrame:
         vectors = assembler.transform(df.na.fill(0, used))
-        return vectors.select("features", F.col(target).alias("label")).persist(StorageLevel.MEMORY_AND_DISK)
+        return persisted_in_few(vectors.select("features", F.col(target).alias("label")))
 
     fit_rows, score_rows = ready(train), ready(valid)
     chosen = grid_sample(grid, max_models, seed)

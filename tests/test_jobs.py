@@ -551,3 +551,37 @@ def test_loads_without_orphans_store_no_rows_twice(spark, tmp_path, monkeypatch)
     people = spark.createDataFrame([("u1", "A", None, None, None, "s", 1, 1, 1)], schemas.nullable(schemas.USERS))
     posts = spark.createDataFrame([("p1", "u1", None, "t", "d", "s", "s", 1)], schemas.nullable(schemas.POSTS))
     assert jobs.load_batch({"users": people, "posts": posts}, str(tmp_path), 1) == {"users": 1, "posts": 1}
+
+
+def test_fits_have_no_more_tasks_than_cores(spark, signal, monkeypatch):
+    """However many partitions the rows come in; the levels of all trees are jobs over them."""
+    seen = []
+
+    def spied(kind):
+        class Spy(kind):
+            def fit(self, part, *rest):
+                seen.append(part.rdd.getNumPartitions())
+                return super().fit(part, *rest)
+
+        return Spy
+
+    line, boosted = spied(modeling.LinearRegression), spied(modeling.GBTRegressor)
+    monkeypatch.setattr(modeling, "candidates", lambda *_: {"ridge": line(regParam=0.1)})
+    monkeypatch.setattr(modeling, "GBTRegressor", boosted)
+    rows = clean_training(signal).localCheckpoint().repartition(40)
+    result = modeling.train_models(rows, folds=2)
+    assert result.metrics["train_size"] + result.metrics["test_size"] == rows.count()
+    train, valid = modeling.split(rows)
+    grid = {"maxDepth": [2], "stepSize": [0.1], "maxIter": [4], "subsamplingRate": [1.0]}
+    assert modeling.optimize_gbt(train, valid, grid=grid).results.count() == 1
+    assert len(seen) > 4 and max(seen) <= spark.sparkContext.defaultParallelism
+
+
+def test_rows_in_few_partitions_are_the_same_rows(spark):
+    rows = spark.range(1000, numPartitions=40).withColumn("x", F.col("id") % 7)
+    few = modeling.persisted_in_few(rows)
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert few.exceptAll(rows).count() == 0 and few.count() == 1000
+    as_before = modeling.persisted_in_few(spark.range(10, numPartitions=3))
+    assert as_before.rdd.getNumPartitions() == 3
+    few.unpersist(), as_before.unpersist()
