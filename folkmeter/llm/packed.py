@@ -21,11 +21,13 @@ gives no rows; texts are encoded whole; other columns are not stored.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,11 @@ LENGTH = 2048  # ids in a sequence
 SEQUENCES = 128  # sequences in a batch
 CACHE_WORDS = 700_000  # remembered words, per generation
 MARKS = ".,;:!?"  # marks after a word
+# Letters whose normal form is the letter itself and whose small form is one letter.
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
+# Bytes that the vocabulary does not write as the character of their number.
+_UNSEEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+BYTE_SIGNS = {byte: 0x100 + i for i, byte in enumerate(_UNSEEN)}
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST = "part int, name string, n_tokens bigint, n_docs bigint"
 DOCUMENTS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -70,17 +77,19 @@ class WordEncoder:
                 continue
             stem = word.rstrip(MARKS)
             mark = word[len(stem) :]
-            if stem.isascii() and stem.isalpha():
+            if LATIN(stem):
                 stem = stem.lower()
             elif not unicodedata.normalize("NFC", stem).lower().isalpha():
                 stem, mark = word, ""  # its normal form has more than letters
             pairs.append((word, stem, mark))
         new = {x for _, *xs in pairs for x in xs} - young.keys()
-        # ASCII letters are left as they are by all steps before the merges.
-        plain = {x for x in new if x.isascii() and x.isalpha() and x.islower()}
+        # All steps before the merges leave small Latin letters as they are, but for the signs of
+        # their bytes.
+        plain = {x for x in new if LATIN(x) and x == x.lower()}
+        merges, kind = self.tool.model.tokenize, self.kind.char
         for word in plain:
-            ids = [token.id for token in self.tool.model.tokenize(word)]
-            young[word] = array(self.kind.char, ids).tobytes()
+            signs = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_SIGNS)
+            young[word] = array(kind, [token.id for token in merges(signs)]).tobytes()
         rest = list(new - plain)
         for word, found in zip(rest, self.tool.encode_batch_fast(rest, add_special_tokens=False)):
             young[word] = array(self.kind.char, found.ids).tobytes()
@@ -90,10 +99,11 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
         cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        words = set().union(*cut)
-        missing = words - self.young.keys()
+        missing: set[str] = set()
+        for line in cut:
+            missing.update(filterfalse(self.young.__contains__, line))
         if missing and len(self.young) + len(missing) > CACHE_WORDS:
-            self.old, self.young, missing = self.young, {}, words
+            self.old, self.young, missing = self.young, {}, set().union(*cut)
         self._learn(missing)
         get = self.young.__getitem__
         return [b"".join(map(get, line)) for line in cut]

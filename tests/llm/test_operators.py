@@ -347,6 +347,26 @@ def test_word_encoder_on_random_strings():
         assert ids == tool.tool.encode(text, add_special_tokens=False).ids
 
 
+def test_latin_words_go_to_the_merges_at_once():
+    """Without the normaliser and the splitter of the library, and with its ids."""
+    tool = packed.WordEncoder(WORDS)
+    library, sent = tool.tool, []
+
+    class Spy:
+        model = library.model
+
+        def encode_batch_fast(self, words, **rest):
+            sent.extend(words)
+            return library.encode_batch_fast(words, **rest)
+
+    tool.tool = Spy()
+    letters = [chr(c) for c in range(0x41, 0x180) if chr(c).isalpha()]
+    words = [a + b for a in letters for b in letters[::7]] + ["Größe,", "àé", "İl", "ſo", "ŉa", "a×b"]
+    want = [found.ids for found in library.encode_batch_fast(words, add_special_tokens=False)]
+    assert [np.frombuffer(c, tool.kind).tolist() for c in tool.encode(words)] == want
+    assert not {"Größe", "größe", "àé"} & {*sent} and "İl" in sent
+
+
 # 8 ------------------------------------------------------------------------------------------
 
 
