@@ -506,7 +506,7 @@ def permutation_importance(
 
     Rows are dealt into random buckets of bounded size; inside a bucket every row
     takes the feature of the next row in random order. All features are scored in
-    one pass.
+    one pass, by all cores, however few the buckets are.
     """
     used = list(model.stages[0].getInputCols())
     rows = data.na.fill(0, used).select(
@@ -518,7 +518,8 @@ def permutation_importance(
     first = F.first("x").over(window.rowsBetween(Window.unboundedPreceding, 0))
     shifted = rows.withColumn("y", F.coalesce(F.lead("x").over(window), first))
     turns = F.explode(F.sequence(F.lit(-1), F.lit(len(used) - 1))).alias("turn")
-    mixed = shifted.select("label", "x", "y", turns).select(
+    dealt = shifted.select("label", "x", "y").repartition(data.sparkSession.sparkContext.defaultParallelism)
+    mixed = dealt.select("label", "x", "y", turns).select(
         "label",
         "turn",
         *[

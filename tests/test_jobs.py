@@ -5,6 +5,8 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from folkmeter import schemas
@@ -585,3 +587,16 @@ def test_rows_in_few_partitions_are_the_same_rows(spark):
     as_before = modeling.persisted_in_few(spark.range(10, numPartitions=3))
     assert as_before.rdd.getNumPartitions() == 3
     few.unpersist(), as_before.unpersist()
+
+
+def test_permuted_rows_are_scored_by_all_cores(spark, signal):
+    """A bucket of rows is one task; the scores of its rows are not."""
+    rows = clean_training(signal).localCheckpoint()
+    stages = [
+        VectorAssembler(inputCols=["followers", "following"], outputCol="features"),
+        modeling.LinearRegression(labelCol=modeling.TARGET),
+    ]
+    rises = modeling.permutation_importance(Pipeline(stages=stages).fit(rows), rows)
+    plan = rises._jdf.queryExecution().optimizedPlan().toString()
+    assert f"Repartition {spark.sparkContext.defaultParallelism}, true" in plan
+    assert rises.orderBy(F.desc("importance")).first().variable == "followers"
