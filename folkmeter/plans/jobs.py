@@ -156,14 +156,13 @@ def entities(
     get a minimal one unless they are stored.
     """
     known, places = stored["users"], stored["communities"]
-    # Read by the tables of posts, authors and memberships: parsed once.
-    listed = cut_lineage(J.posts_in_payloads(communities, max_posts))
+    # Read by the tables of posts, authors and memberships: parsed once. It has nearly all the text.
+    listed = cut_lineage(J.posts_in_payloads(communities, max_posts), compression="zstd")
     post_rows = J.post_rows(listed, known, scraped_at, places)
     comment_rows = cut_lineage(J.comment_rows(posts, known, scraped_at, max_comments))
-    profile_rows = with_stored_ids(J.profile_rows(profiles, scraped_at), known)
-    community_rows = relational.resolve_communities(
-        J.community_rows(communities, scraped_at).drop("id_community"), places
-    )
+    profile_rows = cut_lineage(with_stored_ids(J.profile_rows(profiles, scraped_at), known))
+    described = cut_lineage(J.community_rows(communities, scraped_at).drop("id_community"))
+    community_rows = relational.resolve_communities(described, places)
     authors = J.discovered_authors(listed, comment_rows)
     named = known.select("id_user", "name").unionByName(profile_rows.select("id_user", "name"))
     minimal = relational.new_minimal_users(authors, named, scraped_at)
@@ -257,6 +256,9 @@ def load_batch(
     aside in ``_orphans`` and are taken up by the first load after which all their parents are
     there. What was put aside or taken up is reported when there is any. ``stored`` are the tables
     without this load, if they are not those below ``root``.
+
+    A frame that takes more than reading is stored until its table is written. None is kept in
+    memory: frames of a load are as large as the load, and the tasks need the heap.
     """
     spark = next(iter(rows.values())).sparkSession
     own = (writer, number)
@@ -273,7 +275,8 @@ def load_batch(
         late = stored_once(store.waiting(spark, root, name, keys[name], own).drop("lacking")) if checked else None
         if name not in rows and (late is None or late.isEmpty()):
             continue
-        with persisted(frame) as (frame,):
+        with scratch(spark):
+            frame = stored_once(frame)
             good, bad = split_valid(frame, name)
             latest = relational.keep_last(good, key).select(*schemas.TABLES[name].fieldNames())
             if not bad.isEmpty():

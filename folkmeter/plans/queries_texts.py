@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from folkmeter.functions import keys as K
 from folkmeter.functions import scalars as S
 from folkmeter.plans.registry import WS_SQL, Tables, query, r
-from folkmeter.session import cut_lineage
+from folkmeter.session import cut_lineage, scratch
 from folkmeter.sources import listings, pagestore, store
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
@@ -433,11 +433,13 @@ def json_posts(t: Tables):
       date DESC NULLS LAST, rating DESC NULLS LAST) AS rn FROM made) q WHERE rn = 1""", JSON_POSTS_SQL)
 def stream_posts(t: Tables):
     """The community payloads land as files and stream into all the tables that they fill."""
-    landed, root, nothing = t.folder(), t.folder(), F.lit(None).cast("string")
+    root, nothing = t.folder(), F.lit(None).cast("string")
     rows = _community_payloads(t).select(F.lit("community").alias("kind"), "name", nothing.alias("id_post"), "body")
-    rows.write.json(landed)
-    source = incremental.landed_files(t.spark, landed, incremental.LANDED)
-    incremental.payload_stream(source, root, f"{root}/_progress", F.lit("2024-06-01")).awaitTermination()
+    with scratch(t.spark):  # the landed files go when their rows are in the tables
+        landed = t.folder()
+        rows.write.json(landed, compression="gzip")
+        source = incremental.landed_files(t.spark, landed, incremental.LANDED)
+        incremental.payload_stream(source, root, f"{root}/_progress", F.lit("2024-06-01")).awaitTermination()
     return store.read_current(t.spark, root, "posts")
 
 

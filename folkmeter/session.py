@@ -70,13 +70,14 @@ def scratch(spark: SparkSession):
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, **options: str) -> DataFrame:
     """Store ``df`` where all executors see it, so that iterations do not grow the plan.
 
-    Parquet, so that later steps read only their columns and the optimizer knows the size.
+    Parquet, so that later steps read only their columns and the optimizer knows the size;
+    ``options`` are those of the writer.
     """
     folder = step_folder(df.sparkSession)
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from folkmeter import schemas
 from folkmeter.operators.relational import keep_last
-from folkmeter.session import persisted
 from folkmeter.sources import store
 
 LANDED = "kind string, name string, id_post string, body string"
@@ -92,16 +91,18 @@ def payload_stream(
     by a join of the stream with the stored tables as they are without this load, rows that lack a
     parent wait for it, and all tables of the batch are written under (writer, batch). So a
     replayed micro-batch finds what it found the first time and replaces itself.
+
+    Payloads are not kept in memory, where they would crowd out the tasks of the load: each kind
+    reads its own out of the source, and the job stores the rows it takes from them.
     """
     from folkmeter.plans import jobs
 
     def write(batch: DataFrame, number: int, writer: str) -> None:
-        with persisted(batch) as (rows,):  # read once for each kind
-            parts = {
-                "communities": rows.filter("kind = 'community'").select("name", "body"),
-                "posts": rows.filter("kind = 'post'").select("id_post", "body"),
-                "profiles": rows.filter("kind = 'profile'").select("name", "body"),
-            }
-            jobs.ingest(batch.sparkSession, root, number, scraped_at, writer, **parts, **limits)
+        parts = {
+            "communities": batch.filter("kind = 'community'").select("name", "body"),
+            "posts": batch.filter("kind = 'post'").select("id_post", "body"),
+            "profiles": batch.filter("kind = 'profile'").select("name", "body"),
+        }
+        jobs.ingest(batch.sparkSession, root, number, scraped_at, writer, **parts, **limits)
 
     return each_batch(source.select(*[F.col(c) for c in ("kind", "name", "id_post", "body")]), checkpoint, write)

@@ -294,6 +294,38 @@ def test_payload_stream_equals_batch_ingest(spark, tmp_path):
     assert len(everything(spark, root)["comments"]) == 3
 
 
+def test_loads_keep_nothing_in_the_memory_of_executors(spark, tmp_path, monkeypatch):
+    """Neither the payloads of a micro-batch nor the frames of its tables, which are as large as the load."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    people = person(spark, ("a", "A", 1), ("b", "B", 2)).coalesce(1)
+    rows = {"users": people.mapInArrow(count, people.schema)}
+
+    def kept(*_, **__):
+        raise AssertionError("kept in memory")
+
+    monkeypatch.setattr(type(people), "persist", kept)
+    monkeypatch.setattr(type(people), "cache", kept)
+    folder, root = f"{tmp_path}/landed", f"{tmp_path}/stream"
+    listed = {"success": True, "community": {"description": "d"}, "posts": [{"title": "t", "author": {"name": "Ann"}}]}
+    agent = {"success": True, "agent": {"karma": 7}}
+    landed = [("community", "town", None, json.dumps(listed)), ("profile", "Ann", None, json.dumps(agent))]
+    spark.createDataFrame(landed, incremental.LANDED).coalesce(1).write.json(folder)
+    source = incremental.landed_files(spark, folder, incremental.LANDED)
+    incremental.payload_stream(source, root, f"{tmp_path}/progress", F.lit("s1")).awaitTermination()
+    assert [(r.title, r.id_user) for r in store.read_current(spark, root, "posts").collect()] == [
+        ("t", store.read_current(spark, root, "users").first().id_user)
+    ]
+    assert store.read_current(spark, root, "users").first().karma == 7
+    assert jobs.load_batch(rows, f"{tmp_path}/batch", 1) == {"users": 2}
+    assert made.value == 2  # a frame that takes work is worked out once
+
+
 def test_orphans_wait_for_their_parents(spark, tmp_path):
     root = str(tmp_path)
 
