@@ -25,7 +25,7 @@ from folkmeter.operators.cleaning import (
 )
 from folkmeter.operators.evaluation import clean_training
 from folkmeter.operators.upsert import profiles_of_incomplete, run_summary, split_valid
-from folkmeter.session import cut_lineage, persisted, scratch, stored_once
+from folkmeter.session import cut_lineage, persisted, scratch, shuffles_dropped, stored_once
 from folkmeter.sources import pages as P
 from folkmeter.sources import payloads as J
 from folkmeter.sources import store, tables
@@ -275,7 +275,7 @@ def load_batch(
         late = stored_once(store.waiting(spark, root, name, keys[name], own).drop("lacking")) if checked else None
         if name not in rows and (late is None or late.isEmpty()):
             continue
-        with scratch(spark):
+        with scratch(spark), shuffles_dropped(spark):
             frame = stored_once(frame)
             good, bad = split_valid(frame, name)
             latest = relational.keep_last(good, key).select(*schemas.TABLES[name].fieldNames())
@@ -315,7 +315,7 @@ def ingest(
     **payloads,
 ) -> dict:
     """Landed payloads -> entities -> stored tables under ``root``."""
-    with scratch(spark):
+    with scratch(spark), shuffles_dropped(spark):
         stored = store.read_all(spark, root, (writer, number))
         rows = entities(stored, scraped_at, **payloads)
         return load_batch(rows, root, number, writer)

@@ -70,6 +70,19 @@ def scratch(spark: SparkSession):
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """What a query of this block has shuffled goes when the query ends, not when the driver happens
+    to collect its garbage: for rows of about the size of the input that are shuffled step by step."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def cut_lineage(df: DataFrame, **options: str) -> DataFrame:
     """Store ``df`` where all executors see it, so that iterations do not grow the plan.
 

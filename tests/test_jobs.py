@@ -14,6 +14,7 @@ from folkmeter.operators import cleaning, modeling
 from folkmeter.operators.evaluation import clean_training
 from folkmeter.plans import jobs
 from folkmeter.plans.registry import Tables
+from folkmeter.session import shuffles_dropped
 from folkmeter.sources import pagestore, store, tables
 from folkmeter.streaming import incremental
 
@@ -326,6 +327,17 @@ def test_loads_keep_nothing_in_the_memory_of_executors(spark, tmp_path, monkeypa
     assert made.value == 2  # a frame that takes work is worked out once
 
 
+def test_shuffles_of_a_load_are_dropped(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with pytest.raises(ValueError), shuffles_dropped(spark):
+        assert spark.conf.get(key) == "true"
+        counts = spark.range(9).groupBy((F.col("id") % 3).alias("k")).count()
+        assert [sorted(map(tuple, counts.collect())) for _ in range(2)] == [[(0, 3), (1, 3), (2, 3)]] * 2
+        raise ValueError
+    assert spark.conf.get(key, None) == before
+
+
 def test_orphans_wait_for_their_parents(spark, tmp_path):
     root = str(tmp_path)
 
